@@ -1,0 +1 @@
+"""Empty on purpose: every source, table and report in scope is a batch job."""
