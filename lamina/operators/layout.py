@@ -17,9 +17,22 @@ def partition_sizes(df: DataFrame, partitions: int | None = None) -> DataFrame:
     sizes = df.groupBy(F.spark_partition_id().alias("partition_id")).agg(
         F.count(F.lit(1)).alias("row_count")
     )
-    if partitions is None:
-        return sizes
-    numbers = df.sparkSession.range(partitions).select(
+    return sizes if partitions is None else _with_empty(sizes, partitions)
+
+
+def planned_sizes(df: DataFrame, partitions: int, *keys: str) -> DataFrame:
+    """The partition sizes that `df.repartition(partitions, *keys)` would give.
+
+    Spark places a row by the hash of its keys, so the counts per key are enough:
+    the rows are not moved, and a hot key is measured without filling one task.
+    """
+    target = F.pmod(F.hash(*keys), F.lit(partitions)).alias("partition_id")
+    sizes = count_per_key(df, *keys).groupBy(target).agg(F.sum("row_count").alias("row_count"))
+    return _with_empty(sizes, partitions)
+
+
+def _with_empty(sizes: DataFrame, partitions: int) -> DataFrame:
+    numbers = sizes.sparkSession.range(partitions).select(
         F.col("id").cast("int").alias("partition_id")
     )
     return numbers.join(sizes, "partition_id", "left").fillna(0, ["row_count"])
@@ -35,30 +48,12 @@ def partition_stats(sizes: DataFrame) -> DataFrame:
     )
 
 
-def key_partitions(df: DataFrame, key: str) -> DataFrame:
+def key_partitions(df: DataFrame, *keys: str) -> DataFrame:
     """For each key its rows and the number of partitions that hold them."""
-    per_partition = df.groupBy(key, F.spark_partition_id().alias("partition_id")).agg(
+    per_partition = df.groupBy(*keys, F.spark_partition_id().alias("partition_id")).agg(
         F.count(F.lit(1)).alias("part_rows")
     )
-    return per_partition.groupBy(key).agg(
+    return per_partition.groupBy(*keys).agg(
         F.sum("part_rows").alias("row_count"),
         F.count(F.lit(1)).alias("partitions"),
     )
-
-
-def planned_sizes(df: DataFrame, key: str, partitions: int) -> DataFrame:
-    """The partition sizes that `df.repartition(partitions, key)` would give.
-
-    Spark places a row by the hash of its key, so the counts per key are enough:
-    the rows are not moved, and a hot key is measured without filling one task.
-    """
-    target = F.pmod(F.hash(key), F.lit(partitions)).alias("partition_id")
-    filled = (
-        count_per_key(df, key)
-        .groupBy(target)
-        .agg(F.sum("row_count").alias("row_count"))
-    )
-    numbers = df.sparkSession.range(partitions).select(
-        F.col("id").cast("int").alias("partition_id")
-    )
-    return numbers.join(filled, "partition_id", "left").fillna(0, ["row_count"])

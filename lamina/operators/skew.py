@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lamina.functions import steady_salt
 from lamina.model import AMOUNT
 from lamina.operators.gold import count_per_key
+from lamina.plans.joins import broadcast_within
 from lamina.sources import stored
 
 
@@ -19,18 +22,12 @@ def key_distribution(df: DataFrame, key: str) -> DataFrame:
 def skew_report(df: DataFrame, key: str) -> DataFrame:
     """Rows per key with the share of all rows and the ratio to the mean key.
 
-    Rows are counted per key before anything is shuffled. The totals are a scalar
-    subquery over those counts, so the keys themselves never meet in one task.
+    The counts are stored first, so `df` runs once. The totals are a scalar
+    subquery over those counts; the keys never meet in one task.
     """
-    counts = count_per_key(df, key)
-    totals = count_per_key(df, key).agg(
-        F.struct(
-            F.sum("row_count").alias("rows"),
-            F.count(F.lit(1)).alias("keys"),
-        )
-    )
-    total = totals.scalar()
-    rows, keys = total.getField("rows"), total.getField("keys")
+    counts = stored(count_per_key(df, key), "key-counts")
+    rows = counts.agg(F.sum("row_count")).scalar()
+    keys = counts.agg(F.count(F.lit(1))).scalar()
     return counts.select(
         key,
         "row_count",
@@ -65,24 +62,25 @@ def salted_sales(
     )
 
 
-def hot_keys(df: DataFrame, key: str, max_rows: int) -> DataFrame:
-    """Keys with more than `max_rows` rows and the number of pieces each one needs."""
-    return (
-        count_per_key(df, key)
-        .filter(F.col("row_count") > max_rows)
-        .select(key, F.ceil(F.col("row_count") / max_rows).cast("int").alias("pieces"))
-    )
-
+def split_hot_keys(df: DataFrame, key: str, partitions: int, salt_on: Column) -> DataFrame:
+    """Add a `piece` column that splits each hot key into pieces of an even share.
 
-def split_hot_keys(
-    df: DataFrame, key: str, max_rows: int, salt_on: Column
-) -> DataFrame:
-    """Add a `piece` column that splits each hot key into pieces of about `max_rows`.
-
-    The number of pieces follows the measured size of each key, so it holds at any
-    scale. The hot keys, at most rows / `max_rows` of them, are stored first: Spark
-    then knows their size and broadcasts them only below its threshold.
+    The even share is all rows divided by `partitions`. A key above it, null too,
+    is split by the hash of `salt_on` into as many pieces as its measured size
+    calls for, so the split holds at any scale. Fewer than `partitions` keys can
+    be above the share, which bounds the side that is broadcast.
     """
-    hot = stored(hot_keys(df, key, max_rows), "hot-keys")
+    counts = stored(count_per_key(df, key), "key-counts")
+    total = counts.agg(F.sum("row_count")).first()[0] or 0
+    share = max(1, ceil(total / partitions))
+    hot = counts.filter(F.col("row_count") > share).select(
+        F.col(key).alias("hot_key"),
+        F.ceil(F.col("row_count") / share).cast("int").alias("pieces"),
+    )
+    is_hot = F.col(key).eqNullSafe(F.col("hot_key"))
     piece = F.pmod(F.xxhash64(salt_on), F.coalesce("pieces", F.lit(1))).cast("int")
-    return df.join(hot, key, "left").withColumn("piece", piece).drop("pieces")
+    return (
+        df.join(broadcast_within(hot), is_hot, "left")
+        .withColumn("piece", piece)
+        .drop("hot_key", "pieces")
+    )

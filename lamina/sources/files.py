@@ -10,12 +10,13 @@ from pyspark.sql.observation import Observation
 def read_csv(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """CSV files with a header row.
 
-    Without a schema Spark reads the whole input once more to infer the types.
+    Without a schema Spark reads the whole input once more to infer the types. With
+    one, a file whose header names other columns or another order is refused.
     """
     reader = spark.read.option("header", True)
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
-    return reader.schema(schema).csv(path)
+    return reader.schema(schema).option("enforceSchema", False).csv(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -578,20 +578,22 @@ ORACLES: dict[str, str] = {
     ),
     "split_hot_keys": with_ctes(
         SKEWED_ITEMS,
-        "SELECT category, count(*) AS row_count, "
-        "CAST(greatest(1, ceil(count(*) / 2000)) AS BIGINT) AS pieces "
+        "SELECT category, count(*) AS row_count, true AS pieces_are_small "
         "FROM skewed_items GROUP BY category",
     ),
     "key_colocation": with_ctes(
         SKEWED_ITEMS,
-        "SELECT salted_category, count(*) AS row_count, CAST(1 AS BIGINT) AS partitions "
-        "FROM salted_items GROUP BY ALL",
+        "SELECT category, count(*) AS row_count, CAST(1 AS BIGINT) AS partitions_per_piece "
+        "FROM skewed_items GROUP BY category",
     ),
     "planned_key_layout": with_ctes(
         SKEWED_ITEMS,
         "SELECT CAST(8 AS BIGINT) AS partitions, count(*) AS row_count FROM skewed_items",
     ),
-    "partition_stats": sizes(SKEWED_ITEMS, "skewed_items", 8),
+    "partition_stats": with_ctes(
+        SKEWED_ITEMS,
+        "SELECT count(*) AS row_count, true AS as_asked, true AS none_empty FROM skewed_items",
+    ),
     "repartition_sizes": sizes(DAILY, "daily", 5),
     "coalesce_sizes": sizes(DAILY, "daily", 5),
     "order_fanout": with_ctes([ORDERS, FANOUT], "SELECT * FROM fanout"),

@@ -51,7 +51,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 SALTS = 5
 PARTITIONS = 8
-MAX_ROWS_PER_PIECE = 2000
 COUNTED_CATEGORY = "economy"
 
 
@@ -63,6 +62,7 @@ def daily_sales(spark: SparkSession, folder: str) -> DataFrame:
         feeds.orders(spark, folder),
         feeds.order_items(spark, folder),
         feeds.products(spark, folder),
+        orders_are_unique=True,
     )
 
 
@@ -81,6 +81,7 @@ def daily_sales_broadcast_hint(spark: SparkSession, folder: str) -> DataFrame:
         feeds.orders(session, folder),
         feeds.order_items(session, folder),
         broadcast_within(categories),
+        orders_are_unique=True,
     )
 
 
@@ -412,32 +413,60 @@ def salted_two_stage_agg(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def split_hot_keys(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows per category and the pieces that its size calls for."""
-    items = skewed_items(spark, folder).select("category", "order_item_id")
-    split = skew.split_hot_keys(
-        items, "category", MAX_ROWS_PER_PIECE, F.col("order_item_id")
+    """Rows per category, and whether its largest piece is near an even share."""
+    partitions = _shuffle_partitions(spark)
+    split = _split_items(spark, folder, partitions)
+    pieces = stored(
+        split.groupBy("category", "piece").agg(F.count(F.lit(1)).alias("part_rows")),
+        "pieces",
     )
-    pieces = split.groupBy("category", "piece").agg(F.count(F.lit(1)).alias("part_rows"))
+    even_share = pieces.agg(F.sum("part_rows") / partitions).scalar()
     return pieces.groupBy("category").agg(
-        F.sum("part_rows").alias("row_count"), F.count(F.lit(1)).alias("pieces")
+        F.sum("part_rows").alias("row_count"),
+        (F.max("part_rows") <= 2 * even_share + 2).alias("pieces_are_small"),
     )
 
 
 def key_colocation(spark: SparkSession, folder: str) -> DataFrame:
-    """After salting, rows are placed by key: every salted key is in one partition."""
-    placed = salted_items(spark, folder).repartition(PARTITIONS, "salted_category")
-    return layout.key_partitions(placed, "salted_category")
+    """Rows placed by category, the hot ones in pieces: no piece is in two partitions."""
+    partitions = _shuffle_partitions(spark)
+    split = _split_items(spark, folder, partitions)
+    placed = split.repartition(partitions, "category", "piece")
+    return (
+        layout.key_partitions(placed, "category", "piece")
+        .groupBy("category")
+        .agg(
+            F.sum("row_count").alias("row_count"),
+            F.max("partitions").alias("partitions_per_piece"),
+        )
+    )
+
+
+def _split_items(spark: SparkSession, folder: str, partitions: int) -> DataFrame:
+    items = skewed_items(spark, folder).select("category", "order_item_id")
+    return skew.split_hot_keys(items, "category", partitions, F.col("order_item_id"))
 
 
 def planned_key_layout(spark: SparkSession, folder: str) -> DataFrame:
     """Partitions and rows of a placement by category that is measured, not made."""
-    sizes = layout.planned_sizes(skewed_items(spark, folder), "category", PARTITIONS)
+    sizes = layout.planned_sizes(skewed_items(spark, folder), PARTITIONS, "category")
     return layout.partition_stats(sizes).select("partitions", "row_count")
 
 
 def partition_stats(spark: SparkSession, folder: str) -> DataFrame:
-    dealt = skewed_items(spark, folder).repartition(PARTITIONS)
-    return _evenness(layout.partition_sizes(dealt, PARTITIONS))
+    """Items dealt out evenly over as many partitions as the session shuffles into."""
+    partitions = _shuffle_partitions(spark)
+    dealt = skewed_items(spark, folder).repartition(partitions)
+    stats = layout.partition_stats(layout.partition_sizes(dealt, partitions))
+    return stats.select(
+        "row_count",
+        (F.col("partitions") == partitions).alias("as_asked"),
+        (F.col("min_rows") > 0).alias("none_empty"),
+    )
+
+
+def _shuffle_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get(SHUFFLE_PARTITIONS))
 
 
 def repartition_sizes(spark: SparkSession, folder: str) -> DataFrame:
