@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamina.model import AUDIT_COLUMNS, DATASETS, DEFAULT_BATCH_ID, RAW_SCHEMAS, Layers
+from lamina.plans.together import together
 from lamina.sources import read_csv, read_table, write_table
 
 
@@ -47,10 +48,10 @@ def ingest_all(
     infer_types: bool = False,
 ) -> dict[str, int]:
     """Load every raw dataset; returns the number of rows of each."""
-    return {
-        dataset: ingest_dataset(spark, dataset, layers, batch_id, infer_types)
-        for dataset in DATASETS
-    }
+    return together(
+        spark,
+        DATASETS, lambda name: ingest_dataset(spark, name, layers, batch_id, infer_types)
+    )
 
 
 def missing_audit_columns(df: DataFrame) -> list[str]:

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamina.functions import as_number, line_total, lowered, positive, present, titled, trimmed
-from lamina.model import KEYS, PROCESSED_AT, Layers
+from lamina.model import DATASETS, KEYS, PROCESSED_AT, Layers
 from lamina.operators.dedupe import smallest_per_key
+from lamina.plans.together import together
 from lamina.sources import read_table, write_table
 
 
@@ -89,3 +90,8 @@ def process_dataset(spark: SparkSession, dataset: str, layers: Layers) -> int:
     return write_table(
         clean(bronze, dataset), f"{layers.silver}/{dataset}", layers.table_format
     )
+
+
+def process_all(spark: SparkSession, layers: Layers) -> dict[str, int]:
+    """Clean every bronze table; returns the number of rows of each silver table."""
+    return together(spark, DATASETS, lambda name: process_dataset(spark, name, layers))

@@ -39,12 +39,14 @@ def large_job_settings(shuffle_bytes: int) -> dict[str, str]:
     """Settings for a job that shuffles about this many bytes.
 
     Shuffles start with partitions of the target size; adaptive execution merges
-    small ones and splits skewed ones.
+    small ones and splits skewed ones, also where the step above a skewed join then
+    needs one more shuffle.
     """
     partitions = max(200, ceil(shuffle_bytes / TARGET_PARTITION_BYTES))
     return {
         ADAPTIVE: "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_PARTITION_BYTES),
         SHUFFLE_PARTITIONS: str(partitions),
     }

@@ -37,6 +37,7 @@ from lamina.plans.settings import (
     SHUFFLE_PARTITIONS,
     session_with,
 )
+from lamina.plans.together import together
 from lamina.sources import (
     fresh_path,
     read_csv,
@@ -338,7 +339,7 @@ def raw_to_gold(spark: SparkSession, folder: str) -> DataFrame:
     bronze.ingest_all(spark, layers)
     for name in DATASETS:
         bronze.validate_dataset(spark, name, layers)
-        silver.process_dataset(spark, name, layers)
+    silver.process_all(spark, layers)
     gold.build_daily_sales(spark, layers)
     return read_table(spark, f"{layers.gold}/{DAILY_SALES}")
 
@@ -346,8 +347,11 @@ def raw_to_gold(spark: SparkSession, folder: str) -> DataFrame:
 def _landed(spark: SparkSession, folder: str) -> Layers:
     """Layers whose raw files hold what the source systems deliver."""
     layers = Layers.under(fresh_path(spark, "layers"))
-    for name, feed in feeds.RAW_FEEDS.items():
-        write_csv(feed(spark, folder), layers.raw_file(name))
+    together(
+        spark,
+        DATASETS,
+        lambda name: write_csv(feeds.RAW_FEEDS[name](spark, folder), layers.raw_file(name)),
+    )
     return layers
 
 

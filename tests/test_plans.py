@@ -21,6 +21,7 @@ from lamina.plans.settings import (
     session_with,
 )
 from lamina.plans.timing import compare, timed
+from lamina.plans.together import together
 from lamina.workload import feeds, queries
 
 FOLDER = "/root/testdata/sf0.001"
@@ -60,10 +61,9 @@ def test_frame_keeps_the_settings_it_was_made_under(spark):
 
 
 def test_checked_broadcast(spark):
-    small = spark.range(100).selectExpr("id", "concat('name ', id) AS name")
-    other = spark.range(100)
     session = session_with(spark, {BROADCAST_THRESHOLD: NO_BROADCAST})
-    small, other = session.range(100).selectExpr("id", "concat('n', id) AS name"), session.range(100)
+    other = session.range(100)
+    small = other.selectExpr("id", "concat('n', id) AS name")
     within = other.join(joins.broadcast_within(small), "id")
     beyond = other.join(joins.broadcast_within(small, limit=1_000), "id")
     assert join_counts(within) == {"BroadcastHashJoin": 1, "SortMergeJoin": 0}
@@ -172,6 +172,48 @@ def test_skewed_product_is_split_at_run_time(spark):
     assert "SortMergeJoin(skew=true)" in plan_text(daily)
 
 
+def test_skewed_order_is_split_below_the_aggregate_of_joined_rows(spark):
+    """The large job settings split it although the aggregate then shuffles again."""
+    settings = {
+        **large_job_settings(1),
+        BROADCAST_THRESHOLD: NO_BROADCAST,
+        SHUFFLE_PARTITIONS: "8",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    session = session_with(spark, settings)
+    items = session.range(60_000, numPartitions=8).selectExpr(
+        "IF(id % 3 = 0, 1, id) AS order_id",
+        "id % 10 AS product_id",
+        "CAST(1 AS DECIMAL(18,2)) AS line_total",
+        "1 AS quantity",
+    )
+    products = session.range(10).selectExpr("id AS product_id", "'all' AS category")
+    orders = session.range(60_000).selectExpr(
+        "id AS order_id", "timestamp_ntz'2024-01-01 00:00:00' AS order_timestamp"
+    )
+    with_items = gold.join_on(orders, items, "order_id")
+    joined = with_items.join(F.broadcast(products), "product_id").withColumn(
+        "order_date", F.to_date("order_timestamp")
+    )
+    daily = gold.summarise_sales(joined)
+    row = daily.collect()[0]
+    assert (row.total_items_sold, row.total_orders) == (60_000, 40_000)
+    assert "SortMergeJoin(skew=true)" in plan_text(daily)
+
+
+def test_jobs_run_together(spark):
+    counts = together(spark, ["3", "5"], lambda name: spark.range(int(name)).count())
+    assert counts == {"3": 3, "5": 5}
+    with pytest.raises(ValueError, match="no number"):
+        together(spark, ["no number"], fail)
+
+
+def fail(name):
+    raise ValueError(name)
+
+
 def test_large_job_settings_grow_with_the_shuffle():
     assert large_job_settings(1)[SHUFFLE_PARTITIONS] == "200"
     assert large_job_settings(10**14)[SHUFFLE_PARTITIONS] == str(745_059)
