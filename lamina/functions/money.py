@@ -9,5 +9,9 @@ from lamina.model import AMOUNT, PRICE
 
 
 def line_total(quantity: Column, unit_price: Column) -> Column:
-    """Quantity times price, rounded half up to whole cents."""
-    return F.round(quantity * unit_price.cast(PRICE), 2).cast(AMOUNT)
+    """Quantity times price, rounded half up to whole cents.
+
+    A price or total that is no finite amount of money is null, so a single bad
+    row is dropped by the checks and does not stop the job.
+    """
+    return F.round(quantity * unit_price.try_cast(PRICE), 2).try_cast(AMOUNT)

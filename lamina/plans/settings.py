@@ -14,7 +14,9 @@ SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
 NO_BROADCAST = "-1"
 DEFAULT_BROADCAST_BYTES = "10485760"
 
-TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+PARTITION_BYTES = 128 * 1024 * 1024
+MIN_SHUFFLE_PARTITIONS, MAX_SHUFFLE_PARTITIONS = 200, 30_000
+MAX_SCAN_TASKS = 100_000
 
 
 def session_with(spark: SparkSession, settings: Mapping[str, str]) -> SparkSession:
@@ -35,18 +37,23 @@ def session_with(spark: SparkSession, settings: Mapping[str, str]) -> SparkSessi
     return session
 
 
-def large_job_settings(shuffle_bytes: int) -> dict[str, str]:
-    """Settings for a job that shuffles about this many bytes.
+def large_job_settings(job_bytes: int) -> dict[str, str]:
+    """Settings for a job that reads and shuffles about this many bytes.
 
-    Shuffles start with partitions of the target size; adaptive execution merges
+    Partitions have the usual size until there would be too many of them: the
+    driver keeps a record for every pair of scan task and shuffle partition, so
+    from some size on partitions grow instead and spill. Adaptive execution merges
     small ones and splits skewed ones, also where the step above a skewed join then
     needs one more shuffle.
     """
-    partitions = max(200, ceil(shuffle_bytes / TARGET_PARTITION_BYTES))
+    wanted = ceil(job_bytes / PARTITION_BYTES)
+    partitions = min(max(wanted, MIN_SHUFFLE_PARTITIONS), MAX_SHUFFLE_PARTITIONS)
+    scan_bytes = max(PARTITION_BYTES, ceil(job_bytes / MAX_SCAN_TASKS))
     return {
         ADAPTIVE: "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_PARTITION_BYTES),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(PARTITION_BYTES),
+        "spark.sql.files.maxPartitionBytes": str(scan_bytes),
         SHUFFLE_PARTITIONS: str(partitions),
     }

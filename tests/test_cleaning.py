@@ -88,6 +88,16 @@ def test_line_total_from_doubles_and_text(spark):
         assert [(row.order_item_id, row.line_total) for row in rows] == [(1, Decimal("1.01"))]
 
 
+def test_amounts_that_are_no_money_drop_their_row_only(spark):
+    rows = [(n, 1, 1, 3, price, 0.0) for n, price in enumerate([1e300, float("nan"), float("inf"), 2.5])]
+    df = spark.createDataFrame(
+        rows,
+        "order_item_id INT, order_id INT, product_id INT, quantity INT, "
+        "unit_price DOUBLE, line_total DOUBLE",
+    )
+    assert [row.line_total for row in clean(df, "order_items").collect()] == [Decimal("7.50")]
+
+
 def test_one_product_without_key_stays(spark):
     rows = [(None, "b", "x", "y", 3.0), (None, "a", "x", "y", 2.0), (1, "c", "x", "y", 0.0)]
     kept = clean(spark.createDataFrame(rows, PRODUCTS), "products").collect()

@@ -214,9 +214,11 @@ def fail(name):
     raise ValueError(name)
 
 
-def test_large_job_settings_grow_with_the_shuffle():
-    assert large_job_settings(1)[SHUFFLE_PARTITIONS] == "200"
-    assert large_job_settings(10**14)[SHUFFLE_PARTITIONS] == str(745_059)
+def test_large_job_settings_grow_up_to_a_bound():
+    scan = "spark.sql.files.maxPartitionBytes"
+    sizes = {size: large_job_settings(size) for size in (1, 10**12, 10**14)}
+    assert [sizes[size][SHUFFLE_PARTITIONS] for size in sizes] == ["200", "7451", "30000"]
+    assert [sizes[size][scan] for size in sizes] == ["134217728", "134217728", "1000000000"]
 
 
 def test_plan_text_shows_all_stages(spark):
