@@ -7,7 +7,7 @@ values and second copies of some rows. Each has its counterpart in `oracles`.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamina.functions import line_total
@@ -79,9 +79,6 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def order_items(spark: SparkSession, folder: str) -> DataFrame:
-    """Items at the discounted price, which has four places."""
-    discount = F.col("l_discount").cast("decimal(4,2)")
-    price = (F.col("l_extendedprice").cast(AMOUNT) * (1 - discount)).cast(PRICE)
     return (
         table(spark, folder, "lineitem")
         .select(
@@ -89,7 +86,7 @@ def order_items(spark: SparkSession, folder: str) -> DataFrame:
             F.col("l_orderkey").alias("order_id"),
             F.col("l_partkey").alias("product_id"),
             F.col("l_quantity").cast("int").alias("quantity"),
-            price.alias("unit_price"),
+            _discounted_price().alias("unit_price"),
         )
         .withColumn("line_total", line_total(F.col("quantity"), F.col("unit_price")))
     )
@@ -164,9 +161,7 @@ def raw_order_items(spark: SparkSession, folder: str) -> DataFrame:
     lines = table(spark, folder, "lineitem")
     tax, rebate = F.col("l_tax"), F.col("l_discount")
     quantity = F.col("l_quantity").cast("int")
-    price = (
-        F.col("l_extendedprice").cast(AMOUNT) * (1 - F.col("l_discount").cast("decimal(4,2)"))
-    ).cast(PRICE)
+    no_price = F.lit(0).cast(PRICE)
     return lines.select(
         (F.col("l_orderkey") * ITEMS_PER_ORDER + F.col("l_linenumber")).alias("order_item_id"),
         F.when(~((tax == 0) & (rebate == 0)), F.col("l_orderkey")).alias("order_id"),
@@ -175,11 +170,17 @@ def raw_order_items(spark: SparkSession, folder: str) -> DataFrame:
         .when(tax == 0.07, F.lit(None))
         .otherwise(quantity)
         .alias("quantity"),
-        F.when(rebate == 0.1, F.lit(0).cast(PRICE)).otherwise(price).alias("unit_price"),
+        F.when(rebate == 0.1, no_price).otherwise(_discounted_price()).alias("unit_price"),
         F.lit(0).cast(AMOUNT).alias("line_total"),
     )
 
 
+def _discounted_price() -> Column:
+    """The price of a line after its discount, which has four places."""
+    discount = F.col("l_discount").cast("decimal(4,2)")
+    return (F.col("l_extendedprice").cast(AMOUNT) * (1 - discount)).cast(PRICE)
+
+
 RAW_FEEDS = {
     "products": raw_products,
     "customers": raw_customers,

@@ -2,6 +2,24 @@
 
 from __future__ import annotations
 
+def initcap(text: str) -> str:
+    """Upper-case the first letter of each space-separated word of trimmed text."""
+    words = f"string_split(lower(trim({text})), ' ')"
+    return (
+        f"list_aggregate(list_transform({words}, lambda w: upper(w[1]) || w[2:]), "
+        "'string_agg', ' ')"
+    )
+
+
+def hot_or_other(row_id: str, values: list[str], hot_value: str, percent: int) -> str:
+    others = [value for value in values if value != hot_value]
+    listed = ", ".join(f"'{value}'" for value in others)
+    return (
+        f"CASE WHEN ({row_id} * 7919) % 100 < {percent} THEN '{hot_value}' "
+        f"ELSE ([{listed}])[CAST(({row_id} * 104729) % {len(others)} AS INTEGER) + 1] END"
+    )
+
+
 PRODUCTS = """
 products AS (
   SELECT p_partkey AS product_id, p_name AS product_name, lower(p_type) AS category,
@@ -10,14 +28,14 @@ products AS (
   FROM part
 )"""
 
-CUSTOMERS = """
+CUSTOMERS = f"""
 customers AS (
   SELECT c_custkey AS customer_id,
          upper(c_mktsegment[1]) || lower(c_mktsegment[2:]) || ' O''' || lower(n_name)
            AS first_name,
          c_name AS last_name, lower(c_name || '@example.com') AS email,
          upper(n_name[1]) || lower(n_name[2:]) AS city,
-         {province} AS province,
+         {initcap("r_name")} AS province,
          DATE '2020-01-01' + CAST(c_custkey % 1826 AS INTEGER) AS signup_date,
          CASE WHEN c_acctbal < 0 THEN 'bronze' WHEN c_acctbal < 5000 THEN 'silver'
               ELSE 'gold' END AS loyalty_tier,
@@ -57,24 +75,6 @@ order_items AS (
 )
 
 
-def initcap(text: str) -> str:
-    """Upper-case the first letter of each space-separated word of trimmed text."""
-    words = f"string_split(lower(trim({text})), ' ')"
-    return (
-        f"list_aggregate(list_transform({words}, lambda w: upper(w[1]) || w[2:]), "
-        "'string_agg', ' ')"
-    )
-
-
-def hot_or_other(row_id: str, values: list[str], hot_value: str, percent: int) -> str:
-    others = [value for value in values if value != hot_value]
-    listed = ", ".join(f"'{value}'" for value in others)
-    return (
-        f"CASE WHEN ({row_id} * 7919) % 100 < {percent} THEN '{hot_value}' "
-        f"ELSE ([{listed}])[CAST(({row_id} * 104729) % {len(others)} AS INTEGER) + 1] END"
-    )
-
-
 HOT_CATEGORY = hot_or_other(
     "p_partkey",
     ["electronics", "clothing", "home", "grocery", "beauty", "sports", "toys", "automotive"],
@@ -88,8 +88,6 @@ HOT_PROVINCE = hot_or_other(
     35,
 )
 
-CUSTOMERS = CUSTOMERS.format(province=initcap("r_name"))
-
 SKEWED_ITEMS = (
     ORDER_ITEMS
     + f""",

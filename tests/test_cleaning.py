@@ -89,7 +89,8 @@ def test_line_total_from_doubles_and_text(spark):
 
 
 def test_amounts_that_are_no_money_drop_their_row_only(spark):
-    rows = [(n, 1, 1, 3, price, 0.0) for n, price in enumerate([1e300, float("nan"), float("inf"), 2.5])]
+    prices = [1e300, float("nan"), float("inf"), 2.5]
+    rows = [(number, 1, 1, 3, price, 0.0) for number, price in enumerate(prices)]
     df = spark.createDataFrame(
         rows,
         "order_item_id INT, order_id INT, product_id INT, quantity INT, "

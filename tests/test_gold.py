@@ -7,11 +7,14 @@ from collections import defaultdict
 from decimal import Decimal
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from lamina.model import PROCESSED_AT
 from lamina.operators import gold
+from lamina.operators.dedupe import smallest_per_key
 from lamina.operators.derive import hot_or_other, order_fanout, with_prices
-from pyspark.sql import functions as F
 
 DAY = dt.datetime(2024, 5, 1, 23, 59)
 NEXT_DAY = dt.datetime(2024, 5, 2, 0, 0)
@@ -77,7 +80,9 @@ def test_day_follows_the_session_time_zone_only_for_zoned_times(spark, tables):
 
 def test_clashing_columns_keep_the_left_value(spark):
     left = spark.createDataFrame([(1, "l", 2.0)], "k INT, batch_id STRING, unit_price DOUBLE")
-    right = spark.createDataFrame([(1, "r", 3.0, "x")], "k INT, batch_id STRING, unit_price DOUBLE, c STRING")
+    right = spark.createDataFrame(
+        [(1, "r", 3.0, "x")], "k INT, batch_id STRING, unit_price DOUBLE, c STRING"
+    )
     joined = gold.join_on(left, right, "k")
     assert joined.columns == ["k", "batch_id", "unit_price", "c"]
     assert tuple(joined.select("k", "batch_id", "unit_price", "c").first()) == (1, "l", 2.0, "x")
@@ -91,7 +96,7 @@ def test_join_of_tables_with_lineage_columns_can_be_stored(spark, tables, tmp_pa
 
 def test_totals_and_counts(tables):
     daily = gold.daily_sales(*tables)
-    totals = {row.category: row.category_total_sales for row in gold.sales_per_category(daily).collect()}
+    totals = dict(map(tuple, gold.sales_per_category(daily).collect()))
     assert totals == {"toys": 13.29, "home": 5.05, None: 7.0}
     assert gold.count_equal(tables[2], "category", "home").first().row_count == 3
     assert gold.count_rows(tables[1], "items").first().asDict() == {
@@ -103,13 +108,14 @@ def test_totals_and_counts(tables):
 
 
 def test_ties_in_the_top_rows_break_by_day_and_category(spark):
+    first, second = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
     daily = spark.createDataFrame(
-        [(dt.date(2024, 1, 2), "a", 1.0), (dt.date(2024, 1, 1), "b", 1.0), (dt.date(2024, 1, 1), "a", 1.0)],
+        [(second, "a", 1.0), (first, "b", 1.0), (first, "a", 1.0)],
         "order_date DATE, category STRING, total_sales DOUBLE",
     )
     assert [tuple(row)[:2] for row in gold.top_days(daily, 2).collect()] == [
-        (dt.date(2024, 1, 1), "a"),
-        (dt.date(2024, 1, 1), "b"),
+        (first, "a"),
+        (first, "b"),
     ]
 
 
@@ -122,9 +128,12 @@ def test_hot_order_product_and_category(spark):
         "CAST(id % 4 + 1 AS INT) AS quantity",
     )
     orders = spark.range(9_000).selectExpr(
-        "id AS order_id", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(id % 5) AS order_timestamp"
+        "id AS order_id",
+        "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(id % 5) AS order_timestamp",
+    )
+    products = spark.range(50).selectExpr(
+        "id AS product_id", "IF(id < 30, 'hot', concat('c', id % 4)) AS category"
     )
-    products = spark.range(50).selectExpr("id AS product_id", "IF(id < 30, 'hot', concat('c', id % 4)) AS category")
     expected = defaultdict(lambda: [Decimal(0), 0, set()])
     for number in range(9_000):
         order = 1 if number % 3 == 0 else number
@@ -149,7 +158,9 @@ def test_hot_value_has_its_share(spark):
 
 def test_fanout_and_prices(spark):
     orders = spark.createDataFrame([(1, 3), (2, 1)], "order_id BIGINT, item_count INT")
-    products = spark.range(4).selectExpr("id AS product_id", "CAST(id + 0.5 AS DECIMAL(18,4)) AS unit_price")
+    products = spark.range(4).selectExpr(
+        "id AS product_id", "CAST(id + 0.5 AS DECIMAL(18,4)) AS unit_price"
+    )
     items = order_fanout(orders, 4)
     assert sorted(row.order_item_id for row in items.collect()) == [11, 12, 13, 21]
     priced = with_prices(items, products).collect()
@@ -157,3 +168,43 @@ def test_fanout_and_prices(spark):
     for row in priced:
         assert 1 <= row.quantity <= 5
         assert row.line_total == row.quantity * (row.product_id + Decimal("0.5"))
+
+
+CENTS = st.integers(1, 10_000)
+ITEM = st.tuples(st.integers(0, 8), st.integers(0, 5), CENTS, st.integers(1, 5))
+ORDER = st.tuples(st.integers(0, 9), st.integers(0, 2))
+
+
+@settings(
+    max_examples=15,
+    deadline=None,
+    suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow],
+)
+@given(
+    items=st.lists(ITEM, min_size=1, max_size=40),
+    orders=st.lists(ORDER, min_size=1, max_size=12),
+)
+def test_random_tables_against_loops(spark, items, orders):
+    """Deduplicated orders, then both forms of the daily table, against plain loops."""
+    days = {}
+    for order, day in orders:
+        days[order] = min(day, days.get(order, day))
+    expected = defaultdict(lambda: [0, 0, set()])
+    for order, product, cents, quantity in items:
+        if order in days and product < 4:
+            sums = expected[dt.date(2024, 1, 1 + days[order]), f"c{product % 2}"]
+            sums[0] += cents
+            sums[1] += quantity
+            sums[2].add(order)
+    wanted = {key: (cents / 100, sold, len(of)) for key, (cents, sold, of) in expected.items()}
+
+    order_rows = [(order, dt.datetime(2024, 1, 1 + day, 12)) for order, day in orders]
+    item_rows = [(o, p, Decimal(cents) / 100, q) for o, p, cents, q in items]
+    delivered = spark.createDataFrame(order_rows, "order_id BIGINT, order_timestamp TIMESTAMP_NTZ")
+    single = smallest_per_key(delivered, ["order_id"])
+    sold = spark.createDataFrame(
+        item_rows, "order_id BIGINT, product_id BIGINT, line_total DECIMAL(18,2), quantity INT"
+    )
+    products = spark.range(4).selectExpr("id AS product_id", "concat('c', id % 2) AS category")
+    assert as_dict(gold.daily_sales(single, sold, products, orders_are_unique=True)) == wanted
+    assert as_dict(gold.summarise_sales(gold.joined_sales(single, sold, products))) == wanted

@@ -162,7 +162,9 @@ def test_skewed_product_is_split_at_run_time(spark):
         "CAST(1 AS DECIMAL(18,2)) AS line_total",
         "1 AS quantity",
     )
-    products = session.range(60_000).selectExpr("id AS product_id", "concat('c', id % 5) AS category")
+    products = session.range(60_000).selectExpr(
+        "id AS product_id", "concat('c', id % 5) AS category"
+    )
     orders = session.range(60_000).selectExpr(
         "id AS order_id", "timestamp_ntz'2024-01-01 00:00:00' AS order_timestamp"
     )

@@ -19,7 +19,8 @@ def skewed(spark):
     """Key `hot` has a third of the rows, null a sixth, fifty others share the rest."""
     return spark.range(ROWS, numPartitions=6).selectExpr(
         "id",
-        "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 6 = 1 THEN NULL ELSE concat('k', id % 50) END AS k",
+        "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 6 = 1 THEN NULL "
+        "ELSE concat('k', id % 50) END AS k",
         "id % 700 AS order_id",
         "CAST(id % 11 + 0.5 AS DECIMAL(18,2)) AS line_total",
         "CAST(id % 4 + 1 AS INT) AS quantity",
@@ -129,5 +130,5 @@ def test_round_robin_sizes_differ_by_no_more_than_the_input_tasks(skewed):
 
 
 def test_decimal_sums_do_not_depend_on_order(skewed):
-    total = skewed.agg(F.sum("line_total")).first()[0]
-    assert total == sum((Decimal(number % 11) + Decimal("0.5") for number in range(ROWS)), Decimal(0))
+    expected = sum((number % 11 + Decimal("0.5") for number in range(ROWS)), Decimal(0))
+    assert skewed.agg(F.sum("line_total")).first()[0] == expected
