@@ -259,6 +259,11 @@ silver_order_items AS (
 )
 
 
+def or_missing(name: str) -> str:
+    """An integer column that shows -1 where the value is missing."""
+    return f"coalesce({name}, -1) AS {name}"
+
+
 def with_ctes(ctes: str | list[str], select: str) -> str:
     listed = [ctes] if isinstance(ctes, str) else ctes
     return f"WITH {','.join(listed)}\n{select}"
@@ -393,33 +398,33 @@ ORACLES: dict[str, str] = {
     ),
     "filter_not_null": with_ctes(
         RAW_ORDER_ITEMS,
-        f"SELECT order_item_id, order_id, product_id, quantity, {DOUBLE_PRICES} "
+        f"SELECT order_item_id, order_id, product_id, {or_missing('quantity')}, {DOUBLE_PRICES} "
         "FROM raw_order_items WHERE order_item_id IS NOT NULL AND order_id IS NOT NULL "
         "AND product_id IS NOT NULL",
     ),
     "filter_positive": with_ctes(
         RAW_ORDER_ITEMS,
-        f"SELECT order_item_id, order_id, product_id, quantity, {DOUBLE_PRICES} "
-        "FROM raw_order_items WHERE quantity > 0 AND unit_price > 0",
+        f"SELECT order_item_id, {or_missing('order_id')}, {or_missing('product_id')}, "
+        f"quantity, {DOUBLE_PRICES} FROM raw_order_items WHERE quantity > 0 AND unit_price > 0",
     ),
     "standardize_strings": with_ctes(
         RAW_CUSTOMERS,
-        f"SELECT customer_id, {initcap('first_name')} AS first_name, "
+        f"SELECT {or_missing('customer_id')}, {initcap('first_name')} AS first_name, "
         f"{initcap('last_name')} AS last_name, lower(trim(email)) AS email, "
         f"{initcap('city')} AS city, {initcap('province')} AS province, "
         "signup_date, loyalty_tier, is_active FROM raw_customers",
     ),
     "recompute_line_total": with_ctes(
         RAW_ORDER_ITEMS,
-        "SELECT order_item_id, order_id, product_id, quantity, "
-        "CAST(unit_price AS DOUBLE) AS unit_price, "
+        f"SELECT order_item_id, {or_missing('order_id')}, {or_missing('product_id')}, "
+        f"{or_missing('quantity')}, CAST(unit_price AS DOUBLE) AS unit_price, "
         "CAST(CAST(round(quantity * unit_price, 2) AS DECIMAL(18,2)) AS DOUBLE) "
         "AS line_total FROM raw_order_items",
     ),
     "silver_products": with_ctes(
         SILVER_PRODUCTS,
-        "SELECT * REPLACE (CAST(unit_price AS DOUBLE) AS unit_price), true AS stamped "
-        "FROM silver_products",
+        f"SELECT * REPLACE (CAST(unit_price AS DOUBLE) AS unit_price, {or_missing('product_id')}), "
+        "true AS stamped FROM silver_products",
     ),
     "silver_customers": with_ctes(
         SILVER_CUSTOMERS, "SELECT *, true AS stamped FROM silver_customers"
@@ -454,12 +459,14 @@ ORACLES: dict[str, str] = {
     "schema_report": schema_rows(),
     "csv_roundtrip": with_ctes(
         RAW_ORDERS,
-        "SELECT * REPLACE (CAST(total_amount AS DOUBLE) AS total_amount) FROM raw_orders",
+        "SELECT * REPLACE (CAST(total_amount AS DOUBLE) AS total_amount, "
+        f"{or_missing('order_id')}, {or_missing('customer_id')}, {or_missing('store_id')}) "
+        "FROM raw_orders",
     ),
     "csv_inferred": with_ctes(
         RAW_ORDER_ITEMS,
-        "SELECT order_item_id, product_id, quantity, CAST(unit_price AS DOUBLE) AS unit_price "
-        "FROM raw_order_items",
+        f"SELECT order_item_id, {or_missing('product_id')}, {or_missing('quantity')}, "
+        "CAST(unit_price AS DOUBLE) AS unit_price FROM raw_order_items",
     ),
     "overwrite_roundtrip": with_ctes(CUSTOMERS, "SELECT * FROM customers"),
     "raw_to_gold": with_ctes(

@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, IntegralType
 
 from lamina.functions import positive, present, random_salt, salted_key, steady_salt
 from lamina.model import (
@@ -218,29 +219,29 @@ def dedupe_by_key(spark: SparkSession, folder: str) -> DataFrame:
 
 def filter_not_null(spark: SparkSession, folder: str) -> DataFrame:
     items = feeds.raw_order_items(spark, folder)
-    return _prices_as_double(items.filter(present("order_item_id", "order_id", "product_id")))
+    return _comparable(items.filter(present("order_item_id", "order_id", "product_id")))
 
 
 def filter_positive(spark: SparkSession, folder: str) -> DataFrame:
     items = feeds.raw_order_items(spark, folder)
-    return _prices_as_double(items.filter(positive(items, "quantity", "unit_price")))
+    return _comparable(items.filter(positive(items, "quantity", "unit_price")))
 
 
 def standardize_strings(spark: SparkSession, folder: str) -> DataFrame:
     rules = silver.CLEANING["customers"]
-    return silver.standardise(feeds.raw_customers(spark, folder), rules)
+    return _comparable(silver.standardise(feeds.raw_customers(spark, folder), rules))
 
 
 def recompute_line_total(spark: SparkSession, folder: str) -> DataFrame:
     items = feeds.raw_order_items(spark, folder)
-    return _prices_as_double(silver.recompute_line_total(items))
+    return _comparable(silver.recompute_line_total(items))
 
 
 def silver_dataset(dataset: str) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
         cleaned = silver.clean(feeds.RAW_FEEDS[dataset](spark, folder), dataset)
         stamped = F.col(PROCESSED_AT).isNotNull().alias("stamped")
-        return _prices_as_double(cleaned.select("*", stamped).drop(PROCESSED_AT))
+        return _comparable(cleaned.select("*", stamped).drop(PROCESSED_AT))
 
     return query
 
@@ -252,7 +253,7 @@ def bronze_audit(spark: SparkSession, folder: str) -> DataFrame:
     audited = bronze.with_audit_columns(
         feeds.orders(spark, folder), "orders", DEFAULT_BATCH_ID
     )
-    return _prices_as_double(
+    return _comparable(
         audited.withColumns(
             {
                 "source_file": F.element_at(F.split("source_file", "/"), -1),
@@ -310,18 +311,20 @@ def schema_report(spark: SparkSession, folder: str) -> DataFrame:
 def csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     path = fresh_path(spark, "orders-csv")
     write_csv(feeds.raw_orders(spark, folder), path)
-    return _prices_as_double(read_csv(spark, path, RAW_SCHEMAS["orders"]))
+    return _comparable(read_csv(spark, path, RAW_SCHEMAS["orders"]))
 
 
 def csv_inferred(spark: SparkSession, folder: str) -> DataFrame:
     path = fresh_path(spark, "items-csv")
     write_csv(feeds.raw_order_items(spark, folder), path)
     inferred = read_csv(spark, path)
-    return inferred.select(
-        F.col("order_item_id").cast("bigint").alias("order_item_id"),
-        F.col("product_id").cast("bigint").alias("product_id"),
-        F.col("quantity").cast("int").alias("quantity"),
-        F.col("unit_price").cast("double").alias("unit_price"),
+    return _comparable(
+        inferred.select(
+            F.col("order_item_id").cast("bigint").alias("order_item_id"),
+            F.col("product_id").cast("bigint").alias("product_id"),
+            F.col("quantity").cast("int").alias("quantity"),
+            F.col("unit_price").cast("double").alias("unit_price"),
+        )
     )
 
 
@@ -501,7 +504,7 @@ def order_fanout(spark: SparkSession, folder: str) -> DataFrame:
 
 def price_lookup(spark: SparkSession, folder: str) -> DataFrame:
     items = order_fanout(spark, folder)
-    return _prices_as_double(derive.with_prices(items, feeds.products(spark, folder)))
+    return _comparable(derive.with_prices(items, feeds.products(spark, folder)))
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -511,15 +514,16 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return whole
 
 
-def _prices_as_double(df: DataFrame) -> DataFrame:
-    """Decimals as doubles, for comparison with another engine."""
-    return df.withColumns(
-        {
-            field.name: F.col(field.name).cast("double")
-            for field in df.schema
-            if field.dataType.typeName() == "decimal"
-        }
-    )
+def _comparable(df: DataFrame) -> DataFrame:
+    """Decimals as doubles and missing integers as -1.
+
+    The results are compared across engines, whose clients show both differently.
+    """
+    kinds = {field.name: field.dataType for field in df.schema}
+    decimals = [name for name, kind in kinds.items() if isinstance(kind, DecimalType)]
+    integers = [name for name, kind in kinds.items() if isinstance(kind, IntegralType)]
+    as_double = df.withColumns({name: F.col(name).cast("double") for name in decimals})
+    return as_double.fillna(-1, integers)
 
 
 QUERIES: dict[str, Query] = {
