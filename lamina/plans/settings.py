@@ -24,7 +24,7 @@ def session_with(spark: SparkSession, settings: Mapping[str, str]) -> SparkSessi
 
     Spark reads settings when it plans a query, not when the frame is built. A
     frame of this session is planned under its settings whenever it runs, and the
-    settings of the given session never change.
+    settings of the given session never change. Temporary views stay behind.
     """
     session = spark.newSession()
     inherited = {

@@ -477,11 +477,13 @@ def _shuffle_partitions(spark: SparkSession) -> int:
 
 
 def repartition_sizes(spark: SparkSession, folder: str) -> DataFrame:
+    """The daily table, a row per day and category, dealt out over five partitions."""
     daily = daily_sales(spark, folder).repartition(5)
     return _evenness(layout.partition_sizes(daily, 5))
 
 
 def coalesce_sizes(spark: SparkSession, folder: str) -> DataFrame:
+    """The daily table in fifty partitions, of which ten each are read as one."""
     daily = daily_sales(spark, folder).repartition(50).coalesce(5)
     return _evenness(layout.partition_sizes(daily, 5))
 
