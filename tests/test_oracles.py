@@ -6,12 +6,14 @@
 from __future__ import annotations
 
 import os
+import re
 from datetime import date, datetime
 
 import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from lamina.plans.report import plan_text
 
 FOLDER = os.environ.get("LAMINA_SF_DIR", "/root/testdata/sf0.001")
 TABLES = ("region", "nation", "customer", "part", "orders", "lineitem")
@@ -50,6 +52,7 @@ def test_query_equals_oracle(spark, duck, name):
     theirs = dict(zip(relation.columns, map(str, relation.types), strict=True))
     assert ours == theirs
 
+    check_plan(plan_text(df))
     order = sorted(ours)
     got = sorted(_keys([row[column] for column in order] for row in df.collect()))
     expected = sorted(_keys(relation.select(*order).fetchall()))
@@ -58,6 +61,16 @@ def test_query_equals_oracle(spark, duck, name):
     assert got
 
 
+def check_plan(text):
+    """No product of two tables, no Python worker, and one task only for combined rows."""
+    for node in ("CartesianProduct", "NestedLoopJoin", "Python", "Window", "Scan ExistingRDD"):
+        assert node not in text
+    lines = text.splitlines()
+    for line, below in zip(lines, lines[1:], strict=False):
+        if "SinglePartition" in line:
+            assert re.search(r"HashAggregate\(keys=\[\], functions=\[partial_", below), below
+
+
 def _keys(rows):
     """Rows in a form that sorts although values may be null."""
     return [tuple((value is not None, _plain(value)) for value in row) for row in rows]
