@@ -36,9 +36,7 @@ def skew_report(df: DataFrame, key: str) -> DataFrame:
     )
 
 
-def salted_sales(
-    df: DataFrame, key: str, distinct_on: str, salts: int
-) -> DataFrame:
+def salted_sales(df: DataFrame, key: str, distinct_on: str, salts: int) -> DataFrame:
     """Sales per key in two stages: per key and salt first, then per key.
 
     The salt comes from the column whose distinct values are counted. Each value

@@ -27,14 +27,20 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A path below the shared folder that no other run uses."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new folder below the shared one, removed when the application ends."""
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(folder)
+    files.deleteOnExit(folder)
+    return path
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Run `df` now, keep the result as a shared table and return that table.
 
-    This cuts the lineage: later steps read files and survive lost executors.
+    This cuts the lineage: later steps read files and survive lost executors. The
+    table lasts as long as the application.
     """
     path = fresh_path(df.sparkSession, label)
     write_table(df, path)

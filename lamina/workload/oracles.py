@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+
 def initcap(text: str) -> str:
     """Upper-case the first letter of each space-separated word of trimmed text."""
     words = f"string_split(lower(trim({text})), ' ')"
@@ -74,7 +75,6 @@ order_items AS (
 )"""
 )
 
-
 HOT_CATEGORY = hot_or_other(
     "p_partkey",
     ["electronics", "clothing", "home", "grocery", "beauty", "sports", "toys", "automotive"],
