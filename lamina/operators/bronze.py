@@ -34,7 +34,11 @@ def ingest_dataset(
     batch_id: str = DEFAULT_BATCH_ID,
     infer_types: bool = False,
 ) -> int:
-    """Load one raw dataset into its bronze table; returns the number of rows."""
+    """Load one raw dataset into its bronze table; returns the number of rows.
+
+    With the declared types a value of another type is null, in a row that stays.
+    Inferring the types reads the files twice and takes them as they come.
+    """
     schema = None if infer_types else RAW_SCHEMAS[dataset]
     raw = read_csv(spark, layers.raw_file(dataset), schema)
     bronze = with_audit_columns(raw, dataset, batch_id)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from decimal import Decimal
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -47,6 +50,26 @@ def test_single_file_with_quotes_and_padding(spark, tmp_path):
     assert types["unit_price"] == "string"
 
 
+def test_times_with_a_space_or_a_letter_between_day_and_hour(spark, tmp_path):
+    path = tmp_path / "orders.csv"
+    path.write_text(
+        "order_id,customer_id,order_timestamp,store_id,order_status,payment_method,"
+        "total_amount,item_count\n"
+        "1,2,2023-05-04 23:59:59,3,pending,debit,12.34,2\n"
+        "2,2,2023-05-04T23:59:59.000,3,pending,debit,1e3,2\n"
+        "3,2,2023-05-04,3,pending,debit,7,many\n"
+    )
+    rows = read_csv(spark, str(path), RAW_SCHEMAS["orders"]).collect()
+    last_second = dt.datetime(2023, 5, 4, 23, 59, 59)
+    assert [row.order_timestamp for row in rows] == [
+        last_second,
+        last_second,
+        dt.datetime(2023, 5, 4),
+    ]
+    assert [row.total_amount for row in rows] == [Decimal("12.34"), 1000, 7]
+    assert [row.item_count for row in rows] == [2, 2, None]
+
+
 def test_a_header_in_another_order_is_refused(spark, tmp_path):
     path = tmp_path / "products.csv"
     path.write_text("product_name,product_id,category,brand,unit_price,is_active\na,1,b,c,1,True\n")
