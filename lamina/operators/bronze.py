@@ -67,7 +67,7 @@ def validate_dataset(spark: SparkSession, dataset: str, layers: Layers) -> DataF
     df = read_table(spark, f"{layers.bronze}/{dataset}", layers.table_format)
     missing = missing_audit_columns(df)
     if missing:
-        raise ValueError(f"{dataset} is missing audit columns: {', '.join(missing)}")
+        raise ValueError(f"{dataset} lacks lineage columns: {', '.join(missing)}")
     return validation_row(df, dataset)
 
 

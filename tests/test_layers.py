@@ -116,7 +116,7 @@ def test_validation_names_what_is_missing(spark, tmp_path):
     partly = spark.range(3).withColumns({"batch_id": F.lit("x"), "source_file": F.lit("y")})
     write_table(partly, f"{layers.bronze}/orders")
     with pytest.raises(
-        ValueError, match="orders is missing audit columns: source_system, ingestion_timestamp"
+        ValueError, match="orders lacks lineage columns: source_system, ingestion_timestamp"
     ):
         bronze.validate_dataset(spark, "orders", layers)
 
