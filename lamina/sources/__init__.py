@@ -1,10 +1,12 @@
 from lamina.sources.files import read_csv, read_table, write_csv, write_table
-from lamina.sources.shared import fresh_path, shared_folder, stored
+from lamina.sources.shared import fresh_path, held, remove_path, shared_folder, stored
 
 __all__ = [
     "fresh_path",
+    "held",
     "read_csv",
     "read_table",
+    "remove_path",
     "shared_folder",
     "stored",
     "write_csv",

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,17 +14,14 @@ from lamina.sources.files import read_table, write_table
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by `spark.checkpoint.dir`.
 
-    Only a local session without that setting gets a temporary folder; a cluster
-    must name one that every executor can reach.
+    Where that is unset, as in a test, it is a folder below the warehouse, which the
+    driver and the executors share as well. It is never a machine's temporary folder.
     """
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = folder or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="lamina-"))
-    return context.getCheckpointDir().rstrip("/")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_intermediate"
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
@@ -36,12 +34,30 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that `fresh_path` made."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Run `df` now, keep the result as a shared table and return that table.
 
     This cuts the lineage: later steps read files and survive lost executors. The
-    table lasts as long as the application.
+    table lasts as long as the application, for frames that are run later; where the
+    work ends before the function returns, `held` removes it sooner.
     """
     path = fresh_path(df.sparkSession, label)
     write_table(df, path)
     return read_table(df.sparkSession, path)
+
+
+@contextmanager
+def held(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """`stored`, removed at the end of the block."""
+    path = fresh_path(df.sparkSession, label)
+    try:
+        write_table(df, path)
+        yield read_table(df.sparkSession, path)
+    finally:
+        remove_path(df.sparkSession, path)

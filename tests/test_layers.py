@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from lamina.model import AUDIT_COLUMNS, DAILY_SALES, DATASETS, PROCESSED_AT, RAW
 from lamina.operators import bronze, gold, silver
 from lamina.sources import (
     fresh_path,
+    held,
     read_csv,
     read_table,
     shared_folder,
@@ -155,20 +157,24 @@ def test_stored_frame_reads_files_below_the_shared_folder(spark):
     assert fresh_path(spark, "a") != fresh_path(spark, "a")
 
 
-def test_cluster_without_a_shared_folder_is_refused():
-    class Context:
-        master = "spark://somewhere:7077"
+def test_shared_folder_without_the_setting_is_below_the_warehouse():
+    class Session:
+        class conf:
+            @staticmethod
+            def get(key, *default):
+                return {"spark.sql.warehouse.dir": "hdfs://name/warehouse"}.get(key, *default)
 
-        def getCheckpointDir(self):
-            return None
+        class sparkContext:
+            @staticmethod
+            def getCheckpointDir():
+                return None
 
-    class Conf:
-        def get(self, name, default):
-            return default
+    assert shared_folder(Session()) == "hdfs://name/warehouse/_intermediate"
 
-    class Session:
-        sparkContext = Context()
-        conf = Conf()
 
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        shared_folder(Session())
+def test_held_table_goes_with_its_block(spark):
+    with held(spark.range(5).toDF("n"), "held-test") as table:
+        path = table.inputFiles()[0].removeprefix("file:").replace("///", "/")
+        assert table.count() == 5
+        assert Path(path).exists()
+    assert not Path(path).exists()
