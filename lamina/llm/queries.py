@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.llm import warc
+from lamina.llm import sentencepiece, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,7 +23,13 @@ def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-LLM_QUERIES: dict[str, Query] = {"op1_warc": op1_warc}
+def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document encoded and decoded, with parity to the SentencePiece library."""
+    docs = _table(spark, folder, "documents")
+    return sentencepiece.digest(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
+LLM_QUERIES: dict[str, Query] = {"op1_warc": op1_warc, "op2_sentencepiece": op2_sentencepiece}
 
 # Five hexadecimal digits are four digits to the base of 32.
 _BASE32 = " || ".join(
