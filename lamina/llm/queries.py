@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.llm import sentencepiece, warc
+from lamina.llm import sentencepiece, token_store, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,7 +29,18 @@ def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return sentencepiece.digest(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
-LLM_QUERIES: dict[str, Query] = {"op1_warc": op1_warc, "op2_sentencepiece": op2_sentencepiece}
+def op3_token_store(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's tokens written as directly addressable codes and read back."""
+    docs = _table(spark, folder, "documents")
+    tokens = token_store.round_trip(spark, docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return tokens.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+LLM_QUERIES: dict[str, Query] = {
+    "op1_warc": op1_warc,
+    "op2_sentencepiece": op2_sentencepiece,
+    "op3_token_store": op3_token_store,
+}
 
 # Five hexadecimal digits are four digits to the base of 32.
 _BASE32 = " || ".join(
