@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.llm import sentencepiece, token_store, warc
+from lamina.llm import language_id, sentencepiece, token_store, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,10 +36,16 @@ def op3_token_store(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every document, learned from four fifths of the labelled ones."""
+    return language_id.identify(_table(spark, folder, "documents"))
+
+
 LLM_QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_sentencepiece": op2_sentencepiece,
     "op3_token_store": op3_token_store,
+    "op5_language_id": op5_language_id,
 }
 
 # Five hexadecimal digits are four digits to the base of 32.
