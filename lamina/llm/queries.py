@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.llm import language_id, sentencepiece, token_store, warc
+from lamina.llm import language_id, line_dedup, sentencepiece, token_store, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,11 +41,17 @@ def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.identify(_table(spark, folder, "documents"))
 
 
+def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines that stand in several documents kept in the first one only."""
+    return line_dedup.digest(_table(spark, folder, "documents"))
+
+
 LLM_QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_sentencepiece": op2_sentencepiece,
     "op3_token_store": op3_token_store,
     "op5_language_id": op5_language_id,
+    "op7_line_dedup": op7_line_dedup,
 }
 
 # Five hexadecimal digits are four digits to the base of 32.
@@ -68,4 +74,21 @@ LLM_ORACLES: dict[str, str] = {
                CASE WHEN page_id <> first_id THEN first_id END AS refers_to
         FROM f
     """,
+    "op7_line_dedup": """
+        WITH l AS (
+            SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                   generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
+            FROM documents
+        ), k AS (
+            SELECT *, translate(
+                trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+            FROM l
+        ), h AS (SELECT *, min(doc_id) OVER (PARTITION BY key) AS keeper FROM k),
+        m AS (SELECT *, length(key) >= 10 AND keeper <> doc_id AS gone FROM h)
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), ''))
+                   AS kept_sha256
+        FROM m GROUP BY doc_id
+    """,
 }
