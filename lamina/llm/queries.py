@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.llm import language_id, line_dedup, sentencepiece, token_store, warc
+from lamina.llm import language_id, line_dedup, near_dedup, sentencepiece, token_store, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,12 +46,18 @@ def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.digest(_table(spark, folder, "documents"))
 
 
+def op10_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """The near-duplicate class of every document."""
+    return near_dedup.classes(_table(spark, folder, "documents"))
+
+
 LLM_QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_sentencepiece": op2_sentencepiece,
     "op3_token_store": op3_token_store,
     "op5_language_id": op5_language_id,
     "op7_line_dedup": op7_line_dedup,
+    "op10_near_dedup": op10_near_dedup,
 }
 
 # Five hexadecimal digits are four digits to the base of 32.
@@ -91,4 +97,32 @@ LLM_ORACLES: dict[str, str] = {
                    AS kept_sha256
         FROM m GROUP BY doc_id
     """,
+    # Pairs that share a shingle, their generalised Jaccard, and the reach of the links.
+    "op10_near_dedup": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}_]+') AS w
+            FROM documents
+        ), s AS (
+            SELECT doc_id, unnest(CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE
+                list_transform(range(1, len(w) - 3),
+                               lambda i: array_to_string(w[i:i + 4], ' ')) END) AS shingle
+            FROM w WHERE len(w) > 0
+        ), c AS (SELECT doc_id, shingle, count(*) AS n FROM s GROUP BY ALL),
+        t AS (SELECT doc_id, sum(n) AS total FROM c GROUP BY doc_id),
+        m AS (
+            SELECT x.doc_id AS a, y.doc_id AS b, sum(least(x.n, y.n)) AS common
+            FROM c x JOIN c y ON x.shingle = y.shingle AND x.doc_id < y.doc_id
+            GROUP BY ALL
+        ), l AS (
+            SELECT a, b FROM m JOIN t p ON p.doc_id = a JOIN t q ON q.doc_id = b
+            WHERE common >= 0.8 * (p.total + q.total - common)
+        ), e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+        r AS (
+            SELECT a AS node, a AS seen FROM e
+            UNION
+            SELECT r.node, e.b FROM r JOIN e ON r.seen = e.a
+        ), k AS (SELECT node, min(seen) AS root FROM r GROUP BY node)
+        SELECT doc_id, coalesce(root, doc_id) AS class_id
+        FROM documents LEFT JOIN k ON node = doc_id
+    """,
 }
