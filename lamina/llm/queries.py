@@ -8,7 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.llm import language_id, line_dedup, near_dedup, sentencepiece, token_store, warc
+from lamina.llm import (
+    decontamination,
+    language_id,
+    line_dedup,
+    near_dedup,
+    sentencepiece,
+    token_store,
+    warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,6 +54,12 @@ def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.digest(_table(spark, folder, "documents"))
 
 
+def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document that contains a benchmark item, and which."""
+    docs, items = _table(spark, folder, "documents"), _table(spark, folder, "benchmark")
+    return decontamination.contaminated(docs, items)
+
+
 def op10_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """The near-duplicate class of every document."""
     return near_dedup.classes(_table(spark, folder, "documents"))
@@ -57,6 +71,7 @@ LLM_QUERIES: dict[str, Query] = {
     "op3_token_store": op3_token_store,
     "op5_language_id": op5_language_id,
     "op7_line_dedup": op7_line_dedup,
+    "op9_decontamination": op9_decontamination,
     "op10_near_dedup": op10_near_dedup,
 }
 
@@ -97,6 +112,27 @@ LLM_ORACLES: dict[str, str] = {
                    AS kept_sha256
         FROM m GROUP BY doc_id
     """,
+    # Items of five words or more; the tables hold no shorter ones.
+    "op9_decontamination": r"""
+        WITH w AS (
+            SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}_]+') AS w
+            FROM documents
+        ), v AS (
+            SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}_]+') AS w
+            FROM benchmark
+        ), d AS (
+            SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - 3),
+                   lambda i: array_to_string(w[i:i + 4], ' '))) AS shingle
+            FROM w
+        ), b AS (
+            SELECT DISTINCT item_id, unnest(list_transform(range(1, len(w) - 3),
+                   lambda i: array_to_string(w[i:i + 4], ' '))) AS shingle
+            FROM v
+        ), n AS (SELECT item_id, count(*) AS size FROM b GROUP BY item_id),
+        m AS (SELECT doc_id, item_id, count(*) AS common FROM b JOIN d USING (shingle) GROUP BY ALL)
+        SELECT doc_id, item_id, common / size AS containment
+        FROM m JOIN n USING (item_id) WHERE common >= 0.8 * size
+    """,
     # Pairs that share a shingle, their generalised Jaccard, and the reach of the links.
     "op10_near_dedup": r"""
         WITH RECURSIVE w AS (
