@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lamina.llm import (
     decontamination,
+    fingerprints,
     language_id,
     line_dedup,
     near_dedup,
@@ -49,6 +50,11 @@ def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.identify(_table(spark, folder, "documents"))
 
 
+def op6_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """The fingerprints of every document and its edited text, and how alike they are."""
+    return fingerprints.with_edits(_table(spark, folder, "documents"))
+
+
 def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Lines that stand in several documents kept in the first one only."""
     return line_dedup.digest(_table(spark, folder, "documents"))
@@ -70,6 +76,7 @@ LLM_QUERIES: dict[str, Query] = {
     "op2_sentencepiece": op2_sentencepiece,
     "op3_token_store": op3_token_store,
     "op5_language_id": op5_language_id,
+    "op6_fingerprints": op6_fingerprints,
     "op7_line_dedup": op7_line_dedup,
     "op9_decontamination": op9_decontamination,
     "op10_near_dedup": op10_near_dedup,
