@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lamina.llm import (
     decontamination,
     fingerprints,
+    html_tree,
     language_id,
     line_dedup,
     near_dedup,
@@ -60,6 +61,11 @@ def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.digest(_table(spark, folder, "documents"))
 
 
+def op8_html_tree(spark: SparkSession, folder: str) -> DataFrame:
+    """The main text of every page."""
+    return html_tree.extract(_table(spark, folder, "pages"))
+
+
 def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Every document that contains a benchmark item, and which."""
     docs, items = _table(spark, folder, "documents"), _table(spark, folder, "benchmark")
@@ -78,6 +84,7 @@ LLM_QUERIES: dict[str, Query] = {
     "op5_language_id": op5_language_id,
     "op6_fingerprints": op6_fingerprints,
     "op7_line_dedup": op7_line_dedup,
+    "op8_html_tree": op8_html_tree,
     "op9_decontamination": op9_decontamination,
     "op10_near_dedup": op10_near_dedup,
 }
