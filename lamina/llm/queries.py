@@ -15,6 +15,7 @@ from lamina.llm import (
     language_id,
     line_dedup,
     near_dedup,
+    pii,
     sentencepiece,
     token_store,
     warc,
@@ -46,6 +47,11 @@ def op3_token_store(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op4_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """The personal data in every document."""
+    return pii.find(_table(spark, folder, "documents")).drop("redacted")
+
+
 def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     """The language of every document, learned from four fifths of the labelled ones."""
     return language_id.identify(_table(spark, folder, "documents"))
@@ -81,6 +87,7 @@ LLM_QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_sentencepiece": op2_sentencepiece,
     "op3_token_store": op3_token_store,
+    "op4_pii": op4_pii,
     "op5_language_id": op5_language_id,
     "op6_fingerprints": op6_fingerprints,
     "op7_line_dedup": op7_line_dedup,
