@@ -205,5 +205,9 @@ def digest(docs: DataFrame) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """The documents with their kept lines, in the columns that they came with."""
-    return deduplicate(docs).select(*[f"`{c}`" for c in docs.columns])
+    """The documents with their kept lines, in the columns that they came with.
+
+    `n_chars`, if they have it, is counted anew.
+    """
+    counted = {"n_chars": F.length("text").cast("bigint")} if "n_chars" in docs.columns else {}
+    return deduplicate(docs).withColumns(counted).select(*[f"`{c}`" for c in docs.columns])

@@ -336,7 +336,11 @@ class Trees:
         order = np.argsort(-p, kind="stable")
         right = np.cumsum(y[order]) / np.arange(1, len(y) + 1)
         good = np.flatnonzero((right >= precision) & (p[order] >= 0.5))
-        self.threshold = float(p[order[good[-1]]]) if len(good) else 2.0
+        if len(good):
+            # Halfway to the first score that would be too many, and never below one half.
+            last, below = good[-1], good[-1] + 1
+            next_p = p[order[below]] if below < len(p) else 0.0
+            self.threshold = float(max(0.5, (p[order[last]] + next_p) / 2))
 
 
 def train(docs: DataFrame, training_docs: int = TRAINING_DOCS, precision: float = PRECISION) -> dict[str, Trees]:
