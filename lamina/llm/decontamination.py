@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from lamina.llm.frames import without
 from lamina.llm.shingles import WORDS, mixed, shingle_hashes, word_hashes, words_of
 from lamina.sources import stored
 
@@ -249,5 +250,4 @@ def contaminated(
 
 def keep_clean(docs: DataFrame, items: DataFrame, **settings) -> DataFrame:
     """The documents that hold no item, with the columns that they came with."""
-    found = contaminated(docs, items, **settings).select(F.col("doc_id").alias("_doc")).distinct()
-    return docs.join(found, F.col("doc_id") == F.col("_doc"), "left_anti")
+    return without(docs, contaminated(docs, items, **settings).select("doc_id"))

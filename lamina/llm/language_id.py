@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lamina.llm.frames import packed, unpacked
 from lamina.sources import held
 
 MAX_N = 4
@@ -214,8 +215,7 @@ def keep_identified(docs: DataFrame, min_score: float = 0.5) -> DataFrame:
     The model is trained on the documents given that have a language.
     """
     model = train(docs.where(~held_out()))
-    marked = docs.withColumns({"_text": F.col("text").cast("string")})
-    judged = predict(marked, model, "_text").where(
+    judged = predict(packed(docs, "text"), model).where(
         (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)
     )
-    return judged.select(*[f"`{c}`" for c in docs.columns])
+    return unpacked(judged, docs.columns, "text")

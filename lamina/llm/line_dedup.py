@@ -22,6 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lamina.llm.frames import packed, unpacked
 from lamina.sources import stored
 
 MIN_CHARS = 10
@@ -209,5 +210,7 @@ def deduplicated(docs: DataFrame) -> DataFrame:
 
     `n_chars`, if they have it, is counted anew.
     """
+    rows = deduplicate(packed(docs, "doc_id", "text"))
+    kept = unpacked(rows, docs.columns, "doc_id", "text")
     counted = {"n_chars": F.length("text").cast("bigint")} if "n_chars" in docs.columns else {}
-    return deduplicate(docs).withColumns(counted).select(*[f"`{c}`" for c in docs.columns])
+    return kept.withColumns(counted)

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from lamina.llm.components import components
+from lamina.llm.frames import without
 from lamina.llm.shingles import (
     counted,
     generalised_jaccard,
@@ -279,7 +280,4 @@ def classes(
 
 def keep_first(docs: DataFrame, **settings) -> DataFrame:
     """One document of each class, the one with the smallest id; null ids stay."""
-    dropped = classes(docs, **settings).where("doc_id != class_id").select(
-        F.col("doc_id").alias("_doc")
-    ).distinct()
-    return docs.join(dropped, F.col("doc_id") == F.col("_doc"), "left_anti")
+    return without(docs, classes(docs, **settings).where("doc_id != class_id").select("doc_id"))
