@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 def steady_salt(salt_on: Column, salts: int) -> Column:
     """A salt that depends on the row alone.
 
-    A task that runs again gives each row the same salt, so a lost executor
-    cannot move rows between groups. Rows with a null `salt_on` get salt 0.
+    It comes from the hash of `salt_on`, of any type, so values with a pattern are spread
+    as well. A task that runs again gives each row the same salt, so a lost executor
+    cannot move rows between groups. Rows with a null `salt_on` share one salt.
     """
-    return F.coalesce(F.pmod(salt_on, F.lit(salts)), F.lit(0)).cast("int")
+    return F.pmod(F.xxhash64(salt_on), F.lit(salts)).cast("int")
 
 
 def random_salt(salts: int, seed: int | None = None) -> Column:

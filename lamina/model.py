@@ -9,6 +9,7 @@ DATASETS = ("products", "customers", "orders", "order_items")
 AUDIT_COLUMNS = ("source_system", "batch_id", "ingestion_timestamp", "source_file")
 PROCESSED_AT = "silver_processing_timestamp"
 DEFAULT_BATCH_ID = "manual_batch_001"
+UNREADABLE = "unreadable_record"
 DAILY_SALES = "daily_sales_by_category"
 
 # The product categories, provinces and hot keys of the retail model.

@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.model import AUDIT_COLUMNS, DATASETS, DEFAULT_BATCH_ID, RAW_SCHEMAS, Layers
+from lamina.model import AUDIT_COLUMNS, DATASETS, DEFAULT_BATCH_ID, RAW_SCHEMAS, UNREADABLE, Layers
 from lamina.plans.together import together
 from lamina.sources import read_csv, read_table, write_table
 
@@ -18,12 +18,12 @@ def with_audit_columns(df: DataFrame, source: str, batch_id: str) -> DataFrame:
 
 
 def _source_file(df: DataFrame) -> Column:
-    """The file path from the scan; frames that are no longer a plain scan lack it."""
+    """The file path from the scan; a frame that is no plain scan lacks it and is refused."""
     path = F.col("_metadata.file_path")
     try:
         _ = df.select(path).schema
-    except AnalysisException:
-        return F.input_file_name()
+    except AnalysisException as error:
+        raise ValueError("lineage columns need a frame that is read from files") from error
     return path
 
 
@@ -36,12 +36,16 @@ def ingest_dataset(
 ) -> int:
     """Load one raw dataset into its bronze table; returns the number of rows.
 
-    With the declared types a value of another type is null, in a row that stays.
-    Inferring the types reads the files twice and takes them as they come.
+    With the declared types a value of another type is null, in a row that stays and
+    keeps the text of its record; `rejects` counts such rows. Inferring the types reads
+    the files twice and takes them as they come.
     """
     schema = None if infer_types else RAW_SCHEMAS[dataset]
-    raw = read_csv(spark, layers.raw_file(dataset), schema)
+    raw = read_csv(spark, layers.raw_file(dataset), schema, UNREADABLE)
     bronze = with_audit_columns(raw, dataset, batch_id)
+    if not infer_types:
+        others = [name for name in bronze.columns if name != UNREADABLE]
+        bronze = bronze.select(*others, UNREADABLE)
     return write_table(bronze, f"{layers.bronze}/{dataset}", layers.table_format)
 
 
@@ -58,6 +62,15 @@ def ingest_all(
     )
 
 
+def rejects(spark: SparkSession, dataset: str, layers: Layers) -> DataFrame:
+    """One row: dataset, its rows, and those with a record that could not be read as declared."""
+    df = read_table(spark, f"{layers.bronze}/{dataset}", layers.table_format)
+    kept = F.col(UNREADABLE) if UNREADABLE in df.columns else F.lit(None)
+    return df.agg(
+        F.count(F.lit(1)).alias("row_count"), F.count(kept).alias("unreadable_rows")
+    ).select(F.lit(dataset).alias("dataset"), "row_count", "unreadable_rows")
+
+
 def missing_audit_columns(df: DataFrame) -> list[str]:
     return [name for name in AUDIT_COLUMNS if name not in df.columns]
 

@@ -4,16 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lamina.functions import line_total
 from lamina.operators.gold import join_on
+from lamina.sources import stored
 
 # Primes that spread neighbouring ids. They have no factor in common with 100 or
 # with the small numbers they are reduced by, so the shares come out exactly.
 SHARE_PRIME, CHOICE_PRIME = 7919, 104729
-ITEMS_PER_ORDER = 10
 
 
 def hot_or_other(
@@ -27,17 +27,58 @@ def hot_or_other(
     return F.when(is_hot, F.lit(hot_value)).otherwise(F.get(choices, chosen))
 
 
-def order_fanout(orders: DataFrame, product_count: int) -> DataFrame:
-    """One row per item of each order, with a product and a quantity of 1 to 5."""
-    lines = orders.select(
+def spread(*keys: Column, part: int = 0) -> Column:
+    """A number from 0 to 2**32 - 1 from the hash of the keys; each `part` is another one."""
+    digest = F.md5(F.concat_ws(":", *[key.cast("string") for key in keys]))
+    return F.conv(F.substring(digest, 8 * part + 1, 8), 16, 10).cast("bigint")
+
+
+def numbered(df: DataFrame, key: str) -> DataFrame:
+    """The distinct values of `key` and their `number` in ascending order, from 0 on.
+
+    The values are dealt out by ranges, numbered in each, and moved on by what stands in
+    the ranges before; only that small table of ranges is added up in one place.
+    """
+    values = df.select(key).where(F.col(key).isNotNull()).distinct()
+    ranged = stored(
+        values.repartitionByRange(key).select(key, F.spark_partition_id().alias("range")),
+        "key-ranges",
+    )
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        ranged.groupBy("range")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select("range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    )
+    own = F.row_number().over(Window.partitionBy("range").orderBy(key)) - 1
+    placed = ranged.withColumn("own", own).join(offsets, "range")
+    return placed.select(key, (F.col("offset") + F.col("own")).alias("number"))
+
+
+def order_fanout(orders: DataFrame, products: DataFrame) -> DataFrame:
+    """One row per item of each order, with an existing product and a quantity of 1 to 5.
+
+    An order of no items, or of a null number, has none. The item id leaves room for the
+    most items that any order has, so ids are unique for orders with unique ids. Product
+    and quantity come from different parts of the hash of order and line; every product
+    can be chosen, whatever its id. Without products there are no items.
+    """
+    real = orders.where("item_count >= 1")
+    most = real.agg(F.max("item_count")).first()[0] or 1
+    known = stored(numbered(products, "product_id"), "numbered-products")
+    count = known.count()
+    lines = real.select(
         "order_id", F.explode(F.sequence(F.lit(1), "item_count")).alias("line_number")
     )
-    item_id = F.col("order_id") * ITEMS_PER_ORDER + F.col("line_number")
-    return lines.select(
-        item_id.alias("order_item_id"),
+    order_id, line = F.col("order_id"), F.col("line_number")
+    drawn = lines.select(
+        (order_id * (most + 1) + line).alias("order_item_id"),
         "order_id",
-        F.pmod(item_id * CHOICE_PRIME, F.lit(product_count)).alias("product_id"),
-        (F.pmod(item_id * SHARE_PRIME, F.lit(5)) + 1).cast("int").alias("quantity"),
+        F.pmod(spread(order_id, line), F.lit(max(count, 1))).alias("number"),
+        (F.pmod(spread(order_id, line, part=1), F.lit(5)) + 1).cast("int").alias("quantity"),
+    )
+    return drawn.join(known, "number").select(
+        "order_item_id", "order_id", "product_id", "quantity"
     )
 
 

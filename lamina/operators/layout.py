@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lamina.operators.gold import count_per_key
-
 
 def partition_sizes(df: DataFrame, partitions: int | None = None) -> DataFrame:
     """Rows in each partition of `df`.
@@ -20,17 +18,6 @@ def partition_sizes(df: DataFrame, partitions: int | None = None) -> DataFrame:
     return sizes if partitions is None else _with_empty(sizes, partitions)
 
 
-def planned_sizes(df: DataFrame, partitions: int, *keys: str) -> DataFrame:
-    """The partition sizes that `df.repartition(partitions, *keys)` would give.
-
-    Spark places a row by the hash of its keys, so the counts per key are enough:
-    the rows are not moved, and a hot key is measured without filling one task.
-    """
-    target = F.pmod(F.hash(*keys), F.lit(partitions)).alias("partition_id")
-    sizes = count_per_key(df, *keys).groupBy(target).agg(F.sum("row_count").alias("row_count"))
-    return _with_empty(sizes, partitions)
-
-
 def _with_empty(sizes: DataFrame, partitions: int) -> DataFrame:
     numbers = sizes.sparkSession.range(partitions).select(
         F.col("id").cast("int").alias("partition_id")

@@ -6,9 +6,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lamina.functions import as_number, line_total, lowered, positive, present, titled, trimmed
-from lamina.model import DATASETS, KEYS, PROCESSED_AT, Layers
+from lamina.model import DATASETS, KEYS, PROCESSED_AT, RAW_SCHEMAS, UNREADABLE, Layers
 from lamina.operators.dedupe import smallest_per_key
 from lamina.plans.together import together
 from lamina.sources import read_table, write_table
@@ -54,11 +55,11 @@ CLEANING = {
 def clean(df: DataFrame, dataset: str) -> DataFrame:
     """Deduplicate, standardise, recompute, filter and stamp, in this order.
 
-    Duplicates go first, so a bad copy that survives takes its key with it, and
+    Columns get their declared types before. Duplicates go first, so a bad copy that survives takes its key with it, and
     the filters see the cleaned values.
     """
     rules = CLEANING[dataset]
-    single = smallest_per_key(df, [KEYS[dataset]])
+    single = smallest_per_key(typed(df, dataset), [KEYS[dataset]])
     cleaned = standardise(single, rules)
     if rules.recompute_total:
         cleaned = recompute_line_total(cleaned)
@@ -67,6 +68,23 @@ def clean(df: DataFrame, dataset: str) -> DataFrame:
     ).withColumn(PROCESSED_AT, F.current_timestamp())
 
 
+def typed(df: DataFrame, dataset: str) -> DataFrame:
+    """The declared types, whatever the files were read as; what does not fit is null.
+
+    So one bad value cannot turn a column, and all that is computed from it, into text.
+    The text of unreadable records stays in bronze.
+    """
+    declared = {f.name: f.dataType for f in StructType.fromDDL(RAW_SCHEMAS[dataset])}
+    found = {field.name: field.dataType for field in df.schema}
+    return df.drop(UNREADABLE).withColumns(
+        {
+            name: F.col(name).try_cast(kind)
+            for name, kind in declared.items()
+            if name in found and found[name] != kind
+        }
+    )
+
+
 def standardise(df: DataFrame, rules: Cleaning) -> DataFrame:
     """Trim and change case where the rules say so."""
     return df.withColumns(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from math import ceil
 
 from pyspark.sql import Column, DataFrame
@@ -10,9 +11,13 @@ from pyspark.sql import functions as F
 from lamina.functions import steady_salt
 from lamina.model import AMOUNT
 from lamina.operators.gold import count_per_key
+from lamina.operators.layout import partition_sizes, partition_stats
 from lamina.plans.joins import broadcast_within
 from lamina.sources import stored
 
+#: Pieces of hot keys per partition.
+FINER = 32
+
 
 def key_distribution(df: DataFrame, key: str) -> DataFrame:
     """Rows per key, largest first."""
@@ -22,6 +27,8 @@ def key_distribution(df: DataFrame, key: str) -> DataFrame:
 def skew_report(df: DataFrame, key: str) -> DataFrame:
     """Rows per key with the share of all rows and the ratio to the mean key.
 
+    `placement_report` measures where a placement by the key puts them.
+
     The counts are stored first, so `df` runs once. The totals are a scalar
     subquery over those counts; the keys never meet in one task.
     """
@@ -60,17 +67,40 @@ def salted_sales(df: DataFrame, key: str, distinct_on: str, salts: int) -> DataF
     )
 
 
-def split_hot_keys(df: DataFrame, key: str, partitions: int, salt_on: Column) -> DataFrame:
-    """Add a `piece` column that splits each hot key into pieces of an even share.
+def salts_for(df: DataFrame, key: str, hot_value: str, partitions: int, finer: int = FINER) -> int:
+    """Into how many salts a hot value must go, from its measured share.
 
-    The even share is all rows divided by `partitions`. A key above it, null too,
-    is split by the hash of `salt_on` into as many pieces as its measured size
-    calls for, so the split holds at any scale. Fewer than `partitions` keys can
-    be above the share, which bounds the side that is broadcast.
+    A share of one partition's rows is cut into `finer` salts, since salts are placed by
+    their hash and a few large ones would meet in one partition.
     """
-    counts = stored(count_per_key(df, key), "key-counts")
+    row = df.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col(key) == hot_value).alias("hot")
+    ).first()
+    return max(1, ceil(row["hot"] * partitions * finer / max(row["rows"], 1)))
+
+
+def split_hot_keys(
+    df: DataFrame,
+    key: str,
+    partitions: int,
+    salt_on: Column,
+    finer: int = FINER,
+    run_once: bool = True,
+) -> DataFrame:
+    """Add a `piece` column that splits each hot key into pieces that are alike.
+
+    A piece holds a share of all rows divided by `partitions * finer`. A key above it,
+    null too, is split by the hash of `salt_on` into as many pieces as its measured size
+    calls for, so the split holds at any scale. Pieces are placed by their hash: with
+    `finer` times as many as partitions, the fullest partition stays near the mean. Fewer
+    than `partitions * finer` keys can be above the share, which bounds the side that is
+    broadcast. The rows are read twice, so they are stored in between; for a plain scan
+    `run_once=False` saves that.
+    """
+    rows = stored(df, "rows-to-split") if run_once else df
+    counts = stored(count_per_key(rows, key), "key-counts")
     total = counts.agg(F.sum("row_count")).first()[0] or 0
-    share = max(1, ceil(total / partitions))
+    share = max(1, ceil(total / (partitions * finer)))
     hot = counts.filter(F.col("row_count") > share).select(
         F.col(key).alias("hot_key"),
         F.ceil(F.col("row_count") / share).cast("int").alias("pieces"),
@@ -78,7 +108,30 @@ def split_hot_keys(df: DataFrame, key: str, partitions: int, salt_on: Column) ->
     is_hot = F.col(key).eqNullSafe(F.col("hot_key"))
     piece = F.pmod(F.xxhash64(salt_on), F.coalesce("pieces", F.lit(1))).cast("int")
     return (
-        df.join(broadcast_within(hot), is_hot, "left")
+        rows.join(broadcast_within(hot), is_hot, "left")
         .withColumn("piece", piece)
         .drop("hot_key", "pieces")
     )
+
+
+def placement_report(df: DataFrame, partitions: int, placements: dict[str, list[str]]) -> DataFrame:
+    """How `df` lies when it is really placed by each of some keys.
+
+    One row a placement: its name, partitions, rows, largest and smallest partition, and
+    the largest one's ratio to the mean. A placement that puts a hot key into one task is
+    what is measured here, so that task takes as long as it takes.
+    """
+    reports = [
+        partition_stats(
+            partition_sizes(df.select(*keys).repartition(partitions, *keys), partitions)
+        ).select(
+            F.lit(name).alias("placed_by"),
+            "partitions",
+            "row_count",
+            "max_rows",
+            "min_rows",
+            (F.col("max_rows") * F.col("partitions") / F.col("row_count")).alias("max_to_mean"),
+        )
+        for name, keys in placements.items()
+    ]
+    return reduce(DataFrame.unionAll, reports)

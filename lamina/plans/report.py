@@ -2,20 +2,15 @@
 
 from __future__ import annotations
 
-import io
-from contextlib import redirect_stdout
-
 from pyspark.sql import DataFrame
 
 JOIN_NAMES = ("BroadcastHashJoin", "SortMergeJoin")
 
 
 def plan_text(df: DataFrame, mode: str = "simple") -> str:
-    """The text that `df.explain` prints; mode `extended` shows all four stages."""
-    printed = io.StringIO()
-    with redirect_stdout(printed):
-        df.explain(mode=mode)
-    return printed.getvalue()
+    """The text that `df.explain` would print; mode `extended` shows all four stages."""
+    explained = df.sparkSession._jvm.PythonSQLUtils.explainString
+    return explained(df._jdf.queryExecution(), mode)
 
 
 def join_counts(df: DataFrame) -> dict[str, int]:

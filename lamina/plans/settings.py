@@ -15,8 +15,7 @@ NO_BROADCAST = "-1"
 DEFAULT_BROADCAST_BYTES = "10485760"
 
 PARTITION_BYTES = 128 * 1024 * 1024
-MIN_SHUFFLE_PARTITIONS, MAX_SHUFFLE_PARTITIONS = 200, 30_000
-MAX_SCAN_TASKS = 100_000
+MIN_SHUFFLE_PARTITIONS = 200
 
 
 def session_with(spark: SparkSession, settings: Mapping[str, str]) -> SparkSession:
@@ -37,23 +36,20 @@ def session_with(spark: SparkSession, settings: Mapping[str, str]) -> SparkSessi
     return session
 
 
-def large_job_settings(job_bytes: int) -> dict[str, str]:
+def large_job_settings(job_bytes: int, partition_bytes: int = PARTITION_BYTES) -> dict[str, str]:
     """Settings for a job that reads and shuffles about this many bytes.
 
-    Partitions have the usual size until there would be too many of them: the
-    driver keeps a record for every pair of scan task and shuffle partition, so
-    from some size on partitions grow instead and spill. Adaptive execution merges
-    small ones and splits skewed ones, also where the step above a skewed join then
-    needs one more shuffle.
+    Partitions have the given size, however many that makes. The driver keeps a record
+    for every pair of scan task and shuffle partition: give larger partitions where it
+    lacks the memory for that, and the executors spill. Adaptive execution merges small
+    partitions and splits skewed ones, also where the step above a skewed join then needs
+    one more shuffle.
     """
-    wanted = ceil(job_bytes / PARTITION_BYTES)
-    partitions = min(max(wanted, MIN_SHUFFLE_PARTITIONS), MAX_SHUFFLE_PARTITIONS)
-    scan_bytes = max(PARTITION_BYTES, ceil(job_bytes / MAX_SCAN_TASKS))
     return {
         ADAPTIVE: "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(PARTITION_BYTES),
-        "spark.sql.files.maxPartitionBytes": str(scan_bytes),
-        SHUFFLE_PARTITIONS: str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        SHUFFLE_PARTITIONS: str(max(ceil(job_bytes / partition_bytes), MIN_SHUFFLE_PARTITIONS)),
     }

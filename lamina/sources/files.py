@@ -2,21 +2,34 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.observation import Observation
 
+# The formats that are nothing but files in a folder.
+FILE_FORMATS = {"parquet", "orc", "json", "csv", "avro", "text"}
+
 
-def read_csv(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str, schema: str | None = None, unreadable: str | None = None
+) -> DataFrame:
     """CSV files with a header row.
 
     Without a schema Spark reads the whole input once more to infer the types. With
-    one, a file whose header names other columns or another order is refused.
+    one, a file whose header names other columns or another order is refused, and the
+    column `unreadable`, if it is named, keeps the text of each record that has a value
+    of another type or a wrong number of values; it is null for all others.
     """
     reader = spark.read.option("header", True)
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
-    return reader.schema(schema).option("enforceSchema", False).csv(path)
+    reader = reader.option("enforceSchema", False)
+    if unreadable is None:
+        return reader.schema(schema).csv(path)
+    reader = reader.option("columnNameOfCorruptRecord", unreadable)
+    return reader.schema(f"{schema}, {unreadable} STRING").csv(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -37,14 +50,44 @@ def read_table(spark: SparkSession, path: str, table_format: str = "parquet") ->
 def write_table(df: DataFrame, path: str, table_format: str = "parquet") -> int:
     """Replace the table at `path` and return the number of rows written.
 
-    The rows are counted while they are written, so there is no second pass.
-    A parquet table must not be read and replaced in one step.
+    The rows are counted while they are written, so there is no second pass. Plain files
+    are written beside the old table, which gives way when they are whole: a job that
+    fails leaves it as it was, and a table may be read and replaced in one step. Formats
+    with transactions of their own replace in place.
     """
     written = Observation()
-    (
-        df.observe(written, F.count(F.lit(1)).alias("rows"))
-        .write.format(table_format)
-        .mode("overwrite")
-        .save(path)
-    )
+    counted = df.observe(written, F.count(F.lit(1)).alias("rows"))
+    if table_format not in FILE_FORMATS:
+        counted.write.format(table_format).mode("overwrite").save(path)
+        return written.get["rows"]
+    place = path.rstrip("/")
+    new, old = (f"{place}.{name}-{uuid.uuid4().hex}" for name in ("new", "old"))
+    try:
+        counted.write.format(table_format).save(new)
+    except BaseException:
+        _remove(df.sparkSession, new)
+        raise
+    _swap(df.sparkSession, new, place, old)
     return written.get["rows"]
+
+
+def _files(spark: SparkSession, path: str) -> tuple:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    files, folder = _files(spark, path)
+    files.delete(folder, True)
+
+
+def _swap(spark: SparkSession, new: str, place: str, old: str) -> None:
+    """Put the folder `new` in the place of another, which is removed at the end."""
+    files, target = _files(spark, place)
+    source, aside = _files(spark, new)[1], _files(spark, old)[1]
+    if files.exists(target) and not files.rename(target, aside):
+        raise OSError(f"{place} cannot be moved aside; the new table is at {new}")
+    if not files.rename(source, target):
+        files.rename(aside, target)
+        raise OSError(f"{new} cannot be moved to {place}")
+    files.delete(aside, True)

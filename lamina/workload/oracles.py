@@ -95,12 +95,12 @@ skewed_items AS (
   SELECT i.*, {HOT_CATEGORY} AS category
   FROM order_items i JOIN part ON i.product_id = p_partkey
 ),
-salted_items AS (
-  SELECT *, CASE WHEN category = 'electronics' THEN category || '_' || (order_id % 5)
-                 ELSE category END AS salted_category
-  FROM skewed_items
+hot_share AS (
+  SELECT count(*) FILTER (category = 'electronics') / count(*) AS share FROM skewed_items
 )"""
 )
+# The tests and the queries place rows in eight partitions, with 32 pieces to each.
+HOT_SALTS = "CAST(greatest(1, ceil((SELECT share FROM hot_share) * 8 * {finer})) AS BIGINT)"
 
 RAW_PRODUCTS = f"""
 copies AS (
@@ -260,8 +260,8 @@ silver_order_items AS (
 
 
 def or_missing(name: str) -> str:
-    """An integer column that shows -1 where the value is missing."""
-    return f"coalesce({name}, -1) AS {name}"
+    """An integer column as text, so that a missing value stays missing."""
+    return f"CAST({name} AS VARCHAR) AS {name}"
 
 
 def with_ctes(ctes: str | list[str], select: str) -> str:
@@ -368,15 +368,24 @@ def sizes(ctes: list[str] | str, source: str, partitions: int) -> str:
 
 
 FANOUT = """
+wanted AS (
+  SELECT order_id, CASE WHEN order_id % 100 = 0 THEN 12 ELSE item_count - 1 END AS n
+  FROM sales_orders
+),
 lines AS (
-  SELECT order_id, unnest(range(1, item_count + 1)) AS line_number FROM sales_orders
+  SELECT order_id, unnest(range(1, n + 1)) AS line_number FROM wanted WHERE n >= 1
+),
+drawn AS (
+  SELECT order_id, line_number, md5(order_id || ':' || line_number) AS digest FROM lines
+),
+numbered AS (
+  SELECT p_partkey AS product_id, row_number() OVER (ORDER BY p_partkey) - 1 AS number FROM part
 ),
 fanout AS (
-  SELECT order_id * 10 + line_number AS order_item_id, order_id,
-         ((order_id * 10 + line_number) * 104729) % (SELECT count(*) FROM part)
-           AS product_id,
-         CAST(((order_id * 10 + line_number) * 7919) % 5 + 1 AS INTEGER) AS quantity
-  FROM lines
+  SELECT order_id * ((SELECT max(n) FROM wanted) + 1) + line_number AS order_item_id, order_id,
+         product_id, CAST(('0x' || substr(digest, 9, 8))::BIGINT % 5 + 1 AS INTEGER) AS quantity
+  FROM drawn JOIN numbered
+    ON number = ('0x' || substr(digest, 1, 8))::BIGINT % (SELECT count(*) FROM part)
 )"""
 
 ORACLES: dict[str, str] = {
@@ -465,8 +474,44 @@ ORACLES: dict[str, str] = {
     ),
     "csv_inferred": with_ctes(
         RAW_ORDER_ITEMS,
-        f"SELECT order_item_id, {or_missing('product_id')}, {or_missing('quantity')}, "
-        "CAST(unit_price AS DOUBLE) AS unit_price FROM raw_order_items",
+        f"SELECT order_item_id, {or_missing('order_id')}, {or_missing('product_id')}, "
+        f"{or_missing('quantity')}, {DOUBLE_PRICES}, 'int' AS order_item_id_type, "
+        "'int' AS order_id_type, 'int' AS product_id_type, 'int' AS quantity_type, "
+        "'double' AS unit_price_type, 'double' AS line_total_type FROM raw_order_items",
+    ),
+    "bronze_rejects": with_ctes(
+        list(RAW_CTES.values()),
+        "SELECT 'products' AS dataset, count(*) AS row_count, CAST(0 AS BIGINT) AS "
+        "unreadable_rows FROM raw_products "
+        "UNION ALL SELECT 'customers', count(*), count(*) FILTER (is_active AND "
+        "signup_date >= DATE '2023-01-01') FROM raw_customers "
+        "UNION ALL SELECT 'orders', count(*), 0 FROM raw_orders "
+        "UNION ALL SELECT 'order_items', count(*), count(*) FILTER (order_item_id % 10 = 3) "
+        "FROM raw_order_items",
+    ),
+    "inferred_to_silver": with_ctes(
+        SILVER_ORDER_ITEMS.replace(
+            "CASE WHEN l_tax = 0.08 THEN",
+            "CASE WHEN l_linenumber = 3 THEN NULL WHEN l_tax = 0.08 THEN",
+        ),
+        f"SELECT order_item_id, order_id, product_id, quantity, {DOUBLE_PRICES}, "
+        "'int' AS quantity_type, 'decimal(18,4)' AS unit_price_type, "
+        "'decimal(18,2)' AS line_total_type FROM silver_order_items",
+    ),
+    "products_profile": with_ctes(
+        PRODUCTS,
+        "SELECT 'size' AS part, 'rows' AS label, CAST(count(*) AS DOUBLE) AS value FROM products "
+        "UNION ALL SELECT 'size', 'partitions', 8 "
+        "UNION ALL SELECT 'category', category, count(*) FROM products GROUP BY category",
+    ),
+    "gold_profile": with_ctes(
+        DAILY,
+        "SELECT 'size' AS part, 'rows' AS label, CAST(count(*) AS DOUBLE) AS value FROM daily "
+        "UNION ALL SELECT 'size', 'partitions', 8 "
+        "UNION ALL SELECT 'category', category, "
+        "CAST(sum(CAST(total_sales AS DECIMAL(18,2))) AS DOUBLE) FROM daily GROUP BY category "
+        "UNION ALL (SELECT 'day', order_date || ' ' || category, total_sales FROM daily "
+        "ORDER BY total_sales DESC, order_date, category LIMIT 20)",
     ),
     "overwrite_roundtrip": with_ctes(CUSTOMERS, "SELECT * FROM customers"),
     "raw_to_gold": with_ctes(
@@ -566,12 +611,22 @@ ORACLES: dict[str, str] = {
     ),
     "salted_distribution": with_ctes(
         SKEWED_ITEMS,
-        "SELECT salted_category, count(*) AS row_count FROM salted_items GROUP BY ALL",
+        "SELECT category, count(*) AS row_count, CASE WHEN category = 'electronics' THEN "
+        f"{HOT_SALTS.format(finer=32)} ELSE 1 END AS salted_keys, true AS even "
+        "FROM skewed_items GROUP BY category",
+    ),
+    "salted_placement": with_ctes(
+        SKEWED_ITEMS,
+        "SELECT placed_by, CAST(8 AS BIGINT) AS partitions, count(*) AS row_count, "
+        "hot_key_in_one, bound, true AS within_bound FROM skewed_items, "
+        "(VALUES ('category', true, 8.0::DOUBLE), ('salted_category', false, 2.5::DOUBLE), "
+        "('category_and_piece', false, 1.5::DOUBLE)) "
+        "placements(placed_by, hot_key_in_one, bound) GROUP BY ALL",
     ),
     "random_salt_spread": with_ctes(
         SKEWED_ITEMS,
-        "SELECT category, count(*) AS row_count, "
-        "CAST(CASE WHEN category = 'electronics' THEN 5 ELSE 1 END AS BIGINT) AS salted_keys "
+        "SELECT category, count(*) AS row_count, CASE WHEN category = 'electronics' THEN "
+        f"{HOT_SALTS.format(finer=1)} ELSE 1 END AS salted_keys "
         "FROM skewed_items GROUP BY category",
     ),
     "salted_two_stage_agg": with_ctes(
@@ -591,10 +646,6 @@ ORACLES: dict[str, str] = {
         "SELECT category, count(*) AS row_count, CAST(1 AS BIGINT) AS partitions_per_piece "
         "FROM skewed_items GROUP BY category",
     ),
-    "planned_key_layout": with_ctes(
-        SKEWED_ITEMS,
-        "SELECT CAST(8 AS BIGINT) AS partitions, count(*) AS row_count FROM skewed_items",
-    ),
     "partition_stats": with_ctes(
         SKEWED_ITEMS,
         "SELECT count(*) AS row_count, true AS as_asked, true AS none_empty FROM skewed_items",

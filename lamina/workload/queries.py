@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, IntegralType
+from pyspark.sql.types import DecimalType
 
 from lamina.functions import positive, present, random_salt, salted_key, steady_salt
 from lamina.model import (
@@ -25,7 +25,7 @@ from lamina.model import (
     RAW_SCHEMAS,
     Layers,
 )
-from lamina.operators import bronze, derive, gold, layout, silver, skew
+from lamina.operators import bronze, derive, gold, layout, profile, silver, skew
 from lamina.operators.dedupe import smallest_per_key
 from lamina.operators.reuse import kept
 from lamina.plans.joins import broadcast_within
@@ -51,8 +51,10 @@ from lamina.workload import feeds
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-SALTS = 5
 PARTITIONS = 8
+PRICE_COLUMNS = ("unit_price", "line_total")
+#: The largest partition of a placement in pieces may hold this many times the mean.
+EVEN = 1.5
 COUNTED_CATEGORY = "economy"
 
 
@@ -219,29 +221,35 @@ def dedupe_by_key(spark: SparkSession, folder: str) -> DataFrame:
 
 def filter_not_null(spark: SparkSession, folder: str) -> DataFrame:
     items = feeds.raw_order_items(spark, folder)
-    return _comparable(items.filter(present("order_item_id", "order_id", "product_id")))
+    kept = items.filter(present("order_item_id", "order_id", "product_id"))
+    return _comparable(kept, "quantity")
 
 
 def filter_positive(spark: SparkSession, folder: str) -> DataFrame:
     items = feeds.raw_order_items(spark, folder)
-    return _comparable(items.filter(positive(items, "quantity", "unit_price")))
+    kept = items.filter(positive(items, "quantity", "unit_price"))
+    return _comparable(kept, "order_id", "product_id")
 
 
 def standardize_strings(spark: SparkSession, folder: str) -> DataFrame:
     rules = silver.CLEANING["customers"]
-    return _comparable(silver.standardise(feeds.raw_customers(spark, folder), rules))
+    standard = silver.standardise(feeds.raw_customers(spark, folder), rules)
+    return _comparable(standard, "customer_id")
 
 
 def recompute_line_total(spark: SparkSession, folder: str) -> DataFrame:
     items = feeds.raw_order_items(spark, folder)
-    return _comparable(silver.recompute_line_total(items))
+    return _comparable(
+        silver.recompute_line_total(items), "order_id", "product_id", "quantity"
+    )
 
 
 def silver_dataset(dataset: str) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
         cleaned = silver.clean(feeds.RAW_FEEDS[dataset](spark, folder), dataset)
         stamped = F.col(PROCESSED_AT).isNotNull().alias("stamped")
-        return _comparable(cleaned.select("*", stamped).drop(PROCESSED_AT))
+        nullable = ["product_id"] if dataset == "products" else []
+        return _comparable(cleaned.select("*", stamped).drop(PROCESSED_AT), *nullable)
 
     return query
 
@@ -311,20 +319,25 @@ def schema_report(spark: SparkSession, folder: str) -> DataFrame:
 def csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     path = fresh_path(spark, "orders-csv")
     write_csv(feeds.raw_orders(spark, folder), path)
-    return _comparable(read_csv(spark, path, RAW_SCHEMAS["orders"]))
+    read = read_csv(spark, path, RAW_SCHEMAS["orders"])
+    return _comparable(read, "order_id", "customer_id", "store_id")
 
 
 def csv_inferred(spark: SparkSession, folder: str) -> DataFrame:
     path = fresh_path(spark, "items-csv")
     write_csv(feeds.raw_order_items(spark, folder), path)
     inferred = read_csv(spark, path)
+    kinds = {field.name: field.dataType.simpleString() for field in inferred.schema}
+    shown = inferred.withColumns(
+        {f"{name}_type": F.lit(kinds[name]) for name in inferred.columns}
+    )
     return _comparable(
-        inferred.select(
-            F.col("order_item_id").cast("bigint").alias("order_item_id"),
-            F.col("product_id").cast("bigint").alias("product_id"),
-            F.col("quantity").cast("int").alias("quantity"),
-            F.col("unit_price").cast("double").alias("unit_price"),
-        )
+        shown.withColumns({name: F.col(name).cast("double") for name in PRICE_COLUMNS}).withColumn(
+            "order_item_id", F.col("order_item_id").cast("bigint")
+        ),
+        "order_id",
+        "product_id",
+        "quantity",
     )
 
 
@@ -336,6 +349,55 @@ def overwrite_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return read_table(spark, path)
 
 
+def bronze_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows per dataset, and those whose record is kept since a value is unreadable."""
+    layers = _landed(spark, folder, _with_bad_values)
+    bronze.ingest_all(spark, layers)
+    return _union([bronze.rejects(spark, name, layers) for name in DATASETS])
+
+
+def _with_bad_values(df: DataFrame, dataset: str) -> DataFrame:
+    """Some quantities of items and dates of customers as text that cannot be read."""
+    if dataset == "order_items":
+        bad = F.col("order_item_id") % 10 == 3
+        return df.withColumn(
+            "quantity", F.when(bad, F.lit("N/A")).otherwise(F.col("quantity").cast("string"))
+        )
+    if dataset == "customers":
+        bad = F.col("is_active") & (F.col("signup_date") >= F.lit("2023-01-01").cast("date"))
+        return df.withColumn(
+            "signup_date", F.when(bad, F.lit("soon")).otherwise(F.col("signup_date").cast("string"))
+        )
+    return df
+
+
+def inferred_to_silver(spark: SparkSession, folder: str) -> DataFrame:
+    """Items with some unreadable quantities, read with inferred types, cleaned, by type."""
+    layers = _landed(spark, folder, _with_bad_values)
+    bronze.ingest_dataset(spark, "order_items", layers, infer_types=True)
+    silver.process_dataset(spark, "order_items", layers)
+    cleaned = read_table(spark, f"{layers.silver}/order_items")
+    kinds = {field.name: field.dataType.simpleString() for field in cleaned.schema}
+    columns = ["order_item_id", "order_id", "product_id", "quantity", "unit_price", "line_total"]
+    shown = cleaned.select(*columns).withColumns(
+        {f"{name}_type": F.lit(kinds[name]) for name in columns[3:]}
+    )
+    return _comparable(shown)
+
+
+def products_profile(spark: SparkSession, folder: str) -> DataFrame:
+    return profile.products_profile(_whole(feeds.products(spark, folder)))
+
+
+def gold_profile(spark: SparkSession, folder: str) -> DataFrame:
+    return profile.gold_profile(_whole(daily_sales(spark, folder)))
+
+
+def _whole(df: DataFrame) -> DataFrame:
+    """The rows as a table of eight partitions, which the profiles show."""
+    return stored(df, "profiled").repartition(PARTITIONS)
+
+
 def raw_to_gold(spark: SparkSession, folder: str) -> DataFrame:
     """Raw files through bronze and silver to the stored daily table."""
     layers = _landed(spark, folder)
@@ -347,14 +409,18 @@ def raw_to_gold(spark: SparkSession, folder: str) -> DataFrame:
     return read_table(spark, f"{layers.gold}/{DAILY_SALES}")
 
 
-def _landed(spark: SparkSession, folder: str) -> Layers:
-    """Layers whose raw files hold what the source systems deliver."""
+def _landed(
+    spark: SparkSession,
+    folder: str,
+    change: Callable[[DataFrame, str], DataFrame] = lambda df, dataset: df,
+) -> Layers:
+    """Layers whose raw files hold what the source systems deliver, changed if need be."""
     layers = Layers.under(fresh_path(spark, "layers"))
-    together(
-        spark,
-        DATASETS,
-        lambda name: write_csv(feeds.RAW_FEEDS[name](spark, folder), layers.raw_file(name)),
-    )
+
+    def land(name: str) -> None:
+        write_csv(change(feeds.RAW_FEEDS[name](spark, folder), name), layers.raw_file(name))
+
+    together(spark, DATASETS, land)
     return layers
 
 
@@ -385,9 +451,64 @@ def skewed_items(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def salted_items(spark: SparkSession, folder: str) -> DataFrame:
-    salt = steady_salt(F.col("order_id"), SALTS)
-    return skewed_items(spark, folder).withColumn(
-        "salted_category", salted_key(F.col("category"), HOT_CATEGORY, salt)
+    """The hot category in as many salts as its measured share calls for."""
+    items = skewed_items(spark, folder)
+    salts = skew.salts_for(items, "category", HOT_CATEGORY, PARTITIONS)
+    salt = steady_salt(F.col("order_item_id"), salts)
+    return items.withColumn("salted_category", salted_key(F.col("category"), HOT_CATEGORY, salt))
+
+
+def category_distribution(spark: SparkSession, folder: str) -> DataFrame:
+    return skew.key_distribution(skewed_items(spark, folder), "category")
+
+
+def skew_report(spark: SparkSession, folder: str) -> DataFrame:
+    return skew.skew_report(skewed_items(spark, folder), "category")
+
+
+def salted_distribution(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows per category, its salted keys, and whether the largest is near their mean."""
+    parts = skew.key_distribution(
+        salted_items(spark, folder).select("category", "salted_category"), "salted_category"
+    )
+    category = F.when(
+        F.col("salted_category").startswith(f"{HOT_CATEGORY}_"), HOT_CATEGORY
+    ).otherwise(F.col("salted_category"))
+    return parts.groupBy(category.alias("category")).agg(
+        F.sum("row_count").alias("row_count"),
+        F.count(F.lit(1)).alias("salted_keys"),
+        (F.max("row_count") <= 2 * F.avg("row_count")).alias("even"),
+    )
+
+
+def salted_placement(spark: SparkSession, folder: str) -> DataFrame:
+    """Items really placed by category, by salted category and in pieces.
+
+    Each must keep the largest partition within a bound, as a ratio to the mean: by
+    category the hot one is in one partition, salted it is spread but the others stay
+    whole, and in pieces all are near the mean.
+    """
+    columns = ["category", "salted_category", "order_item_id"]
+    salted = stored(salted_items(spark, folder).select(*columns), "salted-items")
+    pieces = skew.split_hot_keys(
+        salted, "category", PARTITIONS, F.col("order_item_id"), run_once=False
+    )
+    hot_rows = salted.where(F.col("category") == HOT_CATEGORY).count()
+    placements = {
+        "category": ["category"],
+        "salted_category": ["salted_category"],
+        "category_and_piece": ["category", "piece"],
+    }
+    report = skew.placement_report(stored(pieces, "pieces"), PARTITIONS, placements)
+    name = F.col("placed_by")
+    bound = F.when(name == "category", PARTITIONS).when(name == "salted_category", 2.5)
+    return report.select(
+        "placed_by",
+        "partitions",
+        "row_count",
+        (F.col("max_rows") >= hot_rows).alias("hot_key_in_one"),
+        bound.otherwise(EVEN).cast("double").alias("bound"),
+        (F.col("max_to_mean") <= bound.otherwise(EVEN)).alias("within_bound"),
     )
 
 
@@ -400,13 +521,26 @@ def skew_report(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def salted_distribution(spark: SparkSession, folder: str) -> DataFrame:
-    return skew.key_distribution(salted_items(spark, folder), "salted_category")
+    """Rows per category, its salted keys, and whether the largest is near their mean."""
+    parts = skew.key_distribution(
+        salted_items(spark, folder).select("category", "salted_category"), "salted_category"
+    )
+    category = F.when(
+        F.col("salted_category").startswith(f"{HOT_CATEGORY}_"), HOT_CATEGORY
+    ).otherwise(F.col("salted_category"))
+    return parts.groupBy(category.alias("category")).agg(
+        F.sum("row_count").alias("row_count"),
+        F.count(F.lit(1)).alias("salted_keys"),
+        (F.max("row_count") <= 2 * F.avg("row_count")).alias("even"),
+    )
 
 
 def random_salt_spread(spark: SparkSession, folder: str) -> DataFrame:
     """Rows per category and the number of salted keys they are spread over."""
-    salted = salted_key(F.col("category"), HOT_CATEGORY, random_salt(SALTS, seed=7))
-    keyed = skewed_items(spark, folder).select("category", salted.alias("salted_category"))
+    items = skewed_items(spark, folder)
+    salts = skew.salts_for(items, "category", HOT_CATEGORY, PARTITIONS, finer=1)
+    salted = salted_key(F.col("category"), HOT_CATEGORY, random_salt(salts, seed=7))
+    keyed = items.select("category", salted.alias("salted_category"))
     counted = keyed.groupBy("category", "salted_category").agg(
         F.count(F.lit(1)).alias("part_rows")
     )
@@ -416,7 +550,9 @@ def random_salt_spread(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def salted_two_stage_agg(spark: SparkSession, folder: str) -> DataFrame:
-    return skew.salted_sales(skewed_items(spark, folder), "category", "order_id", SALTS)
+    items = skewed_items(spark, folder)
+    salts = skew.salts_for(items, "category", HOT_CATEGORY, _shuffle_partitions(spark))
+    return skew.salted_sales(items, "category", "order_id", salts)
 
 
 def split_hot_keys(spark: SparkSession, folder: str) -> DataFrame:
@@ -427,10 +563,12 @@ def split_hot_keys(spark: SparkSession, folder: str) -> DataFrame:
         split.groupBy("category", "piece").agg(F.count(F.lit(1)).alias("part_rows")),
         "pieces",
     )
-    even_share = pieces.agg(F.sum("part_rows") / partitions).scalar()
+    even_share = pieces.agg(F.sum("part_rows") / (partitions * skew.FINER)).scalar()
     return pieces.groupBy("category").agg(
         F.sum("part_rows").alias("row_count"),
-        (F.max("part_rows") <= 2 * even_share + 2).alias("pieces_are_small"),
+        (F.max("part_rows") <= 2 * even_share + 5 * F.sqrt(even_share) + 2).alias(
+            "pieces_are_small"
+        ),
     )
 
 
@@ -454,12 +592,6 @@ def _split_items(spark: SparkSession, folder: str, partitions: int) -> DataFrame
     return skew.split_hot_keys(items, "category", partitions, F.col("order_item_id"))
 
 
-def planned_key_layout(spark: SparkSession, folder: str) -> DataFrame:
-    """Partitions and rows of a placement by category that is measured, not made."""
-    sizes = layout.planned_sizes(skewed_items(spark, folder), PARTITIONS, "category")
-    return layout.partition_stats(sizes).select("partitions", "row_count")
-
-
 def partition_stats(spark: SparkSession, folder: str) -> DataFrame:
     """Items dealt out evenly over as many partitions as the session shuffles into."""
     partitions = _shuffle_partitions(spark)
@@ -500,8 +632,14 @@ def _evenness(sizes: DataFrame) -> DataFrame:
 
 
 def order_fanout(spark: SparkSession, folder: str) -> DataFrame:
-    product_count = feeds.products(spark, folder).count()
-    return derive.order_fanout(feeds.orders(spark, folder), product_count)
+    """Items of the raw orders, of which some have none."""
+    return derive.order_fanout(_numbered_orders(spark, folder), feeds.products(spark, folder))
+
+
+def _numbered_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders with 0 to 4 items, and every hundredth with 12."""
+    few = F.when(F.col("order_id") % 100 == 0, F.lit(12)).otherwise(F.col("item_count") - 1)
+    return feeds.orders(spark, folder).withColumn("item_count", few)
 
 
 def price_lookup(spark: SparkSession, folder: str) -> DataFrame:
@@ -516,16 +654,18 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return whole
 
 
-def _comparable(df: DataFrame) -> DataFrame:
-    """Decimals as doubles and missing integers as -1.
+def _comparable(df: DataFrame, *nullable: str) -> DataFrame:
+    """Decimals as doubles, and integers that may be missing as text.
 
-    The results are compared across engines, whose clients show both differently.
+    The results are compared across engines, whose clients show both differently; as text
+    a missing integer stays missing.
     """
     kinds = {field.name: field.dataType for field in df.schema}
     decimals = [name for name, kind in kinds.items() if isinstance(kind, DecimalType)]
-    integers = [name for name, kind in kinds.items() if isinstance(kind, IntegralType)]
-    as_double = df.withColumns({name: F.col(name).cast("double") for name in decimals})
-    return as_double.fillna(-1, integers)
+    return df.withColumns(
+        {name: F.col(name).cast("double") for name in decimals}
+        | {name: F.col(name).cast("string") for name in nullable}
+    )
 
 
 QUERIES: dict[str, Query] = {
@@ -546,6 +686,10 @@ QUERIES: dict[str, Query] = {
     "csv_roundtrip": csv_roundtrip,
     "csv_inferred": csv_inferred,
     "overwrite_roundtrip": overwrite_roundtrip,
+    "bronze_rejects": bronze_rejects,
+    "inferred_to_silver": inferred_to_silver,
+    "products_profile": products_profile,
+    "gold_profile": gold_profile,
     "raw_to_gold": raw_to_gold,
     "join_orders_items_products": join_orders_items_products,
     "join_items_products": join_items_products,
@@ -571,11 +715,11 @@ QUERIES: dict[str, Query] = {
     "hot_region_assignment": hot_region_assignment,
     "skew_report": skew_report,
     "salted_distribution": salted_distribution,
+    "salted_placement": salted_placement,
     "random_salt_spread": random_salt_spread,
     "salted_two_stage_agg": salted_two_stage_agg,
     "split_hot_keys": split_hot_keys,
     "key_colocation": key_colocation,
-    "planned_key_layout": planned_key_layout,
     "partition_stats": partition_stats,
     "repartition_sizes": repartition_sizes,
     "coalesce_sizes": coalesce_sizes,

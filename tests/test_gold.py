@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from lamina.model import PROCESSED_AT
 from lamina.operators import gold
 from lamina.operators.dedupe import smallest_per_key
-from lamina.operators.derive import hot_or_other, order_fanout, with_prices
+from lamina.operators.derive import hot_or_other, numbered, order_fanout, with_prices
 
 DAY = dt.datetime(2024, 5, 1, 23, 59)
 NEXT_DAY = dt.datetime(2024, 5, 2, 0, 0)
@@ -157,19 +157,43 @@ def test_hot_value_has_its_share(spark):
 
 
 def test_fanout_and_prices(spark):
-    orders = spark.createDataFrame([(1, 3), (2, 1)], "order_id BIGINT, item_count INT")
-    products = spark.range(4).selectExpr(
-        "id AS product_id", "CAST(id + 0.5 AS DECIMAL(18,4)) AS unit_price"
+    rows = [(1, 3), (2, 12), (3, 0), (4, None), (5, -1), (6, 1)]
+    orders = spark.createDataFrame(rows, "order_id BIGINT, item_count INT")
+    products = spark.range(7).selectExpr(
+        "3 * id + 1 AS product_id", "CAST(3 * id + 1.5 AS DECIMAL(18,4)) AS unit_price"
     )
-    items = order_fanout(orders, 4)
-    assert sorted(row.order_item_id for row in items.collect()) == [11, 12, 13, 21]
+    items = order_fanout(orders, products)
+    found = items.collect()
+    assert sorted(row.order_id for row in found) == [1] * 3 + [2] * 12 + [6]
+    assert len({row.order_item_id for row in found}) == 16
     priced = with_prices(items, products).collect()
-    assert len(priced) == 4
+    assert len(priced) == 16
     for row in priced:
         assert 1 <= row.quantity <= 5
         assert row.line_total == row.quantity * (row.product_id + Decimal("0.5"))
 
 
+def test_fanout_reaches_every_product_and_gives_each_line_its_own_quantity(spark):
+    orders = spark.range(1_000).selectExpr("id AS order_id", "5 AS item_count")
+    products = spark.range(2_000).selectExpr("id AS product_id")
+    items = order_fanout(orders, products).cache()
+    # Of 2,000 products 5,000 draws miss about 2,000 * exp(-2.5).
+    assert items.select("product_id").distinct().count() > 1_750
+    per_line = items.groupBy((F.col("order_item_id") % 6).alias("line")).agg(
+        F.count_distinct("quantity").alias("quantities")
+    )
+    assert {row.quantities for row in per_line.collect()} == {5}
+    assert order_fanout(orders, products.where("false")).count() == 0
+
+
+def test_numbers_are_dense_and_in_order(spark):
+    values = spark.range(500).selectExpr("id * 7 % 501 AS v").unionAll(
+        spark.sql("SELECT CAST(NULL AS BIGINT) AS v")
+    )
+    rows = sorted((row.v, row.number) for row in numbered(values.repartition(6), "v").collect())
+    assert [number for _, number in rows] == list(range(500))
+
+
 CENTS = st.integers(1, 10_000)
 ITEM = st.tuples(st.integers(0, 8), st.integers(0, 5), CENTS, st.integers(1, 5))
 ORDER = st.tuples(st.integers(0, 9), st.integers(0, 2))

@@ -9,8 +9,9 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from lamina.model import AUDIT_COLUMNS, DAILY_SALES, DATASETS, PROCESSED_AT, RAW_SCHEMAS, Layers
+from lamina.model import AUDIT_COLUMNS, DAILY_SALES, DATASETS, PROCESSED_AT, RAW_SCHEMAS, UNREADABLE, Layers
 from lamina.operators import bronze, gold, silver
+from lamina.operators.profile import products_profile
 from lamina.sources import (
     fresh_path,
     held,
@@ -84,7 +85,7 @@ def test_ingest_adds_lineage_and_keeps_every_row(spark, layers):
     for name in DATASETS:
         table = read_table(spark, f"{layers.bronze}/{name}")
         assert rows[name] == table.count() == feeds.RAW_FEEDS[name](spark, FOLDER).count()
-        assert table.columns[-4:] == list(AUDIT_COLUMNS)
+        assert table.columns[-5:] == [*AUDIT_COLUMNS, UNREADABLE]
         seen = table.select("source_system", "batch_id").distinct().collect()
         assert [tuple(row) for row in seen] == [(name, "b7")]
         assert table.filter(~F.col("source_file").contains(f"{name}.csv")).count() == 0
@@ -123,14 +124,58 @@ def test_validation_names_what_is_missing(spark, tmp_path):
         bronze.validate_dataset(spark, "orders", layers)
 
 
-def test_lineage_of_a_frame_that_is_no_plain_scan(spark):
-    audited = bronze.with_audit_columns(spark.range(2), "numbers", "b")
-    assert [row.source_file for row in audited.collect()] == ["", ""]
-    both = feeds.orders(spark, FOLDER)
-    scanned = bronze.with_audit_columns(both, "orders", "b")
+def test_lineage_needs_a_plain_scan(spark):
+    with pytest.raises(ValueError, match="read from files"):
+        bronze.with_audit_columns(spark.range(2), "orders", "b")
+    scanned = bronze.with_audit_columns(
+        read_table(spark, f"{FOLDER}/orders.parquet"), "orders", "b"
+    )
     assert scanned.first().source_file.endswith("/orders.parquet")
 
 
+def test_unreadable_records_keep_their_text(spark, tmp_path):
+    layers = Layers.under(str(tmp_path))
+    folder = tmp_path / "raw" / "order_items"
+    folder.mkdir(parents=True)
+    (folder / "order_items.csv").write_text(
+        "order_item_id,order_id,product_id,quantity,unit_price,line_total\n"
+        "1,1,1,2,1.5,3\n2,1,1,N/A,1.5,3\n3,1,1,,1.5,3\n4,1,1,1,2.5,2.5\n"
+    )
+    for infer in (False, True):
+        bronze.ingest_dataset(spark, "order_items", layers, infer_types=infer)
+        table = read_table(spark, f"{layers.bronze}/order_items")
+        if not infer:
+            kept = [row[0] for row in table.select(UNREADABLE).orderBy("order_item_id").collect()]
+            assert kept == [None, "2,1,1,N/A,1.5,3", None, None]
+            assert tuple(bronze.rejects(spark, "order_items", layers).first())[1:] == (4, 1)
+        else:
+            assert dict(table.dtypes)["quantity"] == "string"
+        silver.process_dataset(spark, "order_items", layers)
+        cleaned = read_table(spark, f"{layers.silver}/order_items")
+        kinds = dict(cleaned.dtypes)
+        assert kinds["quantity"] == "int" and kinds["unit_price"] == "decimal(18,4)"
+        assert {row.order_item_id for row in cleaned.collect()} == {1, 4}
+
+
+def test_a_failing_overwrite_leaves_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "table")
+    write_table(spark.range(10), path)
+    broken = spark.range(5).select(F.raise_error(F.lit("no")).cast("bigint").alias("id"))
+    with pytest.raises(Exception, match="no"):
+        write_table(broken, path)
+    assert read_table(spark, path).count() == 10
+    assert write_table(read_table(spark, path).where("id < 4"), path) == 4
+    assert read_table(spark, path).count() == 4
+    assert [p.name for p in tmp_path.iterdir()] == ["table"]
+
+
+def test_profiles(spark):
+    products = spark.range(5).selectExpr("id", "concat('c', id % 2) AS category").repartition(2)
+    rows = {(r.part, r.label): r.value for r in products_profile(products).collect()}
+    assert rows == {("size", "rows"): 5, ("size", "partitions"): 2,
+                    ("category", "c0"): 3, ("category", "c1"): 2}
+
+
 def test_schema_report_counts_values(spark):
     df = spark.createDataFrame([(1, None), (2, "x"), (None, "y")], "a INT, b STRING")
     rows = bronze.schema_report(df, "t").collect()

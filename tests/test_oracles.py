@@ -14,6 +14,8 @@ import pytest
 
 import __spark_entry__ as entry_points
 from lamina.plans.report import plan_text
+from lamina.workload.oracles import ORACLES
+from lamina.workload.queries import QUERIES
 
 FOLDER = os.environ.get("LAMINA_SF_DIR", "/root/testdata/sf0.001")
 TABLES = ("region", "nation", "customer", "part", "orders", "lineitem")
@@ -40,13 +42,13 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", list(entry_points.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_oracle(spark, duck, name):
-    df = entry_points.queries()[name](spark, FOLDER)
-    relation = duck.sql(entry_points.oracle_sql()[name])
+    df = QUERIES[name](spark, FOLDER)
+    relation = duck.sql(ORACLES[name])
 
     ours = {field.name: SAME_TYPE[field.dataType.simpleString()] for field in df.schema}
     theirs = dict(zip(relation.columns, map(str, relation.types), strict=True))

@@ -175,9 +175,8 @@ def test_skewed_product_is_split_at_run_time(spark):
 
 
 def test_skewed_order_is_split_below_the_aggregate_of_joined_rows(spark):
-    """The large job settings split it although the aggregate then shuffles again."""
+    """Under default settings but for sizes that suit a small table."""
     settings = {
-        **large_job_settings(1),
         BROADCAST_THRESHOLD: NO_BROADCAST,
         SHUFFLE_PARTITIONS: "8",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
@@ -216,11 +215,12 @@ def fail(name):
     raise ValueError(name)
 
 
-def test_large_job_settings_grow_up_to_a_bound():
+def test_large_job_settings_keep_the_partition_size():
     scan = "spark.sql.files.maxPartitionBytes"
     sizes = {size: large_job_settings(size) for size in (1, 10**12, 10**14)}
-    assert [sizes[size][SHUFFLE_PARTITIONS] for size in sizes] == ["200", "7451", "30000"]
-    assert [sizes[size][scan] for size in sizes] == ["134217728", "134217728", "1000000000"]
+    assert [sizes[size][SHUFFLE_PARTITIONS] for size in sizes] == ["200", "7451", "745059"]
+    assert {sizes[size][scan] for size in sizes} == {"134217728"}
+    assert large_job_settings(10**14, 2**30)[SHUFFLE_PARTITIONS] == "93133"
 
 
 def test_plan_text_shows_all_stages(spark):
