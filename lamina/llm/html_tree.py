@@ -16,6 +16,7 @@ of a page is never removed. Rows are kept as they are, also repeated ones and nu
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from html import unescape
@@ -95,6 +96,7 @@ class Element:
     block: bool
     children: list[str] = field(default_factory=list)
     has_main: bool = False
+    in_main: bool = False
 
 
 @dataclass
@@ -158,6 +160,7 @@ class Page:
         self.elements = [Element("", -1, False, "", _hash(host), True)]
         self.blocks: list[Block] = []
         self._stack, self._open = [0], []
+        self._count: Counter[str] = Counter()  # open elements by tag
         self._parse(html)
         self._flush()
 
@@ -176,6 +179,8 @@ class Page:
     def _close(self, depth: int) -> None:
         if any(self.elements[i].block for i in self._stack[depth:]):
             self._flush()
+        for i in self._stack[depth:]:
+            self._count[self.elements[i].tag] -= 1
         del self._stack[depth:]
 
     def _close_implied(self, tag: str) -> None:
@@ -204,7 +209,7 @@ class Page:
             return
         attributes = _attributes(source) if source.strip(" /\n\t\r") else {}
         above = self._stack[-1]
-        in_main = any(self.elements[i].tag in MAIN for i in self._stack)
+        in_main = self.elements[above].in_main
         block = tag in BLOCK
         style = ".".join(
             [tag, *sorted(attributes.get("class", "").lower().split()), attributes.get("id", "")]
@@ -216,8 +221,10 @@ class Page:
         noise = _declared_noise(tag, attributes, in_main)
         if attributes.get("role", "").lower() == "main":
             tag = "main"
-        self.elements.append(Element(tag, above, noise, style, path, block))
+        inside = in_main or tag in MAIN
+        self.elements.append(Element(tag, above, noise, style, path, block, in_main=inside))
         self._stack.append(len(self.elements) - 1)
+        self._count[tag] += 1
         if tag in MAIN and not noise:
             at = above
             while at >= 0 and not self.elements[at].has_main:
@@ -225,9 +232,11 @@ class Page:
                 at = self.elements[at].parent
 
     def _end(self, tag: str) -> None:
-        if tag == "br" or tag == "p" and all(self.elements[i].tag != "p" for i in self._stack):
+        if tag == "br" or (tag == "p" and not self._count["p"]):
             self._flush()
             return
+        if not self._count[tag] and not self._count["main"]:
+            return
         for depth in range(len(self._stack) - 1, 0, -1):
             name = self.elements[self._stack[depth]].tag
             if name == tag or (name == "main" and tag == self.elements[self._stack[depth]].style.split(".")[0]):
