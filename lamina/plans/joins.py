@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     BinaryType,
@@ -26,22 +26,25 @@ def broadcast_within(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataF
     """`df` with the broadcast hint if it measures at most `limit` bytes.
 
     Beyond the limit the frame comes back without a hint, and Spark joins it by
-    sort and merge, splitting skewed partitions at run time. Select the needed
-    columns first: only those are measured.
+    sort and merge, splitting skewed partitions at run time; the result is the same.
+    Select the needed columns first: only those are measured.
     """
-    size = measured_bytes(df)
-    return F.broadcast(df) if size is not None and size <= limit else df
+    return F.broadcast(df) if measured_bytes(df) <= limit else df
 
 
-def measured_bytes(df: DataFrame) -> int | None:
-    """The size of the rows from one aggregate; None where a type has no simple size."""
-    types = [field.dataType for field in df.schema]
-    if not all(isinstance(kind, FIXED_WIDTH + VARIABLE_WIDTH) for kind in types):
-        return None
+def measured_bytes(df: DataFrame) -> int:
+    """The size of the rows from one aggregate; nested values count as their JSON text."""
+
+    def size(name: str, kind) -> Column:
+        value = F.col(f"`{name}`")
+        if not isinstance(kind, VARIABLE_WIDTH):
+            value = F.to_json(F.struct(value))
+        return F.coalesce(F.octet_length(value), F.lit(0)).cast("bigint")
+
     lengths = [
-        F.coalesce(F.octet_length(field.name), F.lit(0)).cast("bigint")
+        size(field.name, field.dataType)
         for field in df.schema
-        if isinstance(field.dataType, VARIABLE_WIDTH)
+        if not isinstance(field.dataType, FIXED_WIDTH)
     ]
-    per_row = sum(lengths, F.lit(ROW_BYTES + FIELD_BYTES * len(types)).cast("bigint"))
+    per_row = sum(lengths, F.lit(ROW_BYTES + FIELD_BYTES * len(df.columns)).cast("bigint"))
     return df.agg(F.coalesce(F.sum(per_row), F.lit(0))).first()[0]

@@ -75,9 +75,10 @@ def test_measured_bytes(spark):
     df = spark.createDataFrame([(1, "abc"), (2, None)], "a INT, b STRING")
     assert joins.measured_bytes(df) == 2 * (joins.ROW_BYTES + 2 * joins.FIELD_BYTES) + 3
     assert joins.measured_bytes(df.limit(0)) == 0
-    assert joins.measured_bytes(df.select(F.array("a").alias("list"))) is None
     listed = df.select(F.array("a").alias("list"))
-    assert "broadcast" not in plan_text(joins.broadcast_within(listed), "extended").lower()
+    # {"list":[1]} and {"list":[2]}
+    assert joins.measured_bytes(listed) == 2 * (joins.ROW_BYTES + joins.FIELD_BYTES + 12)
+    assert "broadcast" in plan_text(joins.broadcast_within(listed), "extended").lower()
 
 
 def test_only_needed_columns_and_filters_reach_the_scan(spark):
