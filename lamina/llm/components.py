@@ -2,58 +2,68 @@
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.observation import Observation
 
 from lamina.sources import stored
 
+#: Links that one task takes, at least eight tasks: their measured number sets how many.
+LINKS_PER_TASK = 250_000
+
 
 def _both_ways(edges: DataFrame) -> DataFrame:
-    return edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    back = edges.select(F.col("b").alias("a"), F.col("a").alias("b"))
+    return edges.select("a", "b").unionAll(back)
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, tasks: int) -> DataFrame:
     """Link each larger neighbour of a node to the smallest node around it."""
     around = _both_ways(edges)
-    least = around.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
-    return (
-        around.where("b > a").join(stored(least, "star-least"), "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    )
+    smallest = around.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
+    least = stored(smallest.coalesce(tasks), "star-least")
+    larger = around.where("b > a").join(least, "a")
+    return larger.select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, tasks: int) -> DataFrame:
     """Link each smaller neighbour of a node, and the node, to the smallest of them."""
-    down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b")
-    least = stored(down.groupBy("a").agg(F.min("b").alias("m")), "star-least")
+    down = edges.where("a > b")
+    smallest = down.groupBy("a").agg(F.min("b").alias("m"))
+    least = stored(smallest.coalesce(tasks), "star-least")
     moved = down.join(least, "a").where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return moved.unionAll(least.select("a", F.col("m").alias("b")))
+    own = least.select("a", F.col("m").alias("b"))
+    return moved.unionAll(own).distinct().coalesce(tasks)
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(
-        edges.agg(
-            F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
-        ).first()
+def _stored_with_state(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The stored links, and a count and checksum taken while they are written."""
+    seen = Observation()
+    watched = edges.observe(
+        seen, F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("sum")
     )
+    table = stored(watched, "star-links")
+    return table, (seen.get["n"], seen.get["sum"])
 
 
 def components(links: DataFrame) -> DataFrame:
     """`node` and `root`, the smallest node linked to it; smallest nodes are left out.
 
     `links` has the columns `a` and `b`. Each step groups and joins by node, never by
-    component, and is stored; nothing but a count and a checksum comes to the driver.
+    component, and is stored; nothing but a count and a checksum comes to the driver. The
+    minima are stored before they are joined, so the join is by broadcast where they are
+    few, and the adaptive join can split a node with many links where they are not.
     """
-    edges = stored(
-        links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        .where("a > b")
-        .distinct(),
-        "links",
+    ordered = stored(
+        links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), "links"
     )
-    state = _state(edges)
+    tasks = max(8, ceil(ordered.count() / LINKS_PER_TASK))
+    edges, state = _stored_with_state(_small_star(ordered, tasks))
     while True:
-        wide = stored(_large_star(edges).distinct(), "star-large")
-        edges = stored(_small_star(wide).distinct(), "star-small")
-        now = _state(edges)
+        wide = stored(_large_star(edges, tasks), "star-large")
+        edges, now = _stored_with_state(_small_star(wide, tasks))
         if now == state:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
         state = now

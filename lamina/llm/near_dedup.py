@@ -7,10 +7,10 @@ signature, so two texts agree in a coordinate with the probability of their gene
 Jaccard similarity. Only about `k log k` darts are thrown, whatever the text's length.
 
 Texts with the same words are one node from the start. Nodes that agree in all rows of a
-band share a bucket. In every round each bucket compares its members with one of them, its
-head, unless both are linked already; other heads follow until a round finds no link. So a
-bucket costs its size a round, and no pair is met twice. Every link is verified on the
-exact multisets.
+band share a bucket. In every round each bucket compares its members with two of them, its
+heads, unless both are linked already; other heads follow until a round finds no link. So a
+bucket costs its size a round, whatever the number of pairs in it. Every link is verified
+on the exact multisets.
 
 A document without words has the class of the documents with the same text; null and empty
 texts are alone. Rows with the same id are one document, whose links are those of all its
@@ -20,6 +20,7 @@ texts. Rows with a null id keep a null class. An empty table gives an empty one.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -43,7 +44,9 @@ from lamina.sources import stored
 
 BANDS, ROWS = 24, 5
 SIMILARITY = 0.8
-LEAST_ROUNDS = 2
+LEAST_ROUNDS = 1
+#: Texts that are signed together.
+TEXTS = 128
 
 _CELL, _STEP, _DART = (np.uint64(x) for x in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB))
 _UNIT = 2.0**-53
@@ -67,47 +70,76 @@ def _uniform(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> _TOP).astype(np.float64) * _UNIT
 
 
-def _darts(elements: np.ndarray, weights: np.ndarray, limit: float) -> tuple[np.ndarray, np.ndarray]:
-    """Identities and ranks of the darts of rank below `limit` on the elements' strips."""
-    columns = np.ceil(weights).astype(np.int64)
-    rows = int(np.ceil(limit))
-    element = np.repeat(np.arange(len(elements)), columns)
-    column = np.arange(len(element)) - np.repeat(np.cumsum(columns) - columns, columns)
+def _counted_up(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each of `counts`: its place as often as it says, and numbers from 0 on beside it."""
+    place = np.repeat(np.arange(len(counts)), counts)
+    return place, np.arange(len(place)) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
+def _darts(
+    elements: np.ndarray, weights: np.ndarray, owner: np.ndarray, limits: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Identities, ranks and texts of the darts that fall on the elements' strips.
+
+    `owner` is the text of each element; a text takes darts of rank below its limit.
+    """
+    element, column = _counted_up(np.ceil(weights).astype(np.int64))
     strip = mixed(elements[element] + column.astype(np.uint64) * _CELL)
-    ids, ranks = [], []
-    for row in range(rows):
-        cell = mixed(strip + np.array([row + 1], np.uint64) * _STEP)
-        counts = np.searchsorted(_BOUNDS, cell, side="right")
-        at = np.repeat(np.arange(len(cell)), counts)
-        number = np.arange(len(at)) - np.repeat(np.cumsum(counts) - counts, counts)
-        dart = mixed(cell[at] + (number.astype(np.uint64) + np.uint64(1)) * _DART)
-        rank = row + _uniform(dart)
-        across = column[at] + _uniform(mixed(dart ^ _STEP))
-        hit = (rank < limit) & (across < weights[element[at]])
-        ids.append(dart[hit])
-        ranks.append(rank[hit])
-    return np.concatenate(ids), np.concatenate(ranks)
+    part, row = _counted_up(np.ceil(limits).astype(np.int64)[owner[element]])
+    cell = mixed(strip[part] + (row.astype(np.uint64) + np.uint64(1)) * _STEP)
+    at, number = _counted_up(np.searchsorted(_BOUNDS, cell, side="right"))
+    dart = mixed(cell[at] + (number.astype(np.uint64) + np.uint64(1)) * _DART)
+    text = owner[element[part[at]]]
+    rank = row[at] + _uniform(dart)
+    hit = rank < limits[text]
+    dart, rank, text, part = dart[hit], rank[hit], text[hit], part[at][hit]
+    across = column[part] + _uniform(mixed(dart ^ _STEP))
+    hit = across < weights[element[part]]
+    return dart[hit], rank[hit], text[hit]
+
+
+def signatures_of(
+    elements: np.ndarray, weights: np.ndarray, sizes: np.ndarray, k: int
+) -> np.ndarray:
+    """A row of `k` darts a text: the earliest of each coordinate.
+
+    The texts' elements stand one after another, `sizes` of each; no text is without any
+    and weights are positive. A text with an empty coordinate is thrown at again, further.
+    """
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    totals = np.add.reduceat(weights, np.cumsum(sizes) - sizes)
+    limits = k * (np.log(k) + 2) / totals
+    table = np.zeros((len(sizes), k), np.uint64)
+    open_texts = np.arange(len(sizes))
+    while len(open_texts):
+        wanted = np.zeros(len(sizes), bool)
+        wanted[open_texts] = True
+        own = wanted[owner]
+        ids, ranks, text = _darts(elements[own], weights[own], owner[own], limits)
+        coordinate = (mixed(ids ^ _CELL) % np.uint64(k)).astype(np.int64)
+        # The coordinate above the rank in one number; ranks differ in their first bits.
+        place = text * k + coordinate
+        scaled = (ranks * (2.0**39 / limits[text])).astype(np.uint64)
+        order = np.argsort((place.astype(np.uint64) << np.uint64(39)) | scaled, kind="stable")
+        filled, first = np.unique(place[order], return_index=True)
+        table.reshape(-1)[filled] = ids[order[first]]
+        counts = np.bincount(filled // k, minlength=len(sizes))
+        open_texts = open_texts[counts[open_texts] < k]
+        limits[open_texts] *= 2
+    return table
 
 
 def signature(elements: np.ndarray, weights: np.ndarray, k: int) -> np.ndarray:
-    """The earliest dart of each of `k` coordinates; weights must be positive."""
-    limit = k * (np.log(k) + 2) / weights.sum()
-    while True:
-        ids, ranks = _darts(elements, weights, limit)
-        coordinate = (mixed(ids ^ _CELL) % np.uint64(k)).astype(np.int64)
-        order = np.lexsort((ids, ranks, coordinate))
-        filled, first = np.unique(coordinate[order], return_index=True)
-        if len(filled) == k:
-            return ids[order[first]]
-        limit *= 2
+    """The signature of one text."""
+    return signatures_of(elements, weights, np.array([len(elements)]), k)[0]
 
 
 def band_keys(found: np.ndarray, bands: int, rows: int) -> np.ndarray:
-    """A 64-bit key a band."""
-    keys = np.arange(1, bands + 1, dtype=np.uint64) * _CELL
-    table = found[: bands * rows].reshape(bands, rows)
+    """A 64-bit key a band, for each row of signatures."""
+    table = found[:, : bands * rows].reshape(len(found), bands, rows)
+    keys = np.repeat(np.arange(1, bands + 1, dtype=np.uint64)[None] * _CELL, len(found), axis=0)
     for i in range(rows):
-        keys = mixed(keys * _STEP + table[:, i])
+        keys = mixed(keys * _STEP + table[:, :, i])
     return keys
 
 
@@ -124,20 +156,28 @@ def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFra
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                piece = batch.slice(start, 256)
-                low, high, keys = [], [], []
-                for text in piece.column(1).to_pylist():
+            for start in range(0, batch.num_rows, TEXTS):
+                piece = batch.slice(start, TEXTS)
+                low, high, sets, real = [], [], [], []
+                for place, text in enumerate(piece.column(1).to_pylist()):
                     hashes = word_hashes(words_of(text))
                     a, b = _content(text, hashes)
                     low.append(a)
                     high.append(b)
                     if len(hashes):
-                        found, n = counted(shingle_hashes(hashes))
-                        own = signature(found, n.astype(np.float64), bands * rows)
-                        keys.append(band_keys(own, bands, rows).view(np.int64))
-                    else:
-                        keys.append(None)
+                        real.append(place)
+                        sets.append(counted(shingle_hashes(hashes)))
+                keys = [None] * piece.num_rows
+                if sets:
+                    own = signatures_of(
+                        np.concatenate([x for x, _ in sets]),
+                        np.concatenate([n for _, n in sets]).astype(np.float64),
+                        np.array([len(x) for x, _ in sets]),
+                        bands * rows,
+                    )
+                    found = band_keys(own, bands, rows).view(np.int64)
+                    for place, row in zip(real, found, strict=True):
+                        keys[place] = row
                 yield pa.RecordBatch.from_arrays(
                     [
                         piece.column(0),
@@ -156,8 +196,8 @@ def multisets(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                piece = batch.slice(start, 256)
+            for start in range(0, batch.num_rows, TEXTS):
+                piece = batch.slice(start, TEXTS)
                 found = [
                     counted(shingle_hashes(word_hashes(words_of(text))))
                     for text in piece.column(1).to_pylist()
@@ -198,25 +238,42 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
 
 
 def _round_pairs(buckets: DataFrame, number: int) -> DataFrame:
-    """Each bucket's members with its head of this round, if they are not linked yet.
+    """Each bucket's members with its two heads of this round, if they are not linked yet.
 
-    `buckets` has `key`, `doc` and `root`. The head is the member that comes first in an
-    order of the round's own, so the next round meets another one.
+    `buckets` has `key`, `doc`, `root` and `company`. A head is the member that comes first
+    in an order of all documents, so one document heads most buckets of a group, and a
+    later round, with other orders, meets others. The first order is by company, the
+    members of all buckets of a document: the text that the others are copies of shares
+    more buckets than they share with each other.
     """
-    order = F.struct(F.xxhash64(F.lit(number), "doc").alias("h"), F.col("doc"), F.col("root"))
-    if number == 0:
-        order = F.struct(F.col("doc").alias("h"), F.col("doc"), F.col("root"))
+
+    def first(order: int):
+        rank = F.xxhash64(F.lit(order), "doc") if order else -F.col("company")
+        return F.min(F.struct(rank.alias("rank"), F.col("doc"), F.col("root")))
+
     heads = stored(
         buckets.groupBy("key")
-        .agg(F.min(order).alias("head"), F.min("root").alias("low"), F.max("root").alias("high"))
+        .agg(
+            first(2 * number).alias("one"),
+            first(2 * number + 1).alias("two"),
+            F.min("root").alias("low"),
+            F.max("root").alias("high"),
+        )
         .where("low < high")
-        .select("key", F.col("head.doc").alias("head"), F.col("head.root").alias("head_root")),
+        .select(
+            "key",
+            F.array(
+                F.struct(F.col("one.doc").alias("head"), F.col("one.root").alias("head_root")),
+                F.struct(F.col("two.doc").alias("head"), F.col("two.root").alias("head_root")),
+            ).alias("heads"),
+        ),
         "bucket-heads",
     )
     return (
         buckets.join(heads, "key")
-        .where("root != head_root")
-        .select(F.col("doc").alias("a"), F.col("head").alias("b"))
+        .select("doc", "root", F.explode("heads").alias("h"))
+        .where("root != h.head_root")
+        .select(F.greatest("doc", "h.head").alias("a"), F.least("doc", "h.head").alias("b"))
         .distinct()
     )
 
@@ -245,32 +302,31 @@ def classes(
         first.select("c1", "c2", F.col("first").alias("doc")), ["c1", "c2", "doc"], "left_semi"
     )
     every = nodes.select("doc", F.explode("keys").alias("key"))
-    span = every.groupBy("key").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
-    shared = span.where("low < high").select("key")
-    buckets = stored(every.join(stored(shared, "shared-keys"), "key"), "buckets")
-    members = buckets.select("doc").distinct()
+    span = every.groupBy("key").agg(
+        F.min("doc").alias("low"), F.max("doc").alias("high"), F.count(F.lit(1)).alias("n")
+    )
+    shared = stored(span.where("low < high").select("key", "n"), "shared-keys")
+    crowded = stored(every.join(shared, "key"), "crowded")
+    company = stored(crowded.groupBy("doc").agg(F.sum("n").alias("company")), "company")
+    buckets = stored(crowded.select("key", "doc").join(company, "doc"), "buckets")
+    members = company.select("doc")
     sets = stored(multisets(real.join(members, "doc", "left_semi")), "multisets")
 
-    links, number, roots = [copies], 0, None
+    links, number = [copies], 0
     labelled = buckets.withColumn("root", F.col("doc"))
     while True:
         pairs = stored(_round_pairs(labelled, number), "pairs")
         new = stored(verified(pairs, sets, similarity), "verified")
-        number += 1
-        found = new.count()
+        found, number = new.count(), number + 1
         if found:
             links.append(new)
-        if number >= least_rounds and not found:
-            break
-        if found:
-            edges = links[0]
-            for more in links[1:]:
-                edges = edges.unionAll(more)
-            roots = components(edges)
+            roots = components(reduce(DataFrame.unionAll, links))
             labelled = buckets.join(roots.withColumnRenamed("node", "doc"), "doc", "left").select(
-                "key", "doc", F.coalesce("root", "doc").alias("root")
+                "key", "doc", "company", F.coalesce("root", "doc").alias("root")
             )
-    if roots is None:
+        elif number >= least_rounds:
+            break
+    if len(links) == 1:
         roots = components(copies)
     named = given.select(F.col("doc").alias("doc_id"))
     return named.join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
