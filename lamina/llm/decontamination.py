@@ -220,7 +220,13 @@ def contaminated(
     votes = stored(
         sampled.select("item", "part", "needed", F.arrays_zip("samples", "votes").alias("z"))
         .select("item", "part", "needed", F.explode("z").alias("z"))
-        .select("item", "part", "needed", F.col("z.samples").alias("hash"), F.col("z.votes").alias("votes")),
+        .select(
+            "item",
+            "part",
+            "needed",
+            F.col("z.samples").alias("hash"),
+            F.col("z.votes").alias("votes"),
+        ),
         "item-samples",
     )
     place = F.shiftrightunsigned("hash", 64 - FILTER_BITS).cast("int")

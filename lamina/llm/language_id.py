@@ -75,7 +75,11 @@ def _pieces(text: str) -> Iterator[str]:
 
 
 def count_ngrams(
-    docs: DataFrame, text: str = "text", lang: str = "lang", max_n: int = MAX_N, bits: int = HASH_BITS
+    docs: DataFrame,
+    text: str = "text",
+    lang: str = "lang",
+    max_n: int = MAX_N,
+    bits: int = HASH_BITS,
 ) -> DataFrame:
     """`lang`, `bin`, `n` over all rows; each task adds up before anything is shuffled."""
 

@@ -343,7 +343,9 @@ class Trees:
             self.threshold = float(max(0.5, (p[order[last]] + next_p) / 2))
 
 
-def train(docs: DataFrame, training_docs: int = TRAINING_DOCS, precision: float = PRECISION) -> dict[str, Trees]:
+def train(
+    docs: DataFrame, training_docs: int = TRAINING_DOCS, precision: float = PRECISION
+) -> dict[str, Trees]:
     """A calibrated model per kind, from about `training_docs` documents with base spans.
 
     The sample is drawn by a hash of the text among all documents that hold a digit group
