@@ -23,10 +23,11 @@ from pyspark.sql import functions as F
 
 from lamina.sources import stored
 
-SAMPLES = 64
-DOCS_PER_RANGE = 2_000
+SAMPLES = 48
+GROUP = 4
+DOCS_PER_RANGE = 500
 #: Ranges only part the work; beyond this many they grow instead.
-MOST_RANGES = 10_000
+MOST_RANGES = 100_000
 
 # What stands in for a null id, and the fields of the hashes.
 LAST_ID = 2**63 - 1
@@ -39,40 +40,89 @@ def _uniform(bits: Column, size: int) -> Column:
     return (bits.cast("double") + 1.0) / F.lit(float(size + 1))
 
 
-def arrival(term: Column, log_weight: Column, sample: int) -> Column:
-    """When a term arrives in a sample, as a number that also tells term and step apart.
+def _sampled(weighed: DataFrame, keys: list[str], logs: list[str], samples: int) -> DataFrame:
+    """`keys`, and for each column of `logs` its samples `s0`, `s1`, ... as an array of longs.
 
-    With `r` and `c` from a gamma distribution of shape 2 and `b` uniform, the step is
-    `t = floor(ln(w) / r + b)` and the arrival `c * exp(-r * (t - b + 1))`. Its logarithm
-    is in the upper bits, so the least number is the earliest arrival; the lower bits
-    are a hash. A term without weight has no arrival.
+    `weighed` has a row a key and `term`, with the logarithm of the term's weight in each
+    of `logs`, null without weight. With `r` and `c` from a gamma distribution of shape 2
+    and `b` uniform, all from the hash of term and sample, the step of a weight is
+    `t = floor(ln(w) / r + b)` and its arrival `c * exp(-r * (t - b + 1))`. The logarithm
+    of the arrival is in the upper bits of a number whose least value is the sample; the
+    lower bits are a hash of term and step.
+
+    A row is multiplied by groups of `GROUP` samples, and each step is a projection of its
+    own: so every logarithm is taken once and the generated methods stay small enough to
+    be compiled. The minima of a group combine in one pass.
     """
-    first = F.xxhash64(term, F.lit(2 * sample))
-    second = F.xxhash64(term, F.lit(2 * sample + 1))
-    u1 = _uniform(first.bitwiseAND(F.lit(FIELD)), FIELD)
-    u2 = _uniform(F.shiftrightunsigned(first, FIELD_BITS).bitwiseAND(F.lit(FIELD)), FIELD)
-    b = _uniform(F.shiftrightunsigned(first, 2 * FIELD_BITS).bitwiseAND(F.lit(FIELD)), FIELD)
-    u3 = _uniform(second.bitwiseAND(F.lit(WIDE)), WIDE)
-    u4 = _uniform(F.shiftrightunsigned(second, WIDE_BITS).bitwiseAND(F.lit(WIDE)), WIDE)
-    # The least double above 0 keeps both variables positive.
-    r = F.lit(1e-12) - F.log(u1 * u2)
-    c = F.lit(1e-12) - F.log(u3 * u4)
-    t = F.floor(log_weight / r + b)
-    late = F.log(c) - r * (t.cast("double") - b + 1.0)
-    scaled = ((late + 200.0) * float(2**30)).cast("bigint")
-    return F.shiftleft(scaled, 24).bitwiseOR(
-        F.shiftrightunsigned(F.xxhash64(second, t), 40)
+    groups, numbers = ceil(samples / GROUP), range(GROUP)
+    rows = weighed.select(
+        *keys, "term", *logs, F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group")
+    )
+    hashed = rows.select(
+        *keys,
+        "group",
+        *logs,
+        *[F.xxhash64("term", "group", F.lit(2 * n)).alias(f"x{n}") for n in numbers],
+        *[F.xxhash64("term", "group", F.lit(2 * n + 1)).alias(f"y{n}") for n in numbers],
+    )
+
+    def gamma(bits: str, size: int, width: int) -> Column:
+        low = _uniform(F.col(bits).bitwiseAND(F.lit(size)), size)
+        high = _uniform(F.shiftrightunsigned(bits, width).bitwiseAND(F.lit(size)), size)
+        return F.lit(1e-12) - F.log(low * high)
+
+    drawn = hashed.select(
+        *keys,
+        "group",
+        *logs,
+        *[f"y{n}" for n in numbers],
+        *[gamma(f"x{n}", FIELD, FIELD_BITS).alias(f"r{n}") for n in numbers],
+        *[F.log(gamma(f"y{n}", WIDE, WIDE_BITS)).alias(f"c{n}") for n in numbers],
+        *[
+            _uniform(
+                F.shiftrightunsigned(f"x{n}", 2 * FIELD_BITS).bitwiseAND(F.lit(FIELD)), FIELD
+            ).alias(f"b{n}")
+            for n in numbers
+        ],
+    )
+    stepped = drawn.select(
+        *keys,
+        "group",
+        *[f"{kind}{n}" for kind in "yrcb" for n in numbers],
+        *[
+            F.floor(F.col(log) / F.col(f"r{n}") + F.col(f"b{n}")).alias(f"t{side}_{n}")
+            for side, log in enumerate(logs)
+            for n in numbers
+        ],
     )
 
+    def arrival(side: int, n: int) -> Column:
+        t, y = F.col(f"t{side}_{n}"), F.col(f"y{n}")
+        late = F.col(f"c{n}") - F.col(f"r{n}") * (t.cast("double") - F.col(f"b{n}") + 1.0)
+        scaled = ((late + 200.0) * float(2**30)).cast("bigint")
+        return F.shiftleft(scaled, 24).bitwiseOR(F.shiftrightunsigned(F.xxhash64(y, t), 40))
 
-def _samples(term: Column, log_weight: Column, samples: int, name: str) -> list[Column]:
-    return [F.min(arrival(term, log_weight, i)).alias(f"{name}{i}") for i in range(samples)]
+    sides = range(len(logs))
+    least = stepped.groupBy(*keys, "group").agg(
+        *[F.min(arrival(side, n)).alias(f"m{side}_{n}") for side in sides for n in numbers]
+    )
+    arrays = [F.array(*[f"m{side}_{n}" for n in numbers]).alias(f"g{side}") for side in sides]
+    gathered = least.select(*keys, F.struct("group", *arrays).alias("part")).groupBy(*keys).agg(
+        F.sort_array(F.collect_list("part")).alias("parts")
+    )
+    return gathered.select(
+        *keys,
+        *[
+            F.slice(F.flatten(F.col(f"parts.g{side}")), 1, samples).alias(f"s{side}")
+            for side in sides
+        ],
+    )
 
 
-def _gathered(name: str, whole: Column, samples: int) -> Column:
-    """The samples as an array; those of a text without words come from its hash."""
-    return F.array(
-        *[F.coalesce(F.col(f"{name}{i}"), F.xxhash64(whole, F.lit(i))) for i in range(samples)]
+def _of_texts(samples: str, whole: Column) -> Column:
+    """The samples; those of a text without words come from its hash."""
+    return F.transform(
+        F.col(samples), lambda x, place: F.coalesce(x, F.xxhash64(whole, place))
     )
 
 
@@ -101,16 +151,19 @@ def fingerprints(docs: DataFrame, text: str = "text", samples: int = SAMPLES) ->
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
     ).withColumn("row", F.monotonically_increasing_id())
-    each = rows.select("row", "doc_id", F.xxhash64("text").alias("whole"), F.explode(words(F.col("text"))).alias("word"))
+    each = rows.select(
+        "row",
+        "doc_id",
+        F.xxhash64("text").alias("whole"),
+        F.explode(words(F.col("text"))).alias("word"),
+    )
     counted = (
         each.groupBy("row", "doc_id", "whole", F.xxhash64("word").alias("term"))
         .agg(F.sum((F.col("word") != "").cast("int")).alias("n"))
         .withColumn("ln", F.log(F.col("n").cast("double")))
     )
-    found = counted.groupBy("row", "doc_id", "whole").agg(
-        *_samples(F.col("term"), F.col("ln"), samples, "s")
-    )
-    return found.select("doc_id", _gathered("s", F.col("whole"), samples).alias("samples"))
+    found = _sampled(counted, ["row", "doc_id", "whole"], ["ln"], samples)
+    return found.select("doc_id", _of_texts("s0", F.col("whole")).alias("samples"))
 
 
 def _ranged(rows: DataFrame, per_range: int) -> DataFrame:
@@ -118,7 +171,7 @@ def _ranged(rows: DataFrame, per_range: int) -> DataFrame:
     n = rows.count()
     wanted = min(ceil(n / per_range), MOST_RANGES)
     shares = [i / wanted for i in range(1, wanted)]
-    found = rows.agg(F.percentile_approx("doc", shares, 10_000)).first()[0] if shares else []
+    found = rows.agg(F.percentile_approx("doc", shares, 10 * wanted)).first()[0] if shares else []
     splits = sorted({float(x) for x in found or []})
     ranges = Bucketizer(
         splits=[-float("inf"), *splits, float("inf")], inputCol="_place", outputCol="range"
@@ -156,7 +209,8 @@ def _with_next(rows: DataFrame, per_range: int) -> DataFrame:
         ghosts
     )
     order_by = Window.partitionBy("range").orderBy("ghost", "doc", "whole")
-    return every.withColumns(
+    # As many partitions as ranges: merged ones would spill when their words are counted.
+    return every.repartition(max(len(order), 1), "range").withColumns(
         {
             "place": F.row_number().over(order_by),
             "next_doc": F.lead("doc").over(order_by),
@@ -216,15 +270,12 @@ def with_edits(docs: DataFrame, samples: int = SAMPLES, per_range: int = DOCS_PE
         F.log(F.col("n0").cast("double")).alias("ln0"),
         F.log(F.col("n1").cast("double")).alias("ln1"),
     )
-    term = F.col("term")
-    sampled = weighed.groupBy(*keys).agg(
-        *_samples(term, F.col("ln0"), samples, "a"), *_samples(term, F.col("ln1"), samples, "b")
-    )
+    sampled = _sampled(weighed, keys, ["ln0", "ln1"], samples)
     found = stored(
         sampled.select(
             *keys,
-            _gathered("a", F.col("whole"), samples).alias("own"),
-            _gathered("b", F.col("edited_whole"), samples).alias("other"),
+            _of_texts("s0", F.col("whole")).alias("own"),
+            _of_texts("s1", F.col("edited_whole")).alias("other"),
         ),
         "fingerprints",
     )
