@@ -16,13 +16,15 @@ _BETWEEN_PIECES = re.compile(r"(?<=[^ ]) (?=[^ ])")
 
 
 def word_chunks(text: str) -> list[str]:
-    """The text cut before each lone space; every chunk but the first begins with it.
+    """The text cut at each lone space between characters that are not white space.
 
     A byte-level tokenizer that takes a space into the word after it never joins
-    characters across such a cut.
+    characters across such a cut. All chunks but the first had the space before them.
     """
-    first, *rest = _BETWEEN_WORDS.split(text)
-    return [first, *(" " + chunk for chunk in rest)]
+    chunks = text.split(" ")
+    if any(not c or c[0].isspace() or c[-1].isspace() for c in chunks):
+        return _BETWEEN_WORDS.split(text)
+    return chunks
 
 
 def piece_chunks(text: str) -> list[str]:
@@ -31,7 +33,10 @@ def piece_chunks(text: str) -> list[str]:
     A tokenizer that puts its space marker before every text encodes a chunk as it
     encodes it after that space, if no piece has a marker behind another character.
     """
-    return _BETWEEN_PIECES.split(text) if text else []
+    chunks = text.split(" ")
+    if "" in chunks:
+        return _BETWEEN_PIECES.split(text) if text else []
+    return chunks
 
 
 class ChunkCache:

@@ -18,6 +18,7 @@ repeated row is stored. An empty table makes no file.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -36,6 +37,8 @@ BITS = 8
 BLOCK_BYTES = 64
 
 END_ID = 0
+#: Marks that stand behind words.
+MARKS = {".", ",", ";", ":", "!", "?"}
 FILE_TOKENS = 8_000_000
 ROWS = 256
 
@@ -54,36 +57,57 @@ def _padded(content: bytes) -> bytes:
     return content + bytes(-len(content) % 8)
 
 
-def _level(values: np.ndarray) -> tuple[list[bytes], np.ndarray]:
-    """A level's parts, and what is left of the ids that go on."""
-    rest = values >> BITS
-    goes_on = rest != 0
+def _level(chunks: np.ndarray, goes_on: np.ndarray) -> list[bytes]:
+    """A level's entries, chunks, bitmap and rank directory."""
     bitmap = np.packbits(goes_on, bitorder="little")
     whole = np.zeros(-(-len(bitmap) // BLOCK_BYTES) * BLOCK_BYTES, np.uint8)
     whole[: len(bitmap)] = bitmap
     per_block = np.bitwise_count(whole).reshape(-1, BLOCK_BYTES).sum(axis=1, dtype=np.uint64)
-    ranks = np.concatenate([[0], np.cumsum(per_block)[:-1]]).astype("<u8")[: len(per_block)]
-    chunks = (values & ((1 << BITS) - 1)).astype(np.uint8)
-    parts = [
-        np.uint64(len(values)).tobytes(),
+    ranks = np.cumsum(per_block) - per_block
+    entries = np.array([len(chunks)], "<u8")
+    return [
+        entries.tobytes(),
         _padded(chunks.tobytes()),
         whole.tobytes(),
-        ranks.tobytes(),
+        ranks.astype("<u8").tobytes(),
     ]
-    return parts, rest[goes_on]
 
 
-def encode_file(doc_ids: list[int | None], ends: list[int], ids: np.ndarray) -> bytes:
-    """A file's content; `ends` count the tokens up to the end of each document."""
-    parts, levels, rest = [], 0, ids.astype(np.uint32)
-    while levels == 0 or len(rest):
-        level, rest = _level(rest)
-        parts += level
-        levels += 1
-    header = np.array([MAGIC, len(doc_ids), len(ids), levels], "<u8").tobytes()
-    numbers = np.array([0 if x is None else x for x in doc_ids], "<i8").tobytes()
-    valid = _padded(np.array([x is not None for x in doc_ids], np.uint8).tobytes())
-    return b"".join([header, numbers, valid, np.array(ends, "<u8").tobytes(), *parts])
+class FileBuilder:
+    """Collects documents for one file; a token takes a few bytes until it is closed."""
+
+    def __init__(self):
+        self.doc_ids: list[int | None] = []
+        self.ends: list[int] = []
+        self.tokens = 0
+        self.levels: list[list[tuple[np.ndarray, np.ndarray]]] = []
+
+    def add(self, doc_ids: list[int | None], ids: list[bytes]) -> None:
+        """Some documents, with their ids as little-endian unsigned 32-bit integers."""
+        self.doc_ids += doc_ids
+        for own in ids:
+            self.tokens += len(own) // 4
+            self.ends.append(self.tokens)
+        rest, number = np.frombuffer(b"".join(ids), "<u4"), 0
+        while number == 0 or len(rest):
+            if number == len(self.levels):
+                self.levels.append([])
+            above = rest >> np.uint32(BITS)
+            goes_on = above != 0
+            self.levels[number].append((rest.astype(np.uint8), goes_on))
+            rest, number = above[goes_on], number + 1
+
+    def content(self) -> bytes:
+        header = np.array([MAGIC, len(self.doc_ids), self.tokens, len(self.levels)], "<u8")
+        numbers = np.array([0 if x is None else x for x in self.doc_ids], "<i8").tobytes()
+        valid = _padded(np.array([x is not None for x in self.doc_ids], np.uint8).tobytes())
+        parts = [header.tobytes(), numbers, valid, np.array(self.ends, "<u8").tobytes()]
+        for pieces in self.levels:
+            parts += _level(
+                np.concatenate([chunks for chunks, _ in pieces]),
+                np.concatenate([goes_on for _, goes_on in pieces]),
+            )
+        return b"".join(parts)
 
 
 class TokenFile:
@@ -153,21 +177,58 @@ class TokenFile:
 
 
 class TextEncoder:
-    """A byte-level vocabulary of the tokenizers library, each distinct chunk encoded once."""
+    """A byte-level vocabulary of the tokenizers library, each distinct chunk encoded once.
+
+    A chunk of letters only, with or without the space before it, is one word of the
+    vocabulary's own splitting, so the library's model takes it directly. Marks behind a
+    word are a chunk of their own. All other chunks go through the whole library.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
-        self.cache = ChunkCache(self._encode)
-
-    def _encode(self, chunks: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
-        return [id_bytes(encoding.ids) for encoding in found]
+        self.model = self.tokenizer.model
+        self.letters = byte_letters()
+        self.after_space = ChunkCache(lambda chunks: [self._encode(" ", c) for c in chunks])
+        self.first = ChunkCache(lambda chunks: [self._encode("", c) for c in chunks], 10_000)
+        self.marks: dict[str, bytes] = {}
+
+    def _encode(self, before: str, chunk: str) -> bytes:
+        if chunk.isalpha():
+            return self._word(before, chunk)
+        word, mark = chunk[:-1], chunk[-1:]
+        if mark in MARKS and word.isalpha():
+            if mark not in self.marks:
+                self.marks[mark] = self._whole(mark)
+            known = self.after_space.known.get(word) if before else None
+            return (known or self._word(before, word)) + self.marks[mark]
+        return self._whole(before + chunk)
+
+    def _word(self, before: str, word: str) -> bytes:
+        if word.isascii():
+            spelled = self.letters[0x20] + word if before else word
+        else:
+            spelled = (before + word).encode().decode("latin-1").translate(self.letters)
+        return array("I", [token.id for token in self.model.tokenize(spelled)]).tobytes()
+
+    def _whole(self, text: str) -> bytes:
+        return id_bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        return [b"".join(each) for each in self.cache([word_chunks(text) for text in texts])]
+        cut = [word_chunks(text) for text in texts]
+        first = self.first([chunks[:1] for chunks in cut])
+        rest = self.after_space([chunks[1:] for chunks in cut])
+        return [b"".join(a + b) for a, b in zip(first, rest, strict=True)]
+
+
+def byte_letters() -> dict[int, str]:
+    """How a byte-level vocabulary spells each byte: itself if it can be printed, or else
+    one of the letters from U+0100 on, in order."""
+    printed = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in printed]
+    return {b: chr(b) for b in printed} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
 _encoders: dict[str, TextEncoder] = {}
@@ -200,18 +261,16 @@ def write_tokens(
         if tokenizer_path not in _encoders:
             _encoders[tokenizer_path] = TextEncoder(tokenizer_path)
         encode, end = _encoders[tokenizer_path], np.uint32(end_id).tobytes()
-        names, ends, held, tokens, order = [], [], [], 0, 0
+        file, order = FileBuilder(), 0
 
         def close() -> pa.RecordBatch:
-            ids = np.frombuffer(b"".join(held), "<u4")
-            content = encode_file(names, ends, ids)
-            path = write_file(folder, new_name(f"tokens-{part:06d}-{order:06d}", ".dac"), content)
+            name = new_name(f"tokens-{part:06d}-{order:06d}", ".dac")
             row = {
-                "path": path,
+                "path": write_file(folder, name, file.content()),
                 "part": part,
                 "order": order,
-                "documents": len(names),
-                "tokens": tokens,
+                "documents": len(file.doc_ids),
+                "tokens": file.tokens,
             }
             return pa.RecordBatch.from_pylist([row])
 
@@ -219,15 +278,11 @@ def write_tokens(
             for start in range(0, batch.num_rows, ROWS):
                 piece = batch.slice(start, ROWS)
                 encoded = encode(piece.column(1).to_pylist())
-                for doc_id, ids in zip(piece.column(0).to_pylist(), encoded, strict=True):
-                    names.append(doc_id)
-                    held += [ids, end]
-                    tokens += len(ids) // 4 + 1
-                    ends.append(tokens)
-                if tokens >= file_tokens:
+                file.add(piece.column(0).to_pylist(), [ids + end for ids in encoded])
+                if file.tokens >= file_tokens:
                     yield close()
-                    names, ends, held, tokens, order = [], [], [], 0, order + 1
-        if names:
+                    file, order = FileBuilder(), order + 1
+        if file.doc_ids:
             yield close()
 
     written = ordered.mapInArrow(
