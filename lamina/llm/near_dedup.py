@@ -9,7 +9,9 @@ Jaccard similarity. Only about `k log k` darts are thrown, whatever the text's l
 Texts with the same words are one node from the start. Nodes that agree in all rows of a
 band share a bucket. In every round each bucket compares its members with two of them, its
 heads, unless both are linked already; other heads follow until a round finds no link. So a
-bucket costs its size a round, whatever the number of pairs in it. Every link is verified
+bucket costs its size a round, whatever the number of pairs in it. Members of a bucket that
+are still in different components then meet exactly: a pair that is similar enough shares
+one of the rarest shingles of both, and only such pairs are listed. Every link is verified
 on the exact multisets.
 
 A document without words has the class of the documents with the same text; null and empty
@@ -44,7 +46,11 @@ from lamina.sources import stored
 
 BANDS, ROWS = 24, 5
 SIMILARITY = 0.8
-LEAST_ROUNDS = 1
+LEAST_ROUNDS = 2
+#: Counters of shingles. They only set the order in which prefixes take shingles.
+COUNTERS = 1 << 20
+#: Postings of a shingle that one task joins.
+POSTINGS = 2_000
 #: Texts that are signed together.
 TEXTS = 128
 
@@ -278,6 +284,118 @@ def _round_pairs(buckets: DataFrame, number: int) -> DataFrame:
     )
 
 
+def _occurrences(shingles: bytes, counts: bytes) -> np.ndarray:
+    """A token for each occurrence of a shingle; two texts share as many as their minima."""
+    place, number = _counted_up(np.frombuffer(counts, "<u4").astype(np.int64))
+    return mixed(np.frombuffer(shingles, np.uint64)[place] + number.astype(np.uint64) * _CELL)
+
+
+def _token_counts(sets: DataFrame) -> np.ndarray:
+    """How often each of `COUNTERS` slots of tokens occurs, counted in the tasks and summed."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            for packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                slots, n = np.unique(_occurrences(*packed) % np.uint64(COUNTERS), return_counts=True)
+                counts[slots] += n
+        slots = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(slots, pa.int64()), pa.array(counts[slots], pa.int64())], names=["slot", "n"]
+        )
+
+    found = sets.select("shingles", "counts").mapInArrow(run, "slot long, n long")
+    # At most COUNTERS rows come to the driver.
+    table = found.groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(COUNTERS, np.int64)
+    counts[table.column("slot").to_numpy()] = table.column("n").to_numpy()
+    return counts
+
+
+def _prefixes(sets: DataFrame, similarity: float) -> DataFrame:
+    """The rarest tokens of each text: `token`, `doc`, `root`, the text's `size`, the `left`
+    tokens from this one on, and whether the text can be met there as the `shorter` one."""
+    shared = sets.sparkSession.sparkContext.broadcast(_token_counts(sets))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc, root, *packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                tokens = _occurrences(*packed)
+                size = len(tokens)
+                order = np.lexsort((tokens, shared.value[tokens % np.uint64(COUNTERS)]))
+                longest = size - int(np.ceil(similarity * size - 1e-6)) + 1
+                own = size - int(np.ceil(2 * similarity / (1 + similarity) * size - 1e-6)) + 1
+                first = tokens[order[:longest]].view(np.int64)
+                at = np.arange(len(first))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(first),
+                        pa.array(np.full(len(first), doc, np.int64)),
+                        pa.array(np.full(len(first), root, np.int64)),
+                        pa.array(np.full(len(first), size, np.int64)),
+                        pa.array(size - at),
+                        pa.array(at < own),
+                    ],
+                    names=["token", "doc", "root", "size", "left", "shorter"],
+                )
+
+    schema = "token long, doc long, root long, size long, left long, shorter boolean"
+    return sets.select("doc", "root", "shingles", "counts").mapInArrow(run, schema)
+
+
+def _unmet_pairs(sets: DataFrame, similarity: float) -> DataFrame:
+    """Every pair `a`, `b` of different roots in `sets` that can be similar enough.
+
+    Of two texts as similar as that, the first token that both have, in the order of all
+    tokens, has so many tokens of both texts after it as they must share. It is among the
+    `shorter` ones of the shorter text and in the prefix of the longer. What a whole family
+    of texts shares comes last in the order, and stands in no `shorter` prefix unless the
+    family is similar enough. Tokens of many texts are dealt out to several tasks.
+    """
+    postings = stored(_prefixes(sets, similarity), "prefixes")
+    tokens = stored(
+        postings.groupBy("token")
+        .agg(
+            F.min("root").alias("low"),
+            F.max("root").alias("high"),
+            F.max("shorter").alias("met"),
+            F.count(F.lit(1)).alias("n"),
+        )
+        .where("low < high and met")
+        .select("token", F.ceil(F.col("n") / POSTINGS).cast("int").alias("salts")),
+        "prefix-tokens",
+    )
+    placed = postings.join(tokens, "token")
+
+    def side(mark: str, salt) -> DataFrame:
+        names = [F.col(c).alias(f"{c}_{mark}") for c in ("doc", "root", "size", "left")]
+        return placed.where("shorter" if mark == "x" else "true").select("token", *names, salt.alias("salt"))
+
+    x = side("x", F.pmod(F.xxhash64("doc"), F.col("salts")).cast("int"))
+    y = side("y", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+    shared = similarity / (1 + similarity) * (F.col("size_x") + F.col("size_y")) - 1e-6
+    met = x.join(y, ["token", "salt"]).where(
+        (F.col("root_x") != F.col("root_y"))
+        & (F.struct("size_x", "doc_x") < F.struct("size_y", "doc_y"))
+        & (F.least("left_x", "left_y") >= shared)
+    )
+    return met.select(
+        F.greatest("doc_x", "doc_y").alias("a"), F.least("doc_x", "doc_y").alias("b")
+    ).distinct()
+
+
+def _unmet(labelled: DataFrame) -> DataFrame:
+    """`doc` and `root` of the members of buckets that hold several roots. Two members alone
+    have met as heads."""
+    mixed_keys = (
+        labelled.groupBy("key")
+        .agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("n"))
+        .where("low < high and n > 2")
+        .select("key")
+    )
+    return labelled.join(mixed_keys, "key", "left_semi").select("doc", "root").distinct()
+
+
 def classes(
     docs: DataFrame,
     text: str = "text",
@@ -326,6 +444,14 @@ def classes(
             )
         elif number >= least_rounds:
             break
+    unmet = stored(_unmet(labelled), "unmet")
+    if not unmet.isEmpty():
+        residual = stored(sets.join(unmet, "doc"), "unmet-multisets")
+        pairs = stored(_unmet_pairs(residual, similarity), "pairs")
+        new = stored(verified(pairs, sets, similarity), "verified")
+        if not new.isEmpty():
+            links.append(new)
+            roots = components(reduce(DataFrame.unionAll, links))
     if len(links) == 1:
         roots = components(copies)
     named = given.select(F.col("doc").alias("doc_id"))

@@ -98,6 +98,20 @@ def test_a_large_group_of_near_copies_is_one_class(spark):
     assert {r.class_id for r in near_dedup.classes(documents(spark, rows)).collect()} == {10}
 
 
+def test_pairs_in_a_family_just_below_the_similarity_are_found(spark):
+    template = [f"w{i}" for i in range(400)]
+
+    def text(i, suffix):
+        return " ".join([*template, *suffix, *[f"x{i}_{k}" for k in range(53 - len(suffix))]])
+
+    # 0.79 to all others and, of two neighbours with the same six words, 0.81 to each other.
+    rows = [(i, text(i, [f"p{i // 2}_{k}" for k in range(6)] if i < 80 else [])) for i in range(500)]
+    assert 0.78 < jaccard(shingles(rows[90][1]), shingles(rows[91][1])) < 0.8
+    assert 0.8 < jaccard(shingles(rows[0][1]), shingles(rows[1][1])) < 0.82
+    found = near_dedup.classes(documents(spark, rows)).collect()
+    assert sorted(map(tuple, found)) == [(i, i - i % 2 if i < 80 else i) for i in range(500)]
+
+
 def test_signatures_agree_as_often_as_texts_are_similar():
     rng = np.random.default_rng(6)
     a = {int(x): float(w) for x, w in zip(rng.integers(1, 2**63, 300), rng.uniform(0.2, 4, 300), strict=True)}
