@@ -56,7 +56,8 @@ _AT = re.compile(
     r"([\w-]{1,63}(?:\s{0,2}(?:\.|[\[({<]\s?(?:dot|\.)\s?[\])}>]|\sdot\s)\s{0,2}[\w-]{1,63}){1,4})(?![\w-])",
     re.I,
 )
-_MAY_BE_AT = re.compile(r"@|[\[({<]\s?at\s?[\])}>]|\sat\s[\w-]{1,63}(?:\s{0,2}[\[({<]|\s)\s?dot\b", re.I)
+# Whatever `_AT` matches holds one of these.
+_MAY_BE_AT = re.compile(r"@|\bat\b", re.I)
 _NUMBER = re.compile(r"(?<![\w.])[+(]?[0-9](?:[ ().,\[\]/_-]{0,3}[0-9]){6,23}(?![\w])")
 
 _WORDS = {

@@ -117,6 +117,17 @@ def test_long_texts_of_one_kind_of_mark_take_linear_time():
         pii.proposals(text)
 
 
+@pytest.mark.parametrize(
+    "words",
+    ["john at example.com", "john at mail.example dot com", "john at example  dot  com", "john at example [.] com",
+     "john(at)example.com", "john < AT > example dot com", "john@example.com"],
+)
+def test_addresses_are_proposed_whatever_stands_elsewhere(words):
+    alone = [s for s in pii.proposals(f"ask {words}") if s[0] == "email"]
+    beside = [s for s in pii.proposals(f"ask {words} ; see ; x @") if s[0] == "email"]
+    assert alone and alone == beside
+
+
 def private_documents(spark, n=900):
     rng = np.random.default_rng(5)
     rows = []
