@@ -7,7 +7,8 @@ Boosted trees score them by format and context, and a threshold per kind, calibr
 documents that were not trained on, selects what is added. Of added spans that overlap the
 likeliest is kept, and none overlaps a base span.
 
-The trees learn from a sample of documents that is bounded by `TRAINING_DOCS`. Its base
+The trees learn from samples of documents that are bounded by `TRAINING_DOCS`: one a kind,
+of those with a base span of it, and two of those without any. Their base
 spans are positive, also when they are disguised as the generators expect, and so are they
 negative with their numbers broken; proposals that are no base span are negative. Without
 any example nothing is added.
@@ -22,6 +23,7 @@ import re
 from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 from hashlib import sha256
 from random import Random
 
@@ -30,6 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lamina.sources import stored
+
 # The kinds in the order of the results.
 KINDS = ("email", "ip", "card", "phone")
 
@@ -344,22 +348,69 @@ class Trees:
             self.threshold = float(max(0.5, (p[order[last]] + next_p) / 2))
 
 
+#: Texts outside of this have no base span; only Spark looks at them.
+_MAY_BE_BASE = (
+    r"@|[0-9]\.[0-9]+\.[0-9]+\.[0-9]|[0-9](?:[\x20-]?[0-9]){12}|\+[0-9][\x20().0-9-]+[0-9]"
+)
+#: What texts without base spans must hold to be an example, of words and of numbers.
+_CLEAN = (r"(?i)@|\bat\b", r"[0-9]{3}")
+
+
+def _marked(docs: DataFrame) -> DataFrame:
+    """`hash` of each distinct text and `marks`, a bit for each kind it has a base span of,
+    and for texts without any a bit for each pattern of `_CLEAN`."""
+    text = F.col("text")
+    clean = [F.when(text.rlike(p), 1 << len(KINDS) + i).otherwise(0) for i, p in enumerate(_CLEAN)]
+    rows = docs.select(F.col("text").cast("string").alias("text")).select(
+        F.xxhash64("text").alias("hash"),
+        (clean[0] + clean[1]).alias("clean"),
+        F.when(text.rlike(_MAY_BE_BASE), text).alias("text"),
+    )
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            marks = [
+                sum(1 << KINDS.index(k) for k in {s[0] for s in base_spans(text or "")}) or clean
+                for text, clean in zip(
+                    batch.column(2).to_pylist(), batch.column(1).to_pylist(), strict=True
+                )
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(marks, pa.int64())], names=["hash", "marks"]
+            )
+
+    seen = rows.where("clean > 0 or text is not null").mapInArrow(run, "hash long, marks long")
+    return seen.where("marks > 0").distinct()
+
+
+def _sample(docs: DataFrame, training_docs: int) -> DataFrame:
+    """`text`, each once: for each mark the `training_docs` texts of the least hashes."""
+    marked = stored(_marked(docs), "pii-marks")
+    chosen = [
+        marked.where(F.col("marks").bitwiseAND(F.lit(1 << bit)) > 0)
+        .select("hash")
+        .orderBy("hash")
+        .limit(training_docs)
+        for bit in range(len(KINDS) + len(_CLEAN))
+    ]
+    hashes = stored(reduce(DataFrame.unionAll, chosen).distinct(), "pii-sample")
+    texts = docs.select(F.col("text").cast("string").alias("text"))
+    # A few thousand hashes a mark; copies of a text combine before they are shuffled.
+    own = texts.withColumn("hash", F.xxhash64("text")).join(F.broadcast(hashes), "hash")
+    return own.groupBy("hash").agg(F.min("text").alias("text")).select("text")
+
+
 def train(
     docs: DataFrame, training_docs: int = TRAINING_DOCS, precision: float = PRECISION
 ) -> dict[str, Trees]:
-    """A calibrated model per kind, from about `training_docs` documents with base spans.
+    """A calibrated model per kind, from up to `training_docs` texts with base spans of each
+    kind, and as many without any, of those with an address's words and of those with numbers.
 
-    The sample is drawn by a hash of the text among all documents that hold a digit group
-    or an at-sign, so it does not depend on the order of the rows. Examples of one text are
-    either trained on or calibrated on.
+    The samples are drawn by a hash of the text, so they do not depend on the order of the
+    rows, and a kind is learned however rare it is. Examples of one text are either trained
+    on or calibrated on.
     """
-    texts = docs.select(F.col("text").cast("string").alias("text")).where(
-        F.col("text").contains("@") | F.col("text").rlike("[0-9]{3}")
-    )
-    n = texts.count()
-    share = min(1.0, training_docs / max(n, 1))
-    place = F.pmod(F.xxhash64("text"), F.lit(1_000_000))
-    sample = texts.where(place < int(share * 1_000_000) + 1)
+    sample = _sample(docs, training_docs)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

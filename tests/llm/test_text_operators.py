@@ -174,6 +174,12 @@ def test_base_spans_stay_and_disguised_ones_are_added(spark):
     assert pii.find(docs.where("false")).count() == 0
 
 
+def test_a_rare_kind_is_learned_from_a_small_sample(spark):
+    docs = private_documents(spark).where("doc_id % 5 != 1 or doc_id < 600").select("doc_id", "text", "lang")
+    clean = spark.range(30_000).selectExpr("id + 10000", "concat('in 2012 about ', id, ' and 1000 of it')", "'en'")
+    assert set(pii.train(docs.unionAll(clean.toDF(*docs.columns)), training_docs=150)) == set(pii.KINDS)
+
+
 def test_clean_numbers_are_left_alone(spark):
     docs = private_documents(spark)
     models = pii.train(docs)
