@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from lamina.sources import stored
 
-SAMPLES = 48
+SAMPLES = 64
 GROUP = 4
 DOCS_PER_RANGE = 500
 #: Ranges only part the work; beyond this many they grow instead.

@@ -238,6 +238,12 @@ def test_fingerprints_of_edge_rows(spark):
     assert len(plain) == 1
 
 
+def test_fingerprints_have_64_samples(spark):
+    rows = fingerprints.with_edits(documents(spark, [(1, "one two three", "en"), (2, "four", "en")])).collect()
+    assert all(len(r.fingerprint) == len(r.edited_fingerprint) == 64 * 4 for r in rows)
+    assert all(r.near_next * 64 == int(r.near_next * 64) for r in rows)
+
+
 def test_fingerprints_run_no_python(spark):
     plan = fingerprints.fingerprints(documents(spark, fingerprint_rows()))._jdf.queryExecution()
     assert "Python" not in plan.toString() and "Arrow" not in plan.toString()
