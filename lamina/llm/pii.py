@@ -400,6 +400,12 @@ def _sample(docs: DataFrame, training_docs: int) -> DataFrame:
     return own.groupBy("hash").agg(F.min("text").alias("text")).select("text")
 
 
+def _bounded(found: DataFrame, most: int) -> DataFrame:
+    """The `most` examples of the least hashes of text and example, which are the same on
+    every run; long lists of one text do not push out others. Bounds what the driver holds."""
+    return found.orderBy(F.xxhash64("number", "at"), "number", "at").limit(most)
+
+
 def train(
     docs: DataFrame, training_docs: int = TRAINING_DOCS, precision: float = PRECISION
 ) -> dict[str, Trees]:
@@ -417,26 +423,27 @@ def train(
             rows = []
             for text in batch.column(0).to_pylist():
                 number = int.from_bytes(sha256(text.encode()).digest()[:4], "little")
-                for kind, label, values in examples(text, number):
-                    rows.append((kind, label, number, values))
+                for at, (kind, label, values) in enumerate(examples(text, number)):
+                    rows.append((kind, label, number, at, values))
             if rows:
-                kinds, labels, numbers, values = zip(*rows, strict=True)
+                kinds, labels, numbers, places, values = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(kinds, pa.string()),
                         pa.array(labels, pa.int64()),
                         pa.array(numbers, pa.int64()),
+                        pa.array(places, pa.int64()),
                         pa.array(values, pa.list_(pa.float64())),
                     ],
-                    names=["kind", "label", "number", "values"],
+                    names=["kind", "label", "number", "at", "values"],
                 )
 
-    schema = "kind string, label long, number long, values array<double>"
-    # About training_docs documents; the limit bounds what the driver holds.
-    rows = sample.mapInArrow(run, schema).limit(30 * training_docs).toPandas()
+    schema = "kind string, label long, number long, at long, values array<double>"
+    found = stored(sample.mapInArrow(run, schema), "pii-examples")
     models = {}
     for kind in KINDS:
-        own = rows[rows["kind"] == kind].sort_values(["number", "label"], kind="stable")
+        own = _bounded(found.where(F.col("kind") == kind), 30 * training_docs).toPandas()
+        own = own.sort_values(["number", "label", "at"], kind="stable")
         fitted = own[own["number"] % 3 != 0]
         checked = own[own["number"] % 3 == 0]
         if min(fitted["label"].sum(), checked["label"].sum()) < LEAST_POSITIVES:

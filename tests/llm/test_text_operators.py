@@ -180,6 +180,20 @@ def test_a_rare_kind_is_learned_from_a_small_sample(spark):
     assert set(pii.train(docs.unionAll(clean.toDF(*docs.columns)), training_docs=150)) == set(pii.KINDS)
 
 
+def test_training_does_not_depend_on_copies_or_the_order_of_rows(spark):
+    docs = private_documents(spark, 400).select("text")
+    numbers = " ; ".join(f"{i % 90 + 10} 4000 1234 5678 {i + 1000}" for i in range(4_000))
+    hot = spark.range(300).select(F.lit(numbers).alias("text"))
+    one = spark.createDataFrame([(numbers,)], "text string")
+    first = pii.train(hot.unionAll(docs), training_docs=100)
+    other = pii.train(docs.repartition(5).unionAll(one), training_docs=100)
+    assert set(first) == set(other) == set(pii.KINDS)
+    for kind, model in first.items():
+        assert (model.scale, model.shift, model.threshold) == (
+            other[kind].scale, other[kind].shift, other[kind].threshold
+        )
+
+
 def test_clean_numbers_are_left_alone(spark):
     docs = private_documents(spark)
     models = pii.train(docs)
