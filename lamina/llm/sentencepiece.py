@@ -2,7 +2,8 @@
 
 The model's protobuf is parsed here; normaliser, space marker, scores and byte fallback are
 rebuilt as parts of a tokenizers pipeline, for unigram models and for merge models, whose
-merges follow from the order of their scores. Encoding takes batches on several threads.
+merges follow from the order of their scores. Encoding takes batches, on one thread a task
+unless `threads` says more.
 Parity with the SentencePiece library is verified chunk by chunk: each distinct chunk of
 text is encoded by both.
 
