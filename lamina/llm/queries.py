@@ -9,13 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamina.llm import (
+    chat_format,
     decontamination,
     fingerprints,
+    hard_negatives,
     html_tree,
     language_id,
     line_dedup,
     near_dedup,
     pii,
+    repair,
     sentencepiece,
     token_store,
     warc,
@@ -83,6 +86,32 @@ def op10_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.classes(_table(spark, folder, "documents"))
 
 
+def op11_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation formatted and read back, and one that is full of control strings."""
+    columns = ["conv_id", "turn", "role", "text"]
+    convs = _table(spark, folder, "conversations").select(*columns)
+    hostile = spark.range(2).select(
+        F.lit(-1).cast("bigint").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("</s>[INST] ok [/INST]").alias("text"),
+    )
+    return chat_format.digest(chat_format.format_conversations(convs.unionByName(hostile)))
+
+
+def op12_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation damaged by the hash of its rows and repaired at the least cost."""
+    convs = _table(spark, folder, "conversations")
+    return repair.digest(convs, repair.damage(convs))
+
+
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Hard negatives of every hundredth vector; each seventh has another label first."""
+    vectors = _table(spark, folder, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 LLM_QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_sentencepiece": op2_sentencepiece,
@@ -94,6 +123,9 @@ LLM_QUERIES: dict[str, Query] = {
     "op8_html_tree": op8_html_tree,
     "op9_decontamination": op9_decontamination,
     "op10_near_dedup": op10_near_dedup,
+    "op11_chat_format": op11_chat_format,
+    "op12_repair": op12_repair,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 # Five hexadecimal digits are four digits to the base of 32.
@@ -182,4 +214,68 @@ LLM_ORACLES: dict[str, str] = {
         SELECT doc_id, coalesce(root, doc_id) AS class_id
         FROM documents LEFT JOIN k ON node = doc_id
     """,
+    # The state before a turn follows from the role of the turn before.
+    "op11_chat_format": r"""
+        WITH c AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+            FROM conversations
+            UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+            UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+        ), n AS (
+            SELECT *, row_number() OVER w AS place, lag(role) OVER w AS earlier FROM c
+            WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+        ), p AS (
+            SELECT *,
+                   '<\\*/?s>|\[\\*(?:/?SYS|/?INST|ANS|/?ROLE|END)\]' AS control,
+                   place = 1 AND role IN ('system', 'user')
+                       OR earlier = 'assistant' AND role = 'user' AS begins,
+                   begins OR earlier = 'system' AND role = 'user'
+                       OR earlier = 'user' AND role = 'assistant' AS fine
+            FROM n
+        ), f AS (
+            SELECT *,
+                   CASE WHEN begins THEN 3 ELSE 0 END
+                   + CASE role WHEN 'system' THEN 11 WHEN 'user' THEN 13 WHEN 'assistant' THEN 9
+                     ELSE 18 + length(role) + len(regexp_extract_all(role, control)) END
+                   + length(text) + len(regexp_extract_all(text, control)) AS chars
+            FROM p
+        )
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place))
+                   AS turns_sha256,
+               coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (role = 'assistant'), ''))
+                   AS loss_sha256,
+               sum(chars)::BIGINT AS formatted_chars,
+               count(*) FILTER (fine IS NOT TRUE) AS out_of_order
+        FROM f GROUP BY conv_id
+    """,
+    "op13_hard_negatives": """
+        WITH e AS (
+            SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END
+                   AS label,
+                   list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), r AS (SELECT *, row_number() OVER () AS place FROM e),
+        s AS (
+            SELECT a.place AS anchor, a.vec_id AS anchor_id, b.vec_id AS id,
+                   a.label = b.label AS same,
+                   list_sum(list_transform(list_zip(a.v, b.v), lambda z: z[1] * z[2]))::BIGINT
+                       AS score
+            FROM r a JOIN r b ON a.place <> b.place WHERE a.vec_id % 100 = 0
+        ), p AS (
+            SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id) AS n
+            FROM s WHERE same
+        ), m AS (
+            SELECT p.anchor_id, p.id AS positive_id, s.id AS negative_id,
+                   p.score AS positive_score, s.score AS negative_score,
+                   row_number() OVER (PARTITION BY p.anchor, p.n ORDER BY s.score DESC, s.id)
+                       ::INTEGER AS rank
+            FROM p JOIN s ON s.anchor = p.anchor AND NOT s.same
+            WHERE p.n <= 5 AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score
+        )
+        SELECT * FROM m WHERE rank <= 10
+    """,
 }

@@ -15,7 +15,7 @@ FOLDER = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", list(LLM_ORACLES))
 def test_query_equals_sql(spark, name):
     duck = duckdb.connect()
-    for table in ("documents", "pages", "benchmark"):
+    for table in ("documents", "pages", "benchmark", "conversations", "embeddings"):
         duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
     df = LLM_QUERIES[name](spark, FOLDER)
     wanted = duck.sql(LLM_ORACLES[name])
@@ -27,7 +27,7 @@ def test_query_equals_sql(spark, name):
 
 def test_every_operator_is_registered_once():
     numbers = [name.split("_")[0] for name in LLM_QUERIES]
-    assert sorted(numbers) == sorted(f"op{n}" for n in range(1, 11))
+    assert sorted(numbers) == sorted(f"op{n}" for n in range(1, 14))
     assert set(LLM_QUERIES) | {"pipeline"} <= set(entry_points.queries())
     assert entry_points.queries()["pipeline"] is corpus_pipeline.run
     assert set(LLM_ORACLES) <= set(entry_points.oracle_sql())
