@@ -1,19 +1,50 @@
-"""Connected components of a link table by alternating star contractions."""
+"""Connected components of a link table: contracted in tasks, then by alternating stars."""
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from math import ceil
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.observation import Observation
 
 from lamina.sources import stored
 
-#: Links that one task takes, at least eight tasks: their measured number sets how many.
+#: Links that one task takes; their measured number sets how many tasks there are.
 LINKS_PER_TASK = 250_000
 
 
+def _contract_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The links of a task as one from each node to the smallest node linked to it there."""
+    above: dict[int, int] = {}
+
+    def root(node: int) -> int:
+        while (parent := above.setdefault(node, node)) != node:
+            above[node] = node = above[parent]
+        return node
+
+    for batch in batches:
+        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            one, two = root(a), root(b)
+            if one != two:
+                above[max(one, two)] = min(one, two)
+    found = [(node, root(node)) for node in above]
+    moved = [(node, least) for node, least in found if node != least]
+    nodes, roots = zip(*moved, strict=True) if moved else ((), ())
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(nodes, pa.int64()), pa.array(roots, pa.int64())], names=["a", "b"]
+    )
+
+
+def _contracted(links: DataFrame, tasks: int) -> DataFrame:
+    """Links with the same components: each task's own part contracted, stars around its
+    smallest nodes. Memory is that of the links of a task."""
+    dealt = links.select("a", "b").coalesce(1) if tasks == 1 else links.repartition(tasks, "a")
+    return dealt.select("a", "b").mapInArrow(_contract_batches, "a bigint, b bigint")
+
+
 def _both_ways(edges: DataFrame) -> DataFrame:
     back = edges.select(F.col("b").alias("a"), F.col("a").alias("b"))
     return edges.select("a", "b").unionAll(back)
@@ -51,19 +82,29 @@ def _stored_with_state(edges: DataFrame) -> tuple[DataFrame, tuple]:
 def components(links: DataFrame) -> DataFrame:
     """`node` and `root`, the smallest node linked to it; smallest nodes are left out.
 
-    `links` has the columns `a` and `b`. Each step groups and joins by node, never by
-    component, and is stored; nothing but a count and a checksum comes to the driver. The
-    minima are stored before they are joined, so the join is by broadcast where they are
-    few, and the adaptive join can split a node with many links where they are not.
+    `links` has the columns `a` and `b`. What fits a task is contracted there; links of
+    several tasks go on by alternating stars. Each of their steps groups and joins by node,
+    never by component, and is stored; nothing but a count and a checksum comes to the
+    driver. The minima are stored before they are joined, so the join is by broadcast where
+    they are few, and the adaptive join can split a node with many links where they are not.
     """
     ordered = stored(
         links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), "links"
     )
-    tasks = max(8, ceil(ordered.count() / LINKS_PER_TASK))
-    edges, state = _stored_with_state(_small_star(ordered, tasks))
+    tasks = ceil(ordered.count() / LINKS_PER_TASK)
+    edges = stored(_contracted(ordered, max(1, tasks)), "contracted-links")
+    if tasks > 1:
+        edges = _alternating(edges, max(8, tasks))
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+
+
+def _alternating(links: DataFrame, tasks: int) -> DataFrame:
+    """Alternating stars until a step changes nothing: `b` is then the smallest node of `a`'s
+    component."""
+    edges, state = _stored_with_state(_small_star(links, tasks))
     while True:
         wide = stored(_large_star(edges, tasks), "star-large")
         edges, now = _stored_with_state(_small_star(wide, tasks))
         if now == state:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+            return edges
         state = now

@@ -7,12 +7,13 @@ signature, so two texts agree in a coordinate with the probability of their gene
 Jaccard similarity. Only about `k log k` darts are thrown, whatever the text's length.
 
 Texts with the same words are one node from the start. Nodes that agree in all rows of a
-band share a bucket. In every round each bucket compares its members with two of them, its
-heads, unless both are linked already; other heads follow until a round finds no link. So a
-bucket costs its size a round, whatever the number of pairs in it. Members of a bucket that
-are still in different components then meet exactly: a pair that is similar enough shares
-one of the rarest shingles of both, and only such pairs are listed. Every link is verified
-on the exact multisets.
+band share a bucket, and each bucket compares its members with one of them, its head. Bands
+take turns: after one band the components found so far are contracted, and the next bands
+compare only members that are not in their head's component yet. So a family of copies is
+compared about once a member, not once a member and band. Then other heads follow, over all
+bands, until a round finds no link. Members of a bucket that are still in different
+components meet exactly: a pair that is similar enough shares one of the rarest shingles of
+both, and only such pairs are listed. Every link is verified on the exact multisets.
 
 A document without words has the class of the documents with the same text; null and empty
 texts are alone. Rows with the same id are one document, whose links are those of all its
@@ -22,7 +23,7 @@ texts. Rows with a null id keep a null class. An empty table gives an empty one.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from functools import reduce
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -46,7 +47,6 @@ from lamina.sources import stored
 
 BANDS, ROWS = 24, 5
 SIMILARITY = 0.8
-LEAST_ROUNDS = 2
 #: Counters of shingles. They only set the order in which prefixes take shingles.
 COUNTERS = 1 << 20
 #: Postings of a shingle that one task joins.
@@ -232,7 +232,7 @@ def _similarity(a: pd.Series, wa: pd.Series, b: pd.Series, wb: pd.Series) -> pd.
 
 
 def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs `a`, `b` whose multisets are similar enough.
+    """The pairs whose multisets, those of `a` and `b`, are similar enough.
 
     The second join meets a hot head on one side and its one row on the other, so the
     adaptive join can split it.
@@ -240,48 +240,81 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     left = sets.select(F.col("doc").alias("a"), F.col("shingles").alias("sa"), F.col("counts").alias("na"))
     right = sets.select(F.col("doc").alias("b"), F.col("shingles").alias("sb"), F.col("counts").alias("nb"))
     joined = pairs.join(left, "a").join(right, "b")
-    return joined.where(_similarity("sa", "na", "sb", "nb") >= similarity).select("a", "b")
+    return joined.where(_similarity("sa", "na", "sb", "nb") >= similarity).select(*pairs.columns)
 
 
-def _round_pairs(buckets: DataFrame, number: int) -> DataFrame:
-    """Each bucket's members with its two heads of this round, if they are not linked yet.
+def band_turns(bands: int) -> list[tuple[int, int]]:
+    """First and last bands that are compared together: one, then twice as many each time."""
+    turns, start, width = [], 0, 1
+    while start < bands:
+        turns.append((start, min(start + width, bands) - 1))
+        start, width = start + width, 2 * width
+    return turns
 
-    `buckets` has `key`, `doc`, `root` and `company`. A head is the member that comes first
-    in an order of all documents, so one document heads most buckets of a group, and a
-    later round, with other orders, meets others. The first order is by company, the
-    members of all buckets of a document: the text that the others are copies of shares
-    more buckets than they share with each other.
-    """
 
-    def first(order: int):
-        rank = F.xxhash64(F.lit(order), "doc") if order else -F.col("company")
-        return F.min(F.struct(rank.alias("rank"), F.col("doc"), F.col("root")))
+def _labelled(buckets: DataFrame, roots: DataFrame) -> DataFrame:
+    """The members of buckets with their components. `roots` has the `node` and `root` of
+    those that are no roots."""
+    return stored(
+        buckets.join(roots, F.col("doc") == F.col("node"), "left").select(
+            "key", "doc", "company", F.coalesce("root", "doc").alias("root")
+        ),
+        "labelled",
+    )
+
 
+def head_pairs(labelled: DataFrame, order: int) -> DataFrame:
+    """`a`, `b` and their components `ra`, `rb`: members of buckets and their head, if apart.
+
+    `labelled` has `key`, `doc`, `company` and `root`. A head is the member that comes first
+    in an order of all documents, so one document heads most buckets of a group, and
+    another order brings others. The first order is by company, the members of all buckets
+    of a document: the text that the others are copies of shares more buckets than they
+    share with each other.
+    """
+    rank = F.xxhash64(F.lit(order), "doc") if order else -F.col("company")
     heads = stored(
-        buckets.groupBy("key")
+        labelled.groupBy("key")
         .agg(
-            first(2 * number).alias("one"),
-            first(2 * number + 1).alias("two"),
+            F.min(F.struct(rank.alias("rank"), F.col("doc"), F.col("root"))).alias("head"),
             F.min("root").alias("low"),
             F.max("root").alias("high"),
         )
         .where("low < high")
-        .select(
-            "key",
-            F.array(
-                F.struct(F.col("one.doc").alias("head"), F.col("one.root").alias("head_root")),
-                F.struct(F.col("two.doc").alias("head"), F.col("two.root").alias("head_root")),
-            ).alias("heads"),
-        ),
+        .select("key", F.col("head.doc").alias("head"), F.col("head.root").alias("head_root")),
         "bucket-heads",
     )
-    return (
-        buckets.join(heads, "key")
-        .select("doc", "root", F.explode("heads").alias("h"))
-        .where("root != h.head_root")
-        .select(F.greatest("doc", "h.head").alias("a"), F.least("doc", "h.head").alias("b"))
-        .distinct()
+    apart = labelled.join(heads, "key").where("root != head_root")
+    larger = F.col("doc") > F.col("head")
+    return apart.select(
+        F.greatest("doc", "head").alias("a"),
+        F.least("doc", "head").alias("b"),
+        F.when(larger, F.col("root")).otherwise(F.col("head_root")).alias("ra"),
+        F.when(larger, F.col("head_root")).otherwise(F.col("root")).alias("rb"),
+    ).distinct()
+
+
+def contracted(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """`roots` after `links` between the components `ra` and `rb`; only these are followed."""
+    moved = components(links.select(F.col("ra").alias("a"), F.col("rb").alias("b")))
+    onward = moved.select(F.col("node").alias("passed"), F.col("root").alias("reached"))
+    kept = roots.join(onward, F.col("root") == F.col("passed"), "left").select(
+        "node", F.coalesce("reached", "root").alias("root")
     )
+    return stored(kept.unionAll(moved.select("node", "root")), "roots")
+
+
+def _linked(
+    pairs: DataFrame, sets: DataFrame, similarity: float, roots: DataFrame
+) -> tuple[DataFrame, bool]:
+    """`roots` after the pairs that are similar enough, and whether there are any."""
+    pairs = stored(pairs, "pairs")
+    if pairs.isEmpty():
+        return roots, False
+    new = stored(verified(pairs, sets, similarity), "verified")
+    if new.isEmpty():
+        return roots, False
+    return contracted(roots, new), True
 
 
 def _occurrences(shingles: bytes, counts: bytes) -> np.ndarray:
@@ -350,7 +383,10 @@ def _unmet_pairs(sets: DataFrame, similarity: float) -> DataFrame:
     tokens, has so many tokens of both texts after it as they must share. It is among the
     `shorter` ones of the shorter text and in the prefix of the longer. What a whole family
     of texts shares comes last in the order, and stands in no `shorter` prefix unless the
-    family is similar enough. Tokens of many texts are dealt out to several tasks.
+    family is similar enough. A token of many texts is dealt out to a grid of tasks: its
+    shorter texts to the lines, all its texts to the columns. Each text is repeated once a
+    task of its line or column, so the rows follow the pairs that are possible there; a
+    token of one shorter text repeats that text alone.
     """
     postings = stored(_prefixes(sets, similarity), "prefixes")
     tokens = stored(
@@ -358,35 +394,56 @@ def _unmet_pairs(sets: DataFrame, similarity: float) -> DataFrame:
         .agg(
             F.min("root").alias("low"),
             F.max("root").alias("high"),
-            F.max("shorter").alias("met"),
+            F.count_if("shorter").alias("short"),
             F.count(F.lit(1)).alias("n"),
         )
-        .where("low < high and met")
-        .select("token", F.ceil(F.col("n") / POSTINGS).cast("int").alias("salts")),
+        .where("low < high and short > 0")
+        .select(
+            "token",
+            F.ceil(F.col("short") / POSTINGS).cast("int").alias("lines"),
+            F.ceil(F.col("n") / POSTINGS).cast("int").alias("columns"),
+        ),
         "prefix-tokens",
     )
-    placed = postings.join(tokens, "token")
-
-    def side(mark: str, salt) -> DataFrame:
-        names = [F.col(c).alias(f"{c}_{mark}") for c in ("doc", "root", "size", "left")]
-        return placed.where("shorter" if mark == "x" else "true").select("token", *names, salt.alias("salt"))
-
-    x = side("x", F.pmod(F.xxhash64("doc"), F.col("salts")).cast("int"))
-    y = side("y", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+    x, y = grid(postings.join(tokens, "token"))
     shared = similarity / (1 + similarity) * (F.col("size_x") + F.col("size_y")) - 1e-6
-    met = x.join(y, ["token", "salt"]).where(
+    met = x.join(y, ["token", "line", "column"]).where(
         (F.col("root_x") != F.col("root_y"))
         & (F.struct("size_x", "doc_x") < F.struct("size_y", "doc_y"))
         & (F.least("left_x", "left_y") >= shared)
     )
+    first = F.col("doc_x") > F.col("doc_y")
     return met.select(
-        F.greatest("doc_x", "doc_y").alias("a"), F.least("doc_x", "doc_y").alias("b")
+        F.greatest("doc_x", "doc_y").alias("a"),
+        F.least("doc_x", "doc_y").alias("b"),
+        F.when(first, F.col("root_x")).otherwise(F.col("root_y")).alias("ra"),
+        F.when(first, F.col("root_y")).otherwise(F.col("root_x")).alias("rb"),
     ).distinct()
 
 
+def grid(placed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides of the join by token, line and column: shorter texts, and all texts."""
+
+    def side(mark: str, line, column) -> DataFrame:
+        names = [F.col(c).alias(f"{c}_{mark}") for c in ("doc", "root", "size", "left")]
+        chosen = placed.where("shorter" if mark == "x" else "true")
+        return chosen.select("token", *names, line.alias("line"), column.alias("column"))
+
+    def one_of(count: str):
+        return F.pmod(F.xxhash64("doc"), F.col(count)).cast("int")
+
+    def each_of(count: str):
+        return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+
+    return (
+        side("x", one_of("lines"), each_of("columns")),
+        side("y", each_of("lines"), one_of("columns")),
+    )
+
+
 def _unmet(labelled: DataFrame) -> DataFrame:
     """`doc` and `root` of the members of buckets that hold several roots. Two members alone
-    have met as heads."""
+    have met as head and member."""
     mixed_keys = (
         labelled.groupBy("key")
         .agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("n"))
@@ -402,7 +459,6 @@ def classes(
     similarity: float = SIMILARITY,
     bands: int = BANDS,
     rows: int = ROWS,
-    least_rounds: int = LEAST_ROUNDS,
 ) -> DataFrame:
     """`doc_id` and `class_id`, the smallest id among the documents linked to it."""
     given = docs.select(F.col("doc_id").cast("bigint").alias("doc"), F.col(text).cast("string").alias("text"))
@@ -416,44 +472,34 @@ def classes(
         .select(F.col("doc").alias("a"), F.col("first").alias("b")).distinct(),
         "copies",
     )
+    # Rows with one id and several texts can link copies further.
+    roots = stored(components(copies), "roots")
     nodes = signed.join(
         first.select("c1", "c2", F.col("first").alias("doc")), ["c1", "c2", "doc"], "left_semi"
     )
-    every = nodes.select("doc", F.explode("keys").alias("key"))
+    every = nodes.select("doc", F.posexplode("keys").alias("band", "key"))
     span = every.groupBy("key").agg(
         F.min("doc").alias("low"), F.max("doc").alias("high"), F.count(F.lit(1)).alias("n")
     )
     shared = stored(span.where("low < high").select("key", "n"), "shared-keys")
     crowded = stored(every.join(shared, "key"), "crowded")
     company = stored(crowded.groupBy("doc").agg(F.sum("n").alias("company")), "company")
-    buckets = stored(crowded.select("key", "doc").join(company, "doc"), "buckets")
+    buckets = stored(crowded.select("band", "key", "doc").join(company, "doc"), "buckets")
     members = company.select("doc")
     sets = stored(multisets(real.join(members, "doc", "left_semi")), "multisets")
 
-    links, number = [copies], 0
-    labelled = buckets.withColumn("root", F.col("doc"))
-    while True:
-        pairs = stored(_round_pairs(labelled, number), "pairs")
-        new = stored(verified(pairs, sets, similarity), "verified")
-        found, number = new.count(), number + 1
-        if found:
-            links.append(new)
-            roots = components(reduce(DataFrame.unionAll, links))
-            labelled = buckets.join(roots.withColumnRenamed("node", "doc"), "doc", "left").select(
-                "key", "doc", "company", F.coalesce("root", "doc").alias("root")
-            )
-        elif number >= least_rounds:
+    for start, end in band_turns(bands):
+        own = _labelled(buckets.where(F.col("band").between(start, end)), roots)
+        roots, _ = _linked(head_pairs(own, 0), sets, similarity, roots)
+    for order in count(1):
+        labelled = _labelled(buckets, roots)
+        roots, found = _linked(head_pairs(labelled, order), sets, similarity, roots)
+        if not found:
             break
     unmet = stored(_unmet(labelled), "unmet")
     if not unmet.isEmpty():
         residual = stored(sets.join(unmet, "doc"), "unmet-multisets")
-        pairs = stored(_unmet_pairs(residual, similarity), "pairs")
-        new = stored(verified(pairs, sets, similarity), "verified")
-        if not new.isEmpty():
-            links.append(new)
-            roots = components(reduce(DataFrame.unionAll, links))
-    if len(links) == 1:
-        roots = components(copies)
+        roots, _ = _linked(_unmet_pairs(residual, similarity), sets, similarity, roots)
     named = given.select(F.col("doc").alias("doc_id"))
     return named.join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
         "doc_id", F.coalesce("root", "doc_id").alias("class_id")

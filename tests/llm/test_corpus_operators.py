@@ -112,6 +112,54 @@ def test_pairs_in_a_family_just_below_the_similarity_are_found(spark):
     assert sorted(map(tuple, found)) == [(i, i - i % 2 if i < 80 else i) for i in range(500)]
 
 
+def near_family(n):
+    rng = np.random.default_rng(9)
+    base = [f"w{i}" for i in rng.integers(0, 5_000, 120)]
+    for i in range(n):
+        copy = list(base)
+        copy[rng.integers(0, 120)] = f"x{i}"
+        yield i, " ".join(copy)
+
+
+def test_head_pairs_of_a_family_follow_its_members(spark, monkeypatch):
+    listed = []
+
+    def counting(labelled, order, real=near_dedup.head_pairs):
+        pairs = real(labelled, order)
+        listed[-1] += pairs.count()
+        return pairs
+
+    monkeypatch.setattr(near_dedup, "head_pairs", counting)
+    for n in (300, 600):
+        listed.append(0)
+        found = near_dedup.classes(documents(spark, list(near_family(n)))).collect()
+        assert {row.class_id for row in found} == {0}
+    assert all(pairs <= 3 * n for pairs, n in zip(listed, (300, 600), strict=True)), listed
+
+
+def test_bands_take_turns():
+    assert near_dedup.band_turns(24) == [(0, 0), (1, 2), (3, 6), (7, 14), (15, 23)]
+    assert near_dedup.band_turns(1) == [(0, 0)]
+
+
+def test_a_hot_token_is_repeated_in_proportion_to_both_sides(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "POSTINGS", 10)
+
+    def rows(short, n):
+        lines, columns = -(-short // 10), -(-n // 10)
+        placed = spark.range(n).selectExpr(
+            "7L AS token", "id AS doc", "id AS root", "5L AS size", "5L AS left",
+            f"id < {short} AS shorter", f"{lines} AS lines", f"{columns} AS columns",
+        )
+        x, y = near_dedup.grid(placed)
+        pairs = x.join(y, ["token", "line", "column"]).select("doc_x", "doc_y").distinct()
+        assert pairs.count() == short * n
+        return x.count() + y.count()
+
+    assert [rows(1, n) for n in (100, 200, 400)] == [110, 220, 440]
+    assert rows(40, 40) == 40 * 4 + 40 * 4
+
+
 def test_signatures_agree_as_often_as_texts_are_similar():
     rng = np.random.default_rng(6)
     a = {int(x): float(w) for x, w in zip(rng.integers(1, 2**63, 300), rng.uniform(0.2, 4, 300), strict=True)}
