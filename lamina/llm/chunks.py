@@ -11,6 +11,8 @@ CACHED_CHUNKS = 500_000
 
 # A single space between two characters that are not white space.
 _BETWEEN_WORDS = re.compile(r"(?<=\S) (?=\S)")
+# White space that is neither a space nor a line feed.
+_OTHER_SPACE = re.compile(r"[^\S \n]")
 # A single space between two characters that are not spaces.
 _BETWEEN_PIECES = re.compile(r"(?<=[^ ]) (?=[^ ])")
 
@@ -21,10 +23,16 @@ def word_chunks(text: str) -> list[str]:
     A byte-level tokenizer that takes a space into the word after it never joins
     characters across such a cut. All chunks but the first had the space before them.
     """
-    chunks = text.split(" ")
-    if any(not c or c[0].isspace() or c[-1].isspace() for c in chunks):
+    if (
+        "  " in text
+        or " \n" in text
+        or "\n " in text
+        or text[:1].isspace()
+        or text[-1:].isspace()
+        or _OTHER_SPACE.search(text)
+    ):
         return _BETWEEN_WORDS.split(text)
-    return chunks
+    return text.split(" ")
 
 
 def piece_chunks(text: str) -> list[str]:

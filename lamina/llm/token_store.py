@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import zlib
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lamina.llm.chunks import ChunkCache, id_bytes, word_chunks
+from lamina.llm.chunks import id_bytes, word_chunks
 from lamina.llm.files import new_name, read_file, read_range, write_file
 from lamina.sources import fresh_path, stored
 
@@ -41,6 +41,8 @@ END_ID = 0
 MARKS = {".", ",", ";", ":", "!", "?"}
 FILE_TOKENS = 8_000_000
 ROWS = 256
+#: Encoded chunks that a worker keeps, about 150 bytes each.
+KNOWN_CHUNKS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -176,34 +178,55 @@ class TokenFile:
         return values
 
 
+class KnownChunks(dict):
+    """Encoded chunks, `size` of them at most; one that is not known is encoded on the way.
+
+    The size only bounds memory: a chunk that found no room is encoded again when it comes
+    again. The frequent chunks come first and so stay.
+    """
+
+    def __init__(self, encode: Callable[[str], bytes], size: int = KNOWN_CHUNKS):
+        super().__init__()
+        self.encode, self.size = encode, size
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self.encode(chunk)
+        if len(self) < self.size:
+            self[chunk] = ids
+        return ids
+
+
 class TextEncoder:
     """A byte-level vocabulary of the tokenizers library, each distinct chunk encoded once.
 
     A chunk of letters only, with or without the space before it, is one word of the
     vocabulary's own splitting, so the library's model takes it directly. Marks behind a
-    word are a chunk of their own. All other chunks go through the whole library.
+    word and lone line breaks between words are encoded apart. All other chunks go through
+    the whole library, with its defaults: the string of an added token is that token.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
         self.model = self.tokenizer.model
         self.letters = byte_letters()
-        self.after_space = ChunkCache(lambda chunks: [self._encode(" ", c) for c in chunks])
-        self.first = ChunkCache(lambda chunks: [self._encode("", c) for c in chunks], 10_000)
-        self.marks: dict[str, bytes] = {}
+        self.after_space = KnownChunks(lambda chunk: self._encode(" ", chunk))
+        self.first = KnownChunks(lambda chunk: self._encode("", chunk))
+        self.marks = {mark: self._whole(mark) for mark in (*MARKS, "\n")}
 
     def _encode(self, before: str, chunk: str) -> bytes:
         if chunk.isalpha():
             return self._word(before, chunk)
         word, mark = chunk[:-1], chunk[-1:]
         if mark in MARKS and word.isalpha():
-            if mark not in self.marks:
-                self.marks[mark] = self._whole(mark)
-            known = self.after_space.known.get(word) if before else None
+            known = (self.after_space if before else self.first).get(word)
             return (known or self._word(before, word)) + self.marks[mark]
+        if "\n" in chunk:
+            lines = chunk.split("\n")
+            if all(lines) and not any(line[0].isspace() or line[-1].isspace() for line in lines):
+                begun = (self.after_space if before else self.first)[lines[0]]
+                return self.marks["\n"].join([begun, *map(self.first.__getitem__, lines[1:])])
         return self._whole(before + chunk)
 
     def _word(self, before: str, word: str) -> bytes:
@@ -217,10 +240,11 @@ class TextEncoder:
         return id_bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        cut = [word_chunks(text) for text in texts]
-        first = self.first([chunks[:1] for chunks in cut])
-        rest = self.after_space([chunks[1:] for chunks in cut])
-        return [b"".join(a + b) for a, b in zip(first, rest, strict=True)]
+        found, known = [], self.after_space.__getitem__
+        for text in texts:
+            begun, *chunks = word_chunks(text)
+            found.append(self.first[begun] + b"".join(map(known, chunks)))
+        return found
 
 
 def byte_letters() -> dict[int, str]:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import random
 import zlib
 
 import numpy as np
@@ -181,10 +182,21 @@ def test_a_full_cache_still_encodes():
 
 
 def test_chunked_byte_tokens_equal_the_whole_text():
-    encoder = token_store.TextEncoder(BYTE_BPE)
-    for text, ids in zip(TEXTS, encoder(TEXTS), strict=True):
-        wanted = encoder.tokenizer.encode(text, add_special_tokens=False).ids
-        assert np.frombuffer(ids, "<u4").tolist() == wanted, text
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(BYTE_BPE)
+    draw = random.Random(3)
+    parts = ["a", " ", "  ", "\n", "\t", "<|endoftext|>", "é", "Ⅻ", "²", "\x1c", "Hello", "'s", ".",
+             "!", "23", "word", "日本", "😀", "\r\n", "_", "don't", "\x85", "\u200b"]
+    texts = [*TEXTS, "a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>y <|endoftext|>.", "a\nb \nc"]
+    texts += ["".join(draw.choices(parts, k=draw.randrange(14))) for _ in range(3_000)]
+    for size in (1_000_000, 3):
+        encoder = token_store.TextEncoder(BYTE_BPE)
+        encoder.after_space.size = encoder.first.size = size
+        for text, ids in zip(texts, encoder(texts), strict=True):
+            wanted = plain.encode(text, add_special_tokens=False).ids
+            assert np.frombuffer(ids, "<u4").tolist() == wanted, text
+        assert len(encoder.after_space) <= size
 
 
 @pytest.mark.parametrize("n", [1, 8, 511, 512, 513, 5_000])
