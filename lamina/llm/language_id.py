@@ -1,10 +1,11 @@
 """Language identification: multinomial naive Bayes over hashed character n-grams.
 
-Texts are lower-cased and every run of characters that are no letters becomes one space;
-the n-grams of one to `max_n` characters are hashed into `2 ** hash_bits` bins. Counts per
+Texts are lower-cased and every run of characters that are no letters, as Unicode has
+them, becomes one space; the n-grams of one to `max_n` characters are hashed into `2 ** hash_bits` bins. Counts per
 language and bin are gathered over all labelled rows. The matrix of log probabilities has
 one row a bin and one column a language, so its size depends on these alone; it is
-broadcast and its rows are summed over the n-grams of a batch of texts.
+broadcast. A batch of texts is a sparse matrix of texts by bins, in rows one after another
+with the bins of each text's n-grams, and its product with the matrix scores the batch.
 
 Labelled rows whose text is null or has no letter teach nothing; rows without a language
 are not learned from. A text that is null or has no letter is `und` with score 0. Equal
@@ -16,6 +17,7 @@ same name.
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -37,8 +39,22 @@ MAX_LANGUAGES = 512
 UNKNOWN = "und"
 ROWS = 128
 CHARACTERS = 1 << 20
+#: Numbers that a batch's product gathers.
+CELLS = 1 << 19
 
-_NO_LETTERS = re.compile(r"[\W\d_]+")
+
+
+def _numerals() -> str:
+    """The characters that a regular expression has for word characters but that are no
+    letters and no decimal digits, as ranges: superscripts, fractions, Roman numerals."""
+    marked = [chr(c).isalnum() and not chr(c).isalpha() for c in range(sys.maxunicode + 1)]
+    edges = np.flatnonzero(np.diff(np.array([False, *marked, False]).astype(np.int8)))
+    return "".join(
+        f"\\U{start:08x}-\\U{end - 1:08x}" for start, end in zip(edges[::2], edges[1::2], strict=True)
+    )
+
+
+_NO_LETTERS = re.compile(rf"[\W\d_{_numerals()}]+")
 
 
 def normalised(text: str) -> str:
@@ -47,28 +63,25 @@ def normalised(text: str) -> str:
     return f" {words} " if words else ""
 
 
-def hashed_ngrams(text: str, max_n: int, bits: int) -> np.ndarray:
-    """The bins of all n-grams of a normalised text."""
+def ngram_bins(text: str, max_n: int, bits: int) -> Iterator[np.ndarray]:
+    """For each length from 1 on, the bins of the n-grams that begin at each place."""
     codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
     mixed = codes * np.uint32(0x9E3779B1)
-    found, rolling = [], np.zeros(len(codes), np.uint32)
-    for n in range(1, max_n + 1):
-        if len(codes) < n:
-            break
+    rolling = np.zeros(len(codes), np.uint32)
+    for n in range(1, min(max_n, len(codes)) + 1):
         # The n-gram that begins at each place, from the one that is shorter by a character.
         rolling = (rolling[: len(codes) - n + 1] * np.uint32(0x85EBCA6B)) ^ mixed[n - 1 :]
         spread = rolling ^ (rolling >> np.uint32(15))
         spread = (spread + np.uint32(n)) * np.uint32(0xC2B2AE35)
-        found.append(spread >> np.uint32(32 - bits))
-    return np.concatenate(found) if found else np.empty(0, np.uint32)
+        yield spread >> np.uint32(32 - bits)
 
 
-def _pieces(text: str) -> Iterator[str]:
+def _pieces(text: str, most: int = CHARACTERS) -> Iterator[str]:
     """A long text in pieces cut between words, so that memory stays bounded."""
     at = 0
-    while len(text) - at > CHARACTERS:
-        cut = text.rfind(" ", at + 1, at + CHARACTERS)
-        cut = at + CHARACTERS if cut <= at else cut
+    while len(text) - at > most:
+        cut = text.rfind(" ", at + 1, at + most)
+        cut = at + most if cut <= at else cut
         yield text[at : cut + 1]
         at = cut
     yield text[at:]
@@ -93,8 +106,8 @@ def count_ngrams(
                 if language not in totals:
                     totals[language] = np.zeros(1 << bits, np.int64)
                 for piece in _pieces(clean):
-                    bins = hashed_ngrams(piece, max_n, bits)
-                    totals[language] += np.bincount(bins, minlength=1 << bits)
+                    for bins in ngram_bins(piece, max_n, bits):
+                        totals[language] += np.bincount(bins, minlength=1 << bits)
         for language, counts in totals.items():
             used = np.flatnonzero(counts)
             yield pa.RecordBatch.from_arrays(
@@ -125,29 +138,57 @@ class NaiveBayes:
         The log probabilities of a text are averaged over its n-grams and weighed as
         `EVIDENCE` of them at most; n-grams overlap, so more would not be independent.
         """
-        names, scores = [], []
-        for text in texts:
-            clean = normalised(text or "")
-            if not clean or not self.languages:
-                names.append(UNKNOWN)
-                scores.append(0.0)
-                continue
-            total, n = np.zeros(len(self.languages)), 0
-            for piece in _pieces(clean):
-                bins = hashed_ngrams(piece, self.max_n, self.bits)
-                counts = np.bincount(bins, minlength=1 << self.bits) if len(bins) > 50_000 else None
-                if counts is None:
-                    total += self.weights[bins].sum(axis=0, dtype=np.float64)
-                else:
-                    used = np.flatnonzero(counts)
-                    total += counts[used] @ self.weights[used].astype(np.float64)
-                n += len(bins)
-            best = int(total.argmax())
-            odds = np.exp((total - total[best]) * (min(n, EVIDENCE) / n))
-            names.append(self.languages[best])
-            scores.append(float(1 / odds.sum()))
+        names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
+        if not self.languages:
+            return names, scores
+        cleaned = [normalised(text or "") for text in texts]
+        real = [place for place, clean in enumerate(cleaned) if clean]
+        totals = np.zeros((len(real), len(self.languages)))
+        counts = np.zeros(len(real), np.int64)
+        for owners, pieces in self._batches([cleaned[place] for place in real]):
+            found, n = self.product(pieces)
+            np.add.at(totals, owners, found)
+            np.add.at(counts, owners, n)
+        best = totals.argmax(axis=1)
+        lead = totals[np.arange(len(real)), best][:, None]
+        odds = np.exp((totals - lead) * (np.minimum(counts, EVIDENCE) / counts)[:, None])
+        for place, language, share in zip(real, best, 1 / odds.sum(axis=1), strict=True):
+            names[place], scores[place] = self.languages[language], float(share)
         return names, scores
 
+    def _batches(self, cleaned: list[str]) -> Iterator[tuple[list[int], list[str]]]:
+        """Pieces of texts and whose they are, so many that their product stays in `CELLS`."""
+        most = max(1, CELLS // (self.max_n * max(1, len(self.languages))))
+        owners, pieces, size = [], [], 0
+        for owner, clean in enumerate(cleaned):
+            for piece in _pieces(clean, most):
+                if pieces and size + len(piece) > most:
+                    yield owners, pieces
+                    owners, pieces, size = [], [], 0
+                owners.append(owner)
+                pieces.append(piece)
+                size += len(piece)
+        if pieces:
+            yield owners, pieces
+
+    def product(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The sparse matrix of normalised texts by bins times the log probabilities, and the
+        n-grams of each text. The sum of a text is that of its own rows in their order."""
+        lengths = np.array([len(text) for text in texts], np.int64)
+        total = np.zeros((len(texts), len(self.languages)))
+        ends = np.repeat(np.cumsum(lengths), lengths)
+        counts = np.zeros(len(texts), np.int64)
+        for n, bins in enumerate(ngram_bins("".join(texts), self.max_n, self.bits), start=1):
+            inside = np.arange(len(bins)) + n <= ends[: len(bins)]
+            own = np.maximum(lengths - n + 1, 0)
+            filled = np.flatnonzero(own)
+            starts = (np.cumsum(own) - own)[filled]
+            if len(filled):
+                rows = self.weights[bins[inside]]
+                total[filled] += np.add.reduceat(rows, starts, axis=0, dtype=np.float64)
+            counts += own
+        return total, counts
+
 
 def train(
     docs: DataFrame,
@@ -156,19 +197,22 @@ def train(
     max_n: int = MAX_N,
     bits: int = HASH_BITS,
 ) -> NaiveBayes:
-    """A model of all labelled rows. The driver gets one row a language and bin."""
-    counts = count_ngrams(docs, text, lang, max_n, bits)
-    # One more than the bound shows that it is passed, before anything is collected.
+    """A model of all labelled rows. The driver gets a row a language, one after another."""
+    labelled = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
+    # One more than the bound shows that it is passed, before any counts are made.
+    if labelled.select(lang).distinct().limit(MAX_LANGUAGES + 1).count() > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    counts = count_ngrams(labelled, text, lang, max_n, bits)
+    columns = []
     with held(counts, "language-counts") as table:
-        seen = table.select("lang").distinct().limit(MAX_LANGUAGES + 1).count()
-        if seen > MAX_LANGUAGES:
-            raise ValueError(f"more than {MAX_LANGUAGES} languages")
-        rows = table.toPandas()
-    languages = sorted(rows["lang"].unique())
-    totals = np.full((1 << bits, len(languages)), SMOOTHING)
-    column = {name: i for i, name in enumerate(languages)}
-    np.add.at(totals, (rows["bin"].to_numpy(int), rows["lang"].map(column).to_numpy(int)), rows["n"])
-    weights = np.log(totals) - np.log(totals.sum(axis=0))
+        languages = sorted(row["lang"] for row in table.select("lang").distinct().collect())
+        for language in languages:
+            # A row a bin at most.
+            own = table.where(F.col("lang") == language).select("bin", "n").toArrow()
+            column = np.full(1 << bits, SMOOTHING)
+            column[own["bin"].to_numpy()] += own["n"].to_numpy()
+            columns.append(np.log(column) - np.log(column.sum()))
+    weights = np.column_stack(columns) if columns else np.zeros((1 << bits, 0))
     # Only differences between languages matter; this keeps sums of many rows exact.
     weights -= weights.mean(axis=1, keepdims=True) if languages else 0
     return NaiveBayes(languages, weights.astype(np.float32), max_n, bits)

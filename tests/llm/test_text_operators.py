@@ -56,6 +56,63 @@ def test_nothing_to_learn_from_makes_everything_unknown(spark):
     assert language_id.identify(rows.where("false")).count() == 0
 
 
+def plain_naive_bayes(rows, texts):
+    """Languages and scores from counts in dictionaries, an n-gram at a time."""
+
+    def grams(text):
+        letters = "".join(c if c.isalpha() else " " for c in text.lower()).split()
+        clean = f" {' '.join(letters)} " if letters else ""
+        for n in range(1, language_id.MAX_N + 1):
+            for i in range(len(clean) - n + 1):
+                whole = list(language_id.ngram_bins(clean[i : i + n], language_id.MAX_N, 16))
+                yield int(whole[n - 1][0])
+
+    counts = {}
+    for text, lang in rows:
+        if list(grams(text)):
+            counts.setdefault(lang, Counter()).update(grams(text))
+    bins, smoothing = 1 << 16, language_id.SMOOTHING
+    totals = {lang: sum(c.values()) + bins * smoothing for lang, c in counts.items()}
+    for text in texts:
+        found = list(grams(text or ""))
+        if not found:
+            yield "und", 0.0
+            continue
+        sums = {
+            lang: sum(np.log((c[g] + smoothing) / totals[lang]) for g in found) / len(found)
+            for lang, c in counts.items()
+        }
+        weight = min(len(found), language_id.EVIDENCE)
+        best = max(sums, key=lambda lang: (sums[lang], -ord(lang[0])))
+        yield best, 1 / sum(np.exp((x - sums[best]) * weight) for x in sums.values())
+
+
+ODD_TEXTS = ["²", "½ 12", "①Ⅻ", "٣٤", "_", "a", "Straße²über", "DER und", "pour 3 que", "ⅷ le", "日本 the"]
+
+
+@pytest.mark.parametrize("cells", [1 << 19, 300])
+def test_scores_equal_naive_bayes_by_loops(spark, monkeypatch, cells):
+    monkeypatch.setattr(language_id, "CELLS", cells)
+    rows = [*[(t, lang) for _, t, lang in languages(40)], ("² ½", "zz"), ("Ça été ß", "fr")]
+    model = language_id.train(documents(spark, [(i, *row) for i, row in enumerate(rows)]))
+    assert model.languages == ["de", "en", "fr"]
+    texts = [*ODD_TEXTS, None, "", *[t for _, t, _ in languages(60)[40:]]]
+    names, scores = model.score(texts)
+    if cells > 300:  # pieces of fewer characters have no n-grams over their cuts
+        wanted = list(plain_naive_bayes(rows, texts))
+        assert names == [name for name, _ in wanted]
+        assert scores == pytest.approx([score for _, score in wanted], abs=1e-5)
+    for place, text in enumerate(texts):
+        assert model.score([text]) == ([names[place]], [scores[place]])
+        assert (names[place] == "und") == (not any(c.isalpha() for c in text or ""))
+
+
+def test_too_many_languages_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "MAX_LANGUAGES", 2)
+    with pytest.raises(ValueError, match="more than 2 languages"):
+        language_id.train(documents(spark, languages(50)))
+
+
 def test_long_texts_are_scored_like_their_pieces():
     text = language_id.normalised("avec pour que " * 150_000)
     pieces = list(language_id._pieces(text))
