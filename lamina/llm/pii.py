@@ -2,16 +2,19 @@
 
 Four kinds are looked for. The base of each is a pattern with a check of its numbers; base
 spans are always taken. Generators of high recall propose more spans, which may overlap:
-spelled-out or bracketed addresses, numbers with other separators or without a plus sign.
-Boosted trees score them by format and context, and a threshold per kind, calibrated on
-documents that were not trained on, selects what is added. Of added spans that overlap the
-likeliest is kept, and none overlaps a base span.
+spelled-out or bracketed addresses, numbers with other separators or without a plus sign,
+cards in a row of numbers. Boosted trees score them by format and context, with the kind
+among the features, and a threshold per kind, calibrated on documents that were not trained
+on, selects what is added. Of added spans that overlap the likeliest is kept, and none
+overlaps a base span.
 
 The trees learn from samples of documents that are bounded by `TRAINING_DOCS`: one a kind,
-of those with a base span of it, and two of those without any. Their base
-spans are positive, also when they are disguised as the generators expect, and so are they
-negative with their numbers broken; proposals that are no base span are negative. Without
-any example nothing is added.
+of those with a base span of it, and two of those without any. Their base spans are
+positive, also when they are written with other marks, each drawn for itself, and they are
+negative with their numbers broken; proposals that are no base span are negative. There is
+no least number of examples: a kind's calibration is of its own examples and of those of
+all kinds, which weigh as `PRIOR` of them, so a kind with few of its own, or none, is judged
+as all are. Without any positive example nothing is added.
 
 Positions are code points, the end is exclusive. A null text is empty and has no span.
 Rows are kept as they are, also repeated ones and null ids; an empty table gives no row.
@@ -28,6 +31,7 @@ from hashlib import sha256
 from random import Random
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,7 +44,8 @@ KINDS = ("email", "ip", "card", "phone")
 TRAINING_DOCS = 3_000
 TREES, DEPTH, RATE, BINS = 60, 3, 0.2, 32
 PRECISION = 0.98
-LEAST_POSITIVES = 20
+#: Examples of a kind that those of all kinds weigh as in its calibration.
+PRIOR = 20.0
 CONTEXT = 24
 ROWS = 256
 
@@ -64,6 +69,8 @@ _AT = re.compile(
 _MAY_BE_AT = re.compile(r"@|\bat\b", re.I)
 _NUMBER = re.compile(r"(?<![\w.])[+(]?[0-9](?:[ ().,\[\]/_-]{0,3}[0-9]){6,23}(?![\w])")
 
+_ROW = re.compile(r"[0-9](?:[ -]?[0-9]){19,}+")
+
 _WORDS = {
     "email": re.compile(r"mail|contact|write|address|courriel|correo", re.I),
     "ip": re.compile(r"\bip\b|host|server|address|login|client", re.I),
@@ -131,9 +138,24 @@ def proposals(text: str) -> list[Span]:
                 spans.append(("card", *found.span()))
             if 9 <= n <= 15:
                 spans.append(("phone", *found.span()))
+        for found in _ROW.finditer(text):
+            spans += _cards_in_row(text, *found.span())
     return spans
 
 
+def _cards_in_row(text: str, start: int, end: int) -> Iterator[Span]:
+    """Whole groups of a row of numbers that together have the digits of a card and its check."""
+    groups = [found.span() for found in _DIGITS.finditer(text, start, end)]
+    for first, (begin, _) in enumerate(groups):
+        n = 0
+        for a, b in groups[first:]:
+            n += b - a
+            if n > 19:
+                break
+            if n >= 13 and luhn(re.sub("[ -]", "", text[begin:b])):
+                yield "card", begin, b
+
+
 def features(text: str, span: Span) -> list[float]:
     """Format and context of a span as numbers."""
     kind, start, end = span
@@ -172,24 +194,44 @@ def features(text: str, span: Span) -> list[float]:
         float(bool(_WORDS[kind].search(near))),
         float(sum(c.isdigit() for c in near)),
         float("\t" in near or "|" in near),
+        *[float(kind == other) for other in KINDS],
     ]
 
 
 def _disguised(kind: str, value: str, rng: Random) -> str:
-    """The same value as a generator expects it, but not as the base pattern does."""
+    """The same value with other marks than the base pattern takes, each drawn for itself."""
     if kind == "email":
         local, _, domain = value.rpartition("@")
-        at = rng.choice([" [at] ", "(at)", " at ", " @ "])
-        dot = rng.choice([" [dot] ", "(dot)", " dot "]) if at != " @ " else "."
+        at, dot = _spelled("at", "@", rng), _spelled("dot", ".", rng)
+        if at.strip() == "@" and dot == ".":
+            at = " @ "
         return local + at + domain.replace(".", dot)
     if kind == "ip":
-        return value.replace(".", rng.choice(["[.]", "-", " . ", "_"]))
-    if kind == "card":
-        digits = re.sub(r"[^0-9]", "", value)
-        return rng.choice([".", "_", "/"]).join(digits[i : i + 4] for i in range(0, len(digits), 4))
+        mark = rng.choice(["[.]", "(.)", "-", " . ", "_", " ", ", ", ". ", "/"])
+        return value.replace(".", mark)
     digits = re.sub(r"[^0-9]", "", value)
-    mark = rng.choice(["-", ".", " "])
-    return mark.join([digits[:-7], digits[-7:-4], digits[-4:]])
+    if kind == "card":
+        size = rng.choice([4, 4, 4, 5, 6])
+        marks = [".", "_", "/", " . ", "  ", ", ", " - "]
+        groups = [digits[i : i + size] for i in range(0, len(digits), size)]
+        return rng.choice(marks).join(groups)
+    mark = rng.choice(["-", ".", " ", "/", " - "])
+    groups = [digits[:-7], digits[-7:-4], digits[-4:]]
+    if rng.random() < 0.3:
+        groups[0] = f"({groups[0]})"
+    if rng.random() < 0.3:
+        groups[1:] = ["".join(groups[1:])]
+    return rng.choice(["", "", "", "00"]) + mark.join(group for group in groups if group != "()")
+
+
+def _spelled(word: str, mark: str, rng: Random) -> str:
+    """An at-sign or dot as a word or in brackets."""
+    word = rng.choice([word, word.upper(), word.title(), mark])
+    left, right = rng.choice(["[]", "()", "{}", "<>", "  "])
+    if left == " ":
+        return mark if word == mark and word == "." else f" {word} "
+    space = rng.choice(["", " "])
+    return f"{space}{left}{word}{right}{space}"
 
 
 def _broken(kind: str, value: str, rng: Random) -> str:
@@ -258,9 +300,15 @@ class Taken:
         self.ends.insert(at, span[2])
 
 
+def _logistic(x: np.ndarray) -> np.ndarray:
+    """1 / (1 + exp(-x)), without an overflow on either side."""
+    small = np.exp(-np.abs(x))
+    return np.where(x >= 0, 1.0, small) / (1 + small)
+
+
 @dataclass
 class Trees:
-    """Boosted regression trees on binned features, for one kind."""
+    """Boosted regression trees on binned features, calibrated for one kind."""
 
     edges: list[np.ndarray] = field(default_factory=list)
     trees: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=list)
@@ -284,7 +332,7 @@ class Trees:
 
     def probability(self, x: np.ndarray) -> np.ndarray:
         """The calibrated probability of each row."""
-        return 1 / (1 + np.exp(-(self.scale * self.margin(x) + self.shift)))
+        return _logistic(self.scale * self.margin(x) + self.shift)
 
     def fit(self, x: np.ndarray, y: np.ndarray) -> None:
         quantiles = np.linspace(0, 1, BINS + 1)[1:-1]
@@ -294,7 +342,7 @@ class Trees:
         self.start = float(np.log(share / (1 - share)))
         margin = np.full(len(y), self.start)
         for _ in range(TREES):
-            p = 1 / (1 + np.exp(-margin))
+            p = _logistic(margin)
             tree, at = self._grow(binned, y - p, p * (1 - p))
             self.trees.append(tree)
             margin += tree[2][at]
@@ -323,15 +371,18 @@ class Trees:
         h = np.bincount(leaf, hessian, 2**DEPTH)
         return (columns, cuts, RATE * g / (h + 1)), leaf
 
-    def calibrate(self, x: np.ndarray, y: np.ndarray, precision: float) -> None:
+    def calibrate(
+        self, x: np.ndarray, y: np.ndarray, weights: np.ndarray, precision: float
+    ) -> None:
         """Fit a logistic curve to the margins, and find the least threshold that is precise."""
         margin = self.margin(x)
-        smooth = np.where(y == 1, (y.sum() + 1) / (y.sum() + 2), 1 / ((1 - y).sum() + 2))
+        positive, negative = weights[y == 1].sum(), weights[y == 0].sum()
+        smooth = np.where(y == 1, (positive + 1) / (positive + 2), 1 / (negative + 2))
         for _ in range(200):
-            p = 1 / (1 + np.exp(-(self.scale * margin + self.shift)))
-            w = p * (1 - p) + 1e-9
+            p = _logistic(self.scale * margin + self.shift)
+            w, off = weights * (p * (1 - p) + 1e-9), weights * (smooth - p)
             a, b, c = (w * margin**2).sum() + 1e-3, (w * margin).sum(), w.sum() + 1e-3
-            da, db = ((smooth - p) * margin).sum(), (smooth - p).sum()
+            da, db = (off * margin).sum(), off.sum()
             determinant = a * c - b * b
             if determinant <= 0:
                 break
@@ -339,7 +390,7 @@ class Trees:
             self.shift += 0.5 * (a * db - b * da) / determinant
         p = self.probability(x)
         order = np.argsort(-p, kind="stable")
-        right = np.cumsum(y[order]) / np.arange(1, len(y) + 1)
+        right = np.cumsum((weights * y)[order]) / np.cumsum(weights[order])
         good = np.flatnonzero((right >= precision) & (p[order] >= 0.5))
         if len(good):
             # Halfway to the first score that would be too many, and never below one half.
@@ -409,7 +460,7 @@ def _bounded(found: DataFrame, most: int) -> DataFrame:
 def train(
     docs: DataFrame, training_docs: int = TRAINING_DOCS, precision: float = PRECISION
 ) -> dict[str, Trees]:
-    """A calibrated model per kind, from up to `training_docs` texts with base spans of each
+    """Trees calibrated for each kind, from up to `training_docs` texts with base spans of each
     kind, and as many without any, of those with an address's words and of those with numbers.
 
     The samples are drawn by a hash of the text, so they do not depend on the order of the
@@ -440,22 +491,23 @@ def train(
 
     schema = "kind string, label long, number long, at long, values array<double>"
     found = stored(sample.mapInArrow(run, schema), "pii-examples")
+    parts = [
+        _bounded(found.where(F.col("kind") == kind), 30 * training_docs).toPandas() for kind in KINDS
+    ]
+    every = pd.concat(parts).sort_values(["number", "label", "at", "kind"], kind="stable")
+    fitted, checked = (every[part] for part in (every["number"] % 3 != 0, every["number"] % 3 == 0))
+    # So few examples that a part lacks positive or negative ones serve for both.
+    fitted, checked = (p if p["label"].nunique() == 2 else every for p in (fitted, checked))
+    if every["label"].nunique() < 2:
+        return {}
+    trees = Trees()
+    trees.fit(np.stack(fitted["values"].to_list()), fitted["label"].to_numpy(float))
+    x, y = np.stack(checked["values"].to_list()), checked["label"].to_numpy(float)
     models = {}
     for kind in KINDS:
-        own = _bounded(found.where(F.col("kind") == kind), 30 * training_docs).toPandas()
-        own = own.sort_values(["number", "label", "at"], kind="stable")
-        fitted = own[own["number"] % 3 != 0]
-        checked = own[own["number"] % 3 == 0]
-        if min(fitted["label"].sum(), checked["label"].sum()) < LEAST_POSITIVES:
-            continue
-        if fitted["label"].nunique() < 2 or checked["label"].nunique() < 2:
-            continue
-        model = Trees()
-        model.fit(np.stack(fitted["values"].to_list()), fitted["label"].to_numpy(float))
-        model.calibrate(
-            np.stack(checked["values"].to_list()), checked["label"].to_numpy(float), precision
-        )
-        models[kind] = model
+        own = (checked["kind"] == kind).to_numpy()
+        models[kind] = Trees(trees.edges, trees.trees, trees.start)
+        models[kind].calibrate(x, y, own + PRIOR / len(y), precision)
     return models
 
 

@@ -231,6 +231,59 @@ def test_base_spans_stay_and_disguised_ones_are_added(spark):
     assert pii.find(docs.where("false")).count() == 0
 
 
+#: Written by hand, apart from the forms that the trees learn from.
+OTHER_FORMS = {
+    "email": ["ann7.lee (at) mail3 (dot) example (dot) com", "ann9.lee{AT}mail2{DOT}example{DOT}com",
+              "ann5.lee @ mail6.example.com", "ann1.lee at mail4 dot example dot com"],
+    "ip": ["10(.)20(.)30(.)40", "192 . 168 . 7 . 21", "172[.]16[.]5[.]9"],
+    "card": ["4000.1234.5678.9017", "4000_1234_5678_9017", "4000/1234/5678/9017"],
+    "phone": ["(988) 555 2485", "988.555.2485", "1-988-555-2485"],
+}
+NO_DATA = ["version 3.14.15926 of 2012", "table 12 / 400 / 2019 / 77", "we met at noon. Then left",
+           "figures 1200 1300 1400 1500 and 1600", "in 1998, 2004 and 2012 there were 3"]
+
+
+def judged(spark, models, texts):
+    rows = [(i, f"ordinary words before {text} and more words after it.", "en") for i, text in enumerate(texts)]
+    return [r.spans for r in pii.find(documents(spark, rows), models).orderBy("doc_id").collect()]
+
+
+def test_spans_in_other_forms_are_added_and_other_numbers_are_not(spark):
+    models = pii.train(private_documents(spark))
+    asked = [(kind, form) for kind, forms in OTHER_FORMS.items() for form in forms]
+    found = judged(spark, models, [form for _, form in asked])
+    right = sum(s == f"{k}:22:{22 + len(f)}" for s, (k, f) in zip(found, asked, strict=True))
+    assert right >= 0.6 * len(asked), list(zip(found, asked, strict=True))
+    assert sum(spans != "" for spans in judged(spark, models, NO_DATA)) <= 1
+
+
+@pytest.mark.parametrize("n", [5, 25, 60, 125])
+def test_few_examples_of_each_kind_are_enough(spark, n):
+    """From one of each kind on; there is no number below which a kind is off."""
+    models = pii.train(private_documents(spark, n))
+    assert set(models) == set(pii.KINDS)
+    assert all(np.isfinite([m.scale, m.shift, m.threshold]).all() for m in models.values())
+    assert judged(spark, models, ["4000 1234 5678 9017"]) == ["card:22:41"]
+    if n >= 60:
+        found = judged(spark, models, [forms[0] for forms in OTHER_FORMS.values()])
+        assert sum(spans != "" for spans in found) >= 2
+
+
+def test_a_kind_without_examples_is_judged_as_all_are(spark):
+    models = pii.train(private_documents(spark).where("doc_id % 5 != 1"))
+    assert set(models) == set(pii.KINDS) and models["ip"].threshold <= 1
+    assert pii.train(private_documents(spark).where("doc_id % 5 = 4")) == {}
+
+
+def test_cards_in_a_row_are_proposed():
+    text = "pay 4000 1234 5678 9017 4111 1111 1111 1111 now"
+    assert not pii.base_spans(text)
+    cards = [text[a:b] for kind, a, b in pii.proposals(text) if kind == "card"]
+    assert {"4000 1234 5678 9017", "4111 1111 1111 1111"} <= set(cards)
+    long_row = " ".join(["4111 1111 1111 1111"] * 3_000)
+    assert len(pii.proposals(long_row)) >= 3_000
+
+
 def test_a_rare_kind_is_learned_from_a_small_sample(spark):
     docs = private_documents(spark).where("doc_id % 5 != 1 or doc_id < 600").select("doc_id", "text", "lang")
     clean = spark.range(30_000).selectExpr("id + 10000", "concat('in 2012 about ', id, ' and 1000 of it')", "'en'")
