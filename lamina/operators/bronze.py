@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from lamina.model import AUDIT_COLUMNS, DATASETS, DEFAULT_BATCH_ID, RAW_SCHEMAS, UNREADABLE, Layers
 from lamina.plans.together import together
-from lamina.sources import read_csv, read_table, write_table
+from lamina.sources import BATCH_FOLDER, read_csv, read_table, write_batch, write_table
 
 
 def with_audit_columns(df: DataFrame, source: str, batch_id: str) -> DataFrame:
@@ -62,6 +62,26 @@ def ingest_all(
     )
 
 
+def load_batch(
+    spark: SparkSession, dataset: str, layers: Layers, batch_id: str, raw: str | None = None
+) -> int:
+    """Load one batch of a dataset beside those of other batches; returns its rows.
+
+    Loading a batch again replaces what it loaded before and nothing else, so a job that
+    failed or was given twice is simply run again. `raw` names the batch's files, if they
+    are not the dataset's raw files.
+    """
+    files = read_csv(spark, raw or layers.raw_file(dataset), RAW_SCHEMAS[dataset], UNREADABLE)
+    rows = with_audit_columns(files, dataset, batch_id)
+    return write_batch(rows, f"{layers.bronze}/{dataset}_batches", batch_id, layers.table_format)
+
+
+def read_batches(spark: SparkSession, dataset: str, layers: Layers) -> DataFrame:
+    """The rows of all batches of a dataset, without the column of their folders."""
+    path = f"{layers.bronze}/{dataset}_batches"
+    return spark.read.format(layers.table_format).load(path).drop(BATCH_FOLDER)
+
+
 def rejects(spark: SparkSession, dataset: str, layers: Layers) -> DataFrame:
     """One row: dataset, its rows, and those with a record that could not be read as declared."""
     df = read_table(spark, f"{layers.bronze}/{dataset}", layers.table_format)

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lamina.functions import line_total
 from lamina.operators.gold import join_on
-from lamina.sources import stored
+from lamina.operators.numbering import numbered
 
 # Primes that spread neighbouring ids. They have no factor in common with 100 or
 # with the small numbers they are reduced by, so the shares come out exactly.
@@ -33,28 +33,6 @@ def spread(*keys: Column, part: int = 0) -> Column:
     return F.conv(F.substring(digest, 8 * part + 1, 8), 16, 10).cast("bigint")
 
 
-def numbered(df: DataFrame, key: str) -> DataFrame:
-    """The distinct values of `key` and their `number` in ascending order, from 0 on.
-
-    The values are dealt out by ranges, numbered in each, and moved on by what stands in
-    the ranges before; only that small table of ranges is added up in one place.
-    """
-    values = df.select(key).where(F.col(key).isNotNull()).distinct()
-    ranged = stored(
-        values.repartitionByRange(key).select(key, F.spark_partition_id().alias("range")),
-        "key-ranges",
-    )
-    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        ranged.groupBy("range")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select("range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    )
-    own = F.row_number().over(Window.partitionBy("range").orderBy(key)) - 1
-    placed = ranged.withColumn("own", own).join(offsets, "range")
-    return placed.select(key, (F.col("offset") + F.col("own")).alias("number"))
-
-
 def order_fanout(orders: DataFrame, products: DataFrame) -> DataFrame:
     """One row per item of each order, with an existing product and a quantity of 1 to 5.
 
@@ -65,7 +43,8 @@ def order_fanout(orders: DataFrame, products: DataFrame) -> DataFrame:
     """
     real = orders.where("item_count >= 1")
     most = real.agg(F.max("item_count")).first()[0] or 1
-    known = stored(numbered(products, "product_id"), "numbered-products")
+    ids = products.select("product_id").where("product_id is not null").distinct()
+    known = numbered(ids, "product_id")
     count = known.count()
     lines = real.select(
         "order_id", F.explode(F.sequence(F.lit(1), "item_count")).alias("line_number")

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.observation import Observation
 
 from lamina.model import AMOUNT, DAILY_SALES, Layers
-from lamina.sources import read_table, write_table
+from lamina.sources import read_table, stored, write_table
 
 
 def join_on(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
@@ -80,6 +81,41 @@ def summarise_sales(joined: DataFrame) -> DataFrame:
     )
 
 
+def sales_in_one_pass(joined: DataFrame, category: str) -> tuple[DataFrame, int, int]:
+    """Sales by day and category, by category and in all, and two counts, from one scan.
+
+    The rows are counted while the sums are made: all of them, and those of `category`. The
+    levels are grouping sets over sums per order, which are small by then, so nothing needs
+    to be kept. `level` is 0 for a day and category, 1 for a category, 3 for all.
+    """
+    seen = Observation()
+    counted = joined.observe(
+        seen,
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("category") == category).alias("of_category"),
+    )
+    per_order = counted.groupBy("order_date", "category", "order_id").agg(
+        F.sum(F.col("line_total").cast(AMOUNT)).alias("sales"),
+        F.sum("quantity").alias("items_sold"),
+    )
+    # An order is a row a category here, so it counts once in each of these levels.
+    per_day = per_order.groupBy("order_date", "category").agg(
+        F.sum("sales").alias("sales"),
+        F.sum("items_sold").alias("items_sold"),
+        F.count("order_id").alias("order_categories"),
+    )
+    levels = per_day.groupingSets(
+        [("order_date", "category"), ("category",), ()], "order_date", "category"
+    ).agg(
+        F.grouping_id().cast("int").alias("level"),
+        F.sum("sales").cast("double").alias("total_sales"),
+        F.sum("items_sold").alias("total_items_sold"),
+        F.sum("order_categories").alias("order_categories"),
+    )
+    found = stored(levels, "sales-in-one-pass")
+    return found, seen.get["rows"], seen.get["of_category"]
+
+
 def build_daily_sales(spark: SparkSession, layers: Layers) -> int:
     """Compute the daily table from silver and store it; returns the number of rows."""
     silver = {

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lamina.functions import steady_salt
 from lamina.model import AMOUNT
 from lamina.operators.gold import count_per_key
+from lamina.operators.heavy import candidates, exact_counts, key_sketches
 from lamina.operators.layout import partition_sizes, partition_stats
 from lamina.plans.joins import broadcast_within
 from lamina.sources import stored
@@ -94,16 +95,22 @@ def split_hot_keys(
     calls for, so the split holds at any scale. Pieces are placed by their hash: with
     `finer` times as many as partitions, the fullest partition stays near the mean. Fewer
     than `partitions * finer` keys can be above the share, which bounds the side that is
-    broadcast. The rows are read twice, so they are stored in between; for a plain scan
-    `run_once=False` saves that.
+    broadcast. They come from a sketch and an exact count of its candidates, so no table of
+    all keys is made. The rows are read three times, so they are stored in between; for a
+    plain scan `run_once=False` saves that.
     """
     rows = stored(df, "rows-to-split") if run_once else df
-    counts = stored(count_per_key(rows, key), "key-counts")
-    total = counts.agg(F.sum("row_count")).first()[0] or 0
-    share = max(1, ceil(total / (partitions * finer)))
-    hot = counts.filter(F.col("row_count") > share).select(
-        F.col(key).alias("hot_key"),
-        F.ceil(F.col("row_count") / share).cast("int").alias("pieces"),
+    most = partitions * finer
+    sketches = stored(key_sketches(rows, key, most), "key-sketches")
+    total = sketches.agg(F.sum("rows")).first()[0] or 0
+    share = max(1, ceil(total / most))
+    hot = (
+        exact_counts(rows, key, candidates(sketches, key))
+        .filter(F.col("row_count") > share)
+        .select(
+            F.col(key).alias("hot_key"),
+            F.ceil(F.col("row_count") / share).cast("int").alias("pieces"),
+        )
     )
     is_hot = F.col(key).eqNullSafe(F.col("hot_key"))
     piece = F.pmod(F.xxhash64(salt_on), F.coalesce("pieces", F.lit(1))).cast("int")

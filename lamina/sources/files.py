@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.observation import Observation
 
+from lamina.sources.versions import current_path, discard, new_version, publish
+
+#: The column that names the folder of a batch.
+BATCH_FOLDER = "loaded_batch"
+
 # The formats that are nothing but files in a folder.
 FILE_FORMATS = {"parquet", "orc", "json", "csv", "avro", "text"}
 
@@ -44,6 +49,12 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def read_table(spark: SparkSession, path: str, table_format: str = "parquet") -> DataFrame:
+    """The table at `path` as it is now: its current version, or the plain files there.
+
+    The frame keeps to that version, whatever replaces the table later.
+    """
+    if table_format in FILE_FORMATS:
+        path = current_path(spark, path)
     return spark.read.format(table_format).load(path)
 
 
@@ -51,43 +62,46 @@ def write_table(df: DataFrame, path: str, table_format: str = "parquet") -> int:
     """Replace the table at `path` and return the number of rows written.
 
     The rows are counted while they are written, so there is no second pass. Plain files
-    are written beside the old table, which gives way when they are whole: a job that
-    fails leaves it as it was, and a table may be read and replaced in one step. Formats
+    become a new version of the table, which readers see when it is whole: a job that fails
+    leaves the table as it was, and a table may be read and replaced in one step. Formats
     with transactions of their own replace in place.
     """
-    written = Observation()
-    counted = df.observe(written, F.count(F.lit(1)).alias("rows"))
+    spark = df.sparkSession
     if table_format not in FILE_FORMATS:
-        counted.write.format(table_format).mode("overwrite").save(path)
-        return written.get["rows"]
-    place = path.rstrip("/")
-    new, old = (f"{place}.{name}-{uuid.uuid4().hex}" for name in ("new", "old"))
+        return _counted(df, lambda counted: counted.write.format(table_format).mode("overwrite").save(path))
+    version = new_version(spark, path)
     try:
-        counted.write.format(table_format).save(new)
+        rows = write_files(df, version, table_format)
     except BaseException:
-        _remove(df.sparkSession, new)
+        discard(spark, version)
         raise
-    _swap(df.sparkSession, new, place, old)
-    return written.get["rows"]
+    publish(spark, version)
+    return rows
 
 
-def _files(spark: SparkSession, path: str) -> tuple:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+def write_files(df: DataFrame, path: str, table_format: str = "parquet") -> int:
+    """Write to a folder that does not exist yet; returns the number of rows."""
+    return _counted(df, lambda counted: counted.write.format(table_format).save(path))
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    files, folder = _files(spark, path)
-    files.delete(folder, True)
+def _counted(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
+    written = Observation()
+    write(df.observe(written, F.count(F.lit(1)).alias("rows")))
+    return written.get["rows"]
+
 
+def write_batch(df: DataFrame, path: str, batch: str, table_format: str = "parquet") -> int:
+    """Put the rows of one batch into a table of batches, in place of an earlier load of it.
 
-def _swap(spark: SparkSession, new: str, place: str, old: str) -> None:
-    """Put the folder `new` in the place of another, which is removed at the end."""
-    files, target = _files(spark, place)
-    source, aside = _files(spark, new)[1], _files(spark, old)[1]
-    if files.exists(target) and not files.rename(target, aside):
-        raise OSError(f"{place} cannot be moved aside; the new table is at {new}")
-    if not files.rename(source, target):
-        files.rename(aside, target)
-        raise OSError(f"{new} cannot be moved to {place}")
-    files.delete(aside, True)
+    The table has a folder a batch, and only that folder is replaced, however often a
+    batch is loaded again. Rows keep their columns; `BATCH_FOLDER` is added.
+    """
+    named = df.withColumn(BATCH_FOLDER, F.lit(batch))
+    return _counted(
+        named,
+        lambda counted: counted.write.format(table_format)
+        .mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(BATCH_FOLDER)
+        .save(path),
+    )

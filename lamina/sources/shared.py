@@ -8,27 +8,32 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lamina.sources.files import read_table, write_table
+from lamina.sources.files import write_files
+from lamina.sources.versions import discard, files_of
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by `spark.checkpoint.dir`.
 
-    Where that is unset, as in a test, it is a folder below the warehouse, which the
-    driver and the executors share as well. It is never a machine's temporary folder.
+    Where that is unset, as in a test, it is a folder below the warehouse. That is shared by
+    all executors if they run in the driver or if it is on a common store; a folder of the
+    driver's own machine is refused on a cluster.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     folder = folder or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_intermediate"
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    own_disk = warehouse.startswith(("file:", "/"))
+    if own_disk and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{warehouse}/_intermediate"
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A new folder below the shared one, removed when the application ends."""
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    files, folder = files_of(spark, path)
     files.mkdirs(folder)
     files.deleteOnExit(folder)
     return path
@@ -36,8 +41,7 @@ def fresh_path(spark: SparkSession, label: str) -> str:
 
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a folder that `fresh_path` made."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    discard(spark, path)
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -48,8 +52,8 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     work ends before the function returns, `held` removes it sooner.
     """
     path = fresh_path(df.sparkSession, label)
-    write_table(df, path)
-    return read_table(df.sparkSession, path)
+    write_files(df, f"{path}/rows")
+    return df.sparkSession.read.parquet(f"{path}/rows")
 
 
 @contextmanager
@@ -57,7 +61,7 @@ def held(df: DataFrame, label: str) -> Iterator[DataFrame]:
     """`stored`, removed at the end of the block."""
     path = fresh_path(df.sparkSession, label)
     try:
-        write_table(df, path)
-        yield read_table(df.sparkSession, path)
+        write_files(df, f"{path}/rows")
+        yield df.sparkSession.read.parquet(f"{path}/rows")
     finally:
         remove_path(df.sparkSession, path)

@@ -95,6 +95,14 @@ def order_items(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def items_with_hot_order(spark: SparkSession, folder: str) -> DataFrame:
+    """Items of which every third belongs to order 1."""
+    hot = F.col("order_item_id") % 3 == 0
+    return order_items(spark, folder).withColumn(
+        "order_id", F.when(hot, F.lit(1)).otherwise(F.col("order_id"))
+    )
+
+
 def raw_products(spark: SparkSession, folder: str) -> DataFrame:
     """Every product comes twice, the second time 900 cheaper; size 50 has no key."""
     part = table(spark, folder, "part")

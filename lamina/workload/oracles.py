@@ -75,6 +75,15 @@ order_items AS (
 )"""
 )
 
+HOT_ORDER_ITEMS = (
+    ORDER_ITEMS
+    + """,
+hot_order_items AS (
+  SELECT * REPLACE (CASE WHEN order_item_id % 3 = 0 THEN 1 ELSE order_id END AS order_id)
+  FROM order_items
+)"""
+)
+
 HOT_CATEGORY = hot_or_other(
     "p_partkey",
     ["electronics", "clothing", "home", "grocery", "beauty", "sports", "toys", "automotive"],
@@ -359,6 +368,38 @@ def schema_rows() -> str:
     return with_ctes(list(RAW_CTES.values()), "\nUNION ALL\n".join(parts))
 
 
+def heavy(ctes: str | list[str], source: str, key: str) -> str:
+    """Keys with more than a thousandth of all rows."""
+    return with_ctes(
+        ctes,
+        f"SELECT {key}, count(*) AS row_count, "
+        f"count(*) / (SELECT count(*) FROM {source}) AS share FROM {source} GROUP BY {key} "
+        f"HAVING count(*) > (SELECT count(*) FROM {source}) / 1000",
+    )
+
+
+LEVELS = {
+    "day and category": ("order_date", "category"),
+    "day": ("order_date", "NULL::VARCHAR"),
+    "month and category": ("date_trunc('month', order_date)::DATE", "category"),
+    "month": ("date_trunc('month', order_date)::DATE", "NULL::VARCHAR"),
+    "all": ("NULL::DATE", "NULL::VARCHAR"),
+}
+
+
+def orders_by_level() -> str:
+    parts = [
+        f"SELECT '{level}' AS level, {period} AS period, {category} AS category, "
+        "count(DISTINCT order_id) AS total_orders FROM sold GROUP BY ALL"
+        for level, (period, category) in LEVELS.items()
+    ]
+    sold = (
+        "sold AS (SELECT CAST(order_timestamp AS DATE) AS order_date, category, order_id "
+        "FROM sales_orders JOIN order_items USING (order_id) JOIN products USING (product_id))"
+    )
+    return with_ctes([*SALES, sold], "\nUNION ALL\n".join(parts))
+
+
 def sizes(ctes: list[str] | str, source: str, partitions: int) -> str:
     return with_ctes(
         ctes,
@@ -652,6 +693,80 @@ ORACLES: dict[str, str] = {
     ),
     "repartition_sizes": sizes(DAILY, "daily", 5),
     "coalesce_sizes": sizes(DAILY, "daily", 5),
+    "orders_by_level": orders_by_level(),
+    "hot_orders": heavy(HOT_ORDER_ITEMS, "hot_order_items", "order_id"),
+    "hot_customers": heavy(ORDERS, "sales_orders", "customer_id"),
+    "replacement_history": """
+        SELECT number, row_count, number = 3 AS is_current,
+               (SELECT count(*) FROM part) AS first_reader_rows
+        FROM (SELECT 1::BIGINT AS number, count(*) AS row_count FROM part
+              UNION ALL SELECT 2, count(*) FROM orders
+              UNION ALL SELECT 3, count(*) FROM lineitem)
+    """,
+    "batch_replay": with_ctes(
+        RAW_ORDER_ITEMS,
+        "SELECT CASE WHEN order_item_id % 2 = 1 THEN '2024-05-02' ELSE '2024-05-01' END "
+        "AS batch_id, count(*) AS row_count, CAST(sum(order_item_id) AS BIGINT) AS sum_of_ids, "
+        "count(*) FILTER (unit_price > 0) AS priced_rows FROM raw_order_items "
+        "WHERE order_item_id % 2 = 0 OR unit_price > 0 GROUP BY ALL",
+    ),
+    "bucketed_daily_sales": with_ctes(
+        [PRODUCTS, ORDERS, HOT_ORDER_ITEMS, daily("sales_orders", "hot_order_items", "products")],
+        "SELECT * FROM daily",
+    ),
+    "clustered_days": with_ctes(
+        SALES,
+        "SELECT CAST(order_timestamp AS DATE) AS order_date, "
+        "CAST(sum(line_total) AS DOUBLE) AS total_sales, count(*) AS row_count, "
+        "true AS most_rows_skipped "
+        "FROM sales_orders JOIN order_items USING (order_id) JOIN products USING (product_id) "
+        "WHERE category = 'economy' AND CAST(order_timestamp AS DATE) "
+        "BETWEEN DATE '1997-01-01' AND DATE '1997-03-31' GROUP BY ALL",
+    ),
+    "executed_plan_report": with_ctes(
+        DAILY,
+        "SELECT variant, phase, CAST(b AS BIGINT) AS broadcast_joins, "
+        "CAST(m AS BIGINT) AS sort_merge_joins, phase = 'executed' AS final, "
+        "CASE WHEN phase = 'executed' THEN CAST((SELECT count(*) FROM daily) AS VARCHAR) "
+        "ELSE 'None' END AS row_count "
+        "FROM (VALUES ('sort_merge', 0, 2), ('automatic', 2, 0), ('broadcast_hint', 1, 1)) "
+        "variants(variant, b, m), (VALUES ('planned'), ('executed')) phases(phase)",
+    ),
+    "sales_in_one_pass": with_ctes(
+        [
+            *SALES,
+            "sold AS (SELECT *, CAST(order_timestamp AS DATE) AS order_date FROM sales_orders "
+            "JOIN order_items USING (order_id) JOIN products USING (product_id))",
+        ],
+        "SELECT order_date, category, "
+        "CAST(GROUPING(order_date, category) AS INTEGER) AS level, "
+        "CAST(sum(line_total) AS DOUBLE) AS total_sales, "
+        "CAST(sum(quantity) AS BIGINT) AS total_items_sold, "
+        "count(DISTINCT (order_id, category)) AS order_categories, "
+        "(SELECT count(*) FROM sold) AS joined_rows, "
+        "(SELECT count(*) FROM sold WHERE category = 'economy') AS category_rows "
+        "FROM sold GROUP BY GROUPING SETS ((order_date, category), (category), ())",
+    ),
+    "sketched_profile": with_ctes(
+        ORDER_ITEMS,
+        "\nUNION ALL\n".join(
+            f"SELECT '{name}' AS column_name, count(*) AS row_count, count({name}) AS value_count, "
+            "true AS distinct_within, true AS median_within FROM order_items"
+            for name in ("order_id", "product_id", "quantity", "line_total")
+        ),
+    ),
+    "schema_drift": """
+        SELECT * FROM (VALUES
+            ('renamed', 'quantity', 'missing', 'int', 'none'),
+            ('renamed', 'qty', 'extra', 'none', 'int'),
+            ('retyped', 'unit_price', 'retyped', 'decimal(18,4)', 'double'),
+            ('extended', 'currency', 'extra', 'none', 'string')
+        ) found(delivery, column_name, finding, declared_type, found_type)
+    """,
+    "observed_sizes": with_ctes(
+        SKEWED_ITEMS,
+        "SELECT count(*) AS row_count, true AS same_as_counted FROM skewed_items",
+    ),
     "order_fanout": with_ctes([ORDERS, FANOUT], "SELECT * FROM fanout"),
     "price_lookup": with_ctes(
         [ORDERS, FANOUT, PRODUCTS],

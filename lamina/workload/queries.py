@@ -25,11 +25,23 @@ from lamina.model import (
     RAW_SCHEMAS,
     Layers,
 )
-from lamina.operators import bronze, derive, gold, layout, profile, silver, skew
+from lamina.operators import (
+    bronze,
+    bucketed,
+    derive,
+    distinct,
+    drift,
+    gold,
+    heavy,
+    layout,
+    profile,
+    silver,
+    skew,
+)
 from lamina.operators.dedupe import smallest_per_key
 from lamina.operators.reuse import kept
 from lamina.plans.joins import broadcast_within
-from lamina.plans.report import join_counts
+from lamina.plans.report import join_counts, plan_summary, report_frame, scanned_rows
 from lamina.plans.settings import (
     ADAPTIVE,
     BROADCAST_THRESHOLD,
@@ -40,10 +52,12 @@ from lamina.plans.settings import (
 )
 from lamina.plans.together import together
 from lamina.sources import (
+    current_path,
     fresh_path,
     read_csv,
     read_table,
     stored,
+    versions,
     write_csv,
     write_table,
 )
@@ -56,6 +70,8 @@ PRICE_COLUMNS = ("unit_price", "line_total")
 #: The largest partition of a placement in pieces may hold this many times the mean.
 EVEN = 1.5
 COUNTED_CATEGORY = "economy"
+#: A heavy key holds more than one part of so many of all rows.
+HEAVY_PIECES = 1_000
 
 
 # Daily sales and its physical variants
@@ -131,6 +147,60 @@ def _planned(daily: DataFrame, variant: str) -> DataFrame:
     )
 
 
+def executed_plan_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Per variant the joins that Spark plans and those that have run, and the rows they gave."""
+    variants = {
+        "sort_merge": daily_sales_with({BROADCAST_THRESHOLD: NO_BROADCAST}),
+        "automatic": daily_sales_with({BROADCAST_THRESHOLD: DEFAULT_BROADCAST_BYTES}),
+        "broadcast_hint": daily_sales_broadcast_hint,
+    }
+    rows = []
+    for variant, query in variants.items():
+        daily = query(spark, folder)
+        planned = plan_summary(daily)
+        given = len(daily.toArrow())
+        for phase, plan, seen in (("planned", planned, None), ("executed", plan_summary(daily), given)):
+            joins = (plan.broadcast_joins, plan.sort_merge_joins)
+            rows.append((variant, phase, *joins, plan.final, str(seen)))
+    return report_frame(
+        spark,
+        rows,
+        "variant string, phase string, broadcast_joins bigint, sort_merge_joins bigint, "
+        "final boolean, row_count string",
+    )
+
+
+def sales_in_one_pass(spark: SparkSession, folder: str) -> DataFrame:
+    """Sums by day and category, by category and in all, and two counts, from one scan."""
+    needed = joined_sales(spark, folder).select(
+        "order_date", "category", "order_id", "line_total", "quantity"
+    )
+    levels, rows, of_category = gold.sales_in_one_pass(needed, COUNTED_CATEGORY)
+    return levels.withColumns(
+        {
+            "joined_rows": F.lit(rows).cast("bigint"),
+            "category_rows": F.lit(of_category).cast("bigint"),
+        }
+    )
+
+
+def orders_by_level(spark: SparkSession, folder: str) -> DataFrame:
+    """Distinct orders by day, month, category and in all, from stored bitmaps."""
+    numbers = distinct.number_orders(feeds.orders(spark, folder))
+    bitmaps = distinct.order_bitmaps(
+        numbers, feeds.order_items(spark, folder), feeds.products(spark, folder)
+    )
+    return distinct.orders_by_level(stored(bitmaps, "order-bitmaps"))
+
+
+def bucketed_daily_sales(spark: SparkSession, folder: str) -> DataFrame:
+    """Daily sales from bucketed tables, with an order that holds a third of all items."""
+    tables = bucketed.store_bucketed(
+        feeds.orders(spark, folder), feeds.items_with_hot_order(spark, folder), PARTITIONS
+    )
+    return bucketed.daily_sales(spark, tables, feeds.products(spark, folder))
+
+
 # Joins, counts, sorts
 
 
@@ -349,6 +419,101 @@ def overwrite_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return read_table(spark, path)
 
 
+def replacement_history(spark: SparkSession, folder: str) -> DataFrame:
+    """The versions of a table that was replaced twice, and which one readers get.
+
+    A frame made before a replacement keeps to its version.
+    """
+    path = fresh_path(spark, "replaced")
+    write_table(feeds.products(spark, folder), path)
+    before = read_table(spark, path)
+    write_table(feeds.orders(spark, folder), path)
+    write_table(feeds.order_items(spark, folder), path)
+    rows = [
+        (version.number, spark.read.parquet(version.path).count(), version.path == current_path(spark, path))
+        for version in versions(spark, path)
+    ]
+    history = report_frame(spark, rows, "number bigint, row_count bigint, is_current boolean")
+    return history.withColumn("first_reader_rows", F.lit(before.count()).cast("bigint"))
+
+
+def batch_replay(spark: SparkSession, folder: str) -> DataFrame:
+    """Two batches of items; the second comes again, corrected, and takes its own place only."""
+    layers = Layers.under(fresh_path(spark, "layers"))
+    items = feeds.raw_order_items(spark, folder)
+    odd = F.col("order_item_id") % 2 == 1
+    deliveries = [
+        ("2024-05-01", items.where(~odd)),
+        ("2024-05-02", items.where(odd)),
+        ("2024-05-02", items.where(odd & (F.col("unit_price") > 0))),
+    ]
+    for number, (batch, rows) in enumerate(deliveries):
+        raw = f"{layers.raw}/delivery-{number}"
+        write_csv(rows, raw)
+        bronze.load_batch(spark, "order_items", layers, batch, raw)
+    loaded = bronze.read_batches(spark, "order_items", layers)
+    return loaded.groupBy("batch_id").agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.sum("order_item_id").alias("sum_of_ids"),
+        F.count_if(F.col("unit_price") > 0).alias("priced_rows"),
+    )
+
+
+def schema_drift(spark: SparkSession, folder: str) -> DataFrame:
+    """Columns of items that a source system dropped, added or retyped in some deliveries."""
+    path = fresh_path(spark, "deliveries")
+    items = feeds.raw_order_items(spark, folder)
+    part = F.col("order_item_id") % 4
+    deliveries = {
+        "as_declared": items.where(part == 0),
+        "renamed": items.where(part == 1).withColumnRenamed("quantity", "qty"),
+        "retyped": items.where(part == 2).withColumn("unit_price", F.col("unit_price").cast("double")),
+        "extended": items.where(part == 3).withColumn("currency", F.lit("CAD")),
+    }
+    for name, rows in deliveries.items():
+        rows.write.parquet(f"{path}/{name}")
+    found = drift.schema_drift(spark, path, RAW_SCHEMAS["order_items"])
+    return found.select(
+        F.substring_index("file", "/", 1).alias("delivery"),
+        "column_name",
+        "finding",
+        F.coalesce("declared_type", F.lit("none")).alias("declared_type"),
+        F.coalesce("found_type", F.lit("none")).alias("found_type"),
+    ).distinct()
+
+
+def sketched_profile(spark: SparkSession, folder: str) -> DataFrame:
+    """Columns of items from merged sketches of three batches, held against exact figures."""
+    columns = ["order_id", "product_id", "quantity", "line_total"]
+    items = stored(feeds.order_items(spark, folder).select("order_item_id", *columns), "profiled")
+    batches = [items.where(F.col("order_item_id") % 3 == part) for part in range(3)]
+    sketches = stored(
+        _union([profile.column_sketches(batch, *columns) for batch in batches]), "column-sketches"
+    )
+    found = stored(
+        profile.sketched_profile(profile.merged_sketches(sketches), 0.5), "column-profile"
+    )
+    return _union([_held_against(found, items, name) for name in columns])
+
+
+def _held_against(found: DataFrame, items: DataFrame, name: str) -> DataFrame:
+    """One column's estimates, and whether they are as close as the sketches promise."""
+    row = found.where(F.col("column_name") == name).first()
+    value = F.col(name).cast("double")
+    median = row["quantiles"][0]
+    below, up_to = F.count_if(value < median), F.count_if(value <= median)
+    rows, error = F.count(value), profile.QUANTILE_ERROR
+    exact = items.select(name).where(F.col(name).isNotNull()).distinct().count()
+    distinct_within = abs(exact - row["distinct_values"]) <= profile.DISTINCT_ERROR * exact
+    return items.agg(
+        F.lit(name).alias("column_name"),
+        F.lit(row["row_count"]).cast("bigint").alias("row_count"),
+        rows.alias("value_count"),
+        F.lit(distinct_within).alias("distinct_within"),
+        ((below <= (0.5 + error) * rows) & (up_to >= (0.5 - error) * rows)).alias("median_within"),
+    )
+
+
 def bronze_rejects(spark: SparkSession, folder: str) -> DataFrame:
     """Rows per dataset, and those whose record is kept since a value is unreadable."""
     layers = _landed(spark, folder, _with_bad_values)
@@ -450,14 +615,35 @@ def skewed_items(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def salted_items(spark: SparkSession, folder: str) -> DataFrame:
-    """The hot category in as many salts as its measured share calls for."""
-    items = skewed_items(spark, folder)
+def salted_items(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    """The hot category in as many salts as its measured share calls for.
+
+    The rows are measured and used, so the asked columns of the join are stored.
+    """
+    needed = dict.fromkeys(["category", "order_item_id", *columns])
+    items = stored(skewed_items(spark, folder).select(*needed), "items-to-salt")
     salts = skew.salts_for(items, "category", HOT_CATEGORY, PARTITIONS)
     salt = steady_salt(F.col("order_item_id"), salts)
     return items.withColumn("salted_category", salted_key(F.col("category"), HOT_CATEGORY, salt))
 
 
+def hot_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders with more than a thousandth of all items; one holds a third of them."""
+    return heavy.heavy_keys(feeds.items_with_hot_order(spark, folder), "order_id", HEAVY_PIECES)
+
+
+def hot_customers(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers with more than a thousandth of all orders, of sketches made batch by batch."""
+    orders = feeds.orders(spark, folder)
+    batches = [orders.where(F.col("order_id") % 3 == part) for part in range(3)]
+    sketches = stored(
+        _union([heavy.key_sketches(batch, "customer_id", HEAVY_PIECES) for batch in batches]),
+        "batch-sketches",
+    )
+    merged = stored(heavy.combined(sketches), "merged-sketches")
+    return heavy.heavy_keys(orders, "customer_id", HEAVY_PIECES, merged)
+
+
 def category_distribution(spark: SparkSession, folder: str) -> DataFrame:
     return skew.key_distribution(skewed_items(spark, folder), "category")
 
@@ -512,32 +698,9 @@ def salted_placement(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def category_distribution(spark: SparkSession, folder: str) -> DataFrame:
-    return skew.key_distribution(skewed_items(spark, folder), "category")
-
-
-def skew_report(spark: SparkSession, folder: str) -> DataFrame:
-    return skew.skew_report(skewed_items(spark, folder), "category")
-
-
-def salted_distribution(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows per category, its salted keys, and whether the largest is near their mean."""
-    parts = skew.key_distribution(
-        salted_items(spark, folder).select("category", "salted_category"), "salted_category"
-    )
-    category = F.when(
-        F.col("salted_category").startswith(f"{HOT_CATEGORY}_"), HOT_CATEGORY
-    ).otherwise(F.col("salted_category"))
-    return parts.groupBy(category.alias("category")).agg(
-        F.sum("row_count").alias("row_count"),
-        F.count(F.lit(1)).alias("salted_keys"),
-        (F.max("row_count") <= 2 * F.avg("row_count")).alias("even"),
-    )
-
-
 def random_salt_spread(spark: SparkSession, folder: str) -> DataFrame:
     """Rows per category and the number of salted keys they are spread over."""
-    items = skewed_items(spark, folder)
+    items = stored(skewed_items(spark, folder).select("category"), "items-to-salt")
     salts = skew.salts_for(items, "category", HOT_CATEGORY, PARTITIONS, finer=1)
     salted = salted_key(F.col("category"), HOT_CATEGORY, random_salt(salts, seed=7))
     keyed = items.select("category", salted.alias("salted_category"))
@@ -550,7 +713,8 @@ def random_salt_spread(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def salted_two_stage_agg(spark: SparkSession, folder: str) -> DataFrame:
-    items = skewed_items(spark, folder)
+    columns = ["category", "order_id", "line_total", "quantity"]
+    items = stored(skewed_items(spark, folder).select(*columns), "items-to-salt")
     salts = skew.salts_for(items, "category", HOT_CATEGORY, _shuffle_partitions(spark))
     return skew.salted_sales(items, "category", "order_id", salts)
 
@@ -608,6 +772,33 @@ def _shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get(SHUFFLE_PARTITIONS))
 
 
+def observed_sizes(spark: SparkSession, folder: str) -> DataFrame:
+    """Items written by category, their partitions counted meanwhile and once more afterwards."""
+    placed = skewed_items(spark, folder).select("category", "order_item_id")
+    placed = placed.repartition(PARTITIONS, "category")
+    seen = stored(layout.write_observed(placed, fresh_path(spark, "observed") + "/rows"), "sizes")
+    again = layout.partition_sizes(placed)
+    same = seen.exceptAll(again).isEmpty() and again.exceptAll(seen).isEmpty()
+    return seen.agg(
+        F.sum("row_count").alias("row_count"), F.lit(same).alias("same_as_counted")
+    )
+
+
+def clustered_days(spark: SparkSession, folder: str) -> DataFrame:
+    """One category's sales in a quarter, read from a table that is clustered by day."""
+    sold = joined_sales(spark, folder).select("order_date", "category", "order_id", "line_total")
+    path = fresh_path(spark, "clustered") + "/rows"
+    rows = layout.write_clustered(sold, path, "order_date", "category", group_rows=500)
+    quarter = F.col("order_date").between(F.lit("1997-01-01"), F.lit("1997-03-31"))
+    chosen = spark.read.parquet(path).where(quarter & (F.col("category") == COUNTED_CATEGORY))
+    sales = chosen.groupBy("order_date").agg(
+        F.sum("line_total").cast("double").alias("total_sales"),
+        F.count(F.lit(1)).alias("row_count"),
+    )
+    sales.collect()  # a row a day of the quarter, for what the scan has counted
+    return sales.withColumn("most_rows_skipped", F.lit(scanned_rows(sales) * 4 < rows))
+
+
 def repartition_sizes(spark: SparkSession, folder: str) -> DataFrame:
     """The daily table, a row per day and category, dealt out over five partitions."""
     daily = daily_sales(spark, folder).repartition(5)
@@ -723,6 +914,18 @@ QUERIES: dict[str, Query] = {
     "partition_stats": partition_stats,
     "repartition_sizes": repartition_sizes,
     "coalesce_sizes": coalesce_sizes,
+    "orders_by_level": orders_by_level,
+    "hot_orders": hot_orders,
+    "hot_customers": hot_customers,
+    "replacement_history": replacement_history,
+    "batch_replay": batch_replay,
+    "bucketed_daily_sales": bucketed_daily_sales,
+    "clustered_days": clustered_days,
+    "executed_plan_report": executed_plan_report,
+    "sales_in_one_pass": sales_in_one_pass,
+    "sketched_profile": sketched_profile,
+    "schema_drift": schema_drift,
+    "observed_sizes": observed_sizes,
     "order_fanout": order_fanout,
     "price_lookup": price_lookup,
 }

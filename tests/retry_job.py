@@ -7,7 +7,6 @@ from __future__ import annotations
 
 import json
 import sys
-import tempfile
 from pathlib import Path
 
 from pyspark import TaskContext
@@ -23,6 +22,8 @@ from lamina.sources import read_table, write_table  # noqa: E402
 from lamina.workload import feeds, queries  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
+#: Given by the test that runs this job; all its executors are in the driver.
+FOLDER_OF_RUN = sys.argv[1]
 
 
 def failing_once(df: DataFrame) -> DataFrame:
@@ -43,7 +44,7 @@ def main() -> None:
         SparkSession.builder.master("local[4,4]")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "4")
-        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="lamina-retries-"))
+        .config("spark.checkpoint.dir", f"{FOLDER_OF_RUN}/shared")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("OFF")
@@ -54,7 +55,7 @@ def main() -> None:
     daily_again = gold.daily_sales(*map(failing_once, tables))
 
     raw = feeds.raw_order_items(spark, FOLDER)
-    path = tempfile.mkdtemp(prefix="lamina-retries-")
+    path = f"{FOLDER_OF_RUN}/table"
     written = write_table(clean(failing_once(raw), "order_items"), path)
     silver_again = read_table(spark, path)
 

@@ -202,19 +202,31 @@ def test_stored_frame_reads_files_below_the_shared_folder(spark):
     assert fresh_path(spark, "a") != fresh_path(spark, "a")
 
 
-def test_shared_folder_without_the_setting_is_below_the_warehouse():
+def session_on(cluster, warehouse):
     class Session:
         class conf:
             @staticmethod
             def get(key, *default):
-                return {"spark.sql.warehouse.dir": "hdfs://name/warehouse"}.get(key, *default)
+                return {"spark.sql.warehouse.dir": warehouse}.get(key, *default)
 
         class sparkContext:
+            master = cluster
+
             @staticmethod
             def getCheckpointDir():
                 return None
 
-    assert shared_folder(Session()) == "hdfs://name/warehouse/_intermediate"
+    return Session()
+
+
+def test_shared_folder_without_the_setting_is_below_the_warehouse():
+    common = session_on("yarn", "hdfs://name/warehouse")
+    assert shared_folder(common) == "hdfs://name/warehouse/_intermediate"
+    own = session_on("local[4]", "file:/home/me/warehouse")
+    assert shared_folder(own) == "file:/home/me/warehouse/_intermediate"
+    for warehouse in ("file:/home/me/warehouse", "/home/me/warehouse"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_folder(session_on("spark://head:7077", warehouse))
 
 
 def test_held_table_goes_with_its_block(spark):

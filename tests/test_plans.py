@@ -7,11 +7,11 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from lamina.operators import gold, silver
+from lamina.operators import bucketed, gold, layout, silver
 from lamina.operators.dedupe import smallest_per_key
 from lamina.operators.reuse import kept
 from lamina.plans import joins
-from lamina.plans.report import join_counts, plan_text
+from lamina.plans.report import join_counts, plan_nodes, plan_summary, plan_text, scanned_rows
 from lamina.plans.settings import (
     ADAPTIVE,
     BROADCAST_THRESHOLD,
@@ -224,6 +224,107 @@ def test_large_job_settings_keep_the_partition_size():
     assert large_job_settings(10**14, 2**30)[SHUFFLE_PARTITIONS] == "93133"
 
 
+def test_executed_plans_are_walked_not_counted_in_their_text(spark):
+    """The text of a frame that has run holds its final and its first plan."""
+    daily = queries.daily_sales(spark, FOLDER)
+    planned = plan_summary(daily)
+    daily.collect()
+    executed = plan_summary(daily)
+    assert join_counts(daily) == {"BroadcastHashJoin": 2, "SortMergeJoin": 0}
+    assert (planned.broadcast_joins, planned.shuffles, planned.final) == (2, 2, False)
+    assert (executed.broadcast_joins, executed.shuffles, executed.final) == (2, 2, True)
+    assert executed.coalesced_reads > 0 == planned.coalesced_reads
+    given = [node.rows for node in plan_nodes(daily) if node.name == "HashAggregate"]
+    assert given[0] == daily.count()
+
+
+def test_a_join_that_changes_at_run_time_counts_as_what_it_became(spark):
+    session = session_with(
+        spark,
+        {BROADCAST_THRESHOLD: "1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "10485760"},
+    )
+    left = session.range(10_000).selectExpr("id", "id % 10 AS k")
+    right = session.range(10_000).where("id % 100 = 0").withColumnRenamed("id", "k")
+    joined = left.join(right, "k")
+    assert join_counts(joined) == {"BroadcastHashJoin": 0, "SortMergeJoin": 1}
+    assert joined.count() == len(joined.collect()) == 1_000
+    assert join_counts(joined) == {"BroadcastHashJoin": 1, "SortMergeJoin": 0}
+
+
+def test_plans_without_adaptive_execution_and_reused_shuffles(spark):
+    session = session_with(spark, {ADAPTIVE: "false", BROADCAST_THRESHOLD: NO_BROADCAST})
+    counts = session.range(1_000).selectExpr("id % 7 AS k").groupBy("k").count()
+    joined = counts.join(counts.withColumnRenamed("count", "n"), "k")
+    summary = plan_summary(joined)
+    assert (summary.sort_merge_joins, summary.final) == (1, True)
+    names = [node.name for node in plan_nodes(joined)]
+    assert names.count("ShuffleExchange") + names.count("ReusedExchange") == 2
+
+
+def sales_with_hot_order(spark, rows=30_000):
+    items = spark.range(rows).selectExpr(
+        "IF(id % 3 = 0, 1, id % 2000) AS order_id",
+        "id % 40 AS product_id",
+        "CAST(id % 50 + 1 AS DECIMAL(18,2)) AS line_total",
+        "CAST(id % 4 + 1 AS INT) AS quantity",
+    )
+    orders = spark.range(2_000).selectExpr(
+        "id AS order_id",
+        "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(id % 30) AS order_timestamp",
+    )
+    products = spark.range(40).selectExpr("id AS product_id", "concat('c', id % 3) AS category")
+    return orders, items, products
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark):
+    orders, items, products = sales_with_hot_order(spark)
+    tables = bucketed.store_bucketed(orders, items, 8)
+    assert {row.order_id for row in spark.table(tables.apart).distinct().collect()} == {1}
+    assert not spark.table(tables.items).where("order_id = 1").count()
+    merge = session_with(spark, {BROADCAST_THRESHOLD: NO_BROADCAST})
+    daily = bucketed.daily_sales(merge, tables, products)
+    for _ in range(2):
+        nodes = list(plan_nodes(daily))
+        place = next(i for i, node in enumerate(nodes) if node.name == "SortMergeJoin")
+        below = []
+        for node in nodes[place + 1 :]:
+            if node.depth <= nodes[place].depth:
+                break
+            below.append(node.name)
+        assert below.count("FileSourceScan") == 2
+        assert not {"ShuffleExchange", "ReusedExchange", "AQEShuffleRead"} & set(below)
+        got = {tuple(row) for row in daily.collect()}
+    expected = gold.daily_sales(orders, items, products, orders_are_unique=True)
+    assert got == {tuple(row) for row in expected.select(*daily.columns).collect()}
+    bucketed.drop_bucketed(spark, tables)
+    assert not spark.catalog.tableExists(tables.items)
+
+
+def test_a_filter_reads_few_rows_of_a_clustered_table(spark, tmp_path):
+    rows = spark.range(100_000).selectExpr(
+        "id", "date_add(date'2020-01-01', CAST(id * 7919 % 1000 AS INT)) AS day", "concat('c', id % 5) AS c"
+    )
+    path = str(tmp_path / "clustered")
+    assert layout.write_clustered(rows, path, "day", "c", group_rows=1_000) == 100_000
+    plain = str(tmp_path / "plain")
+    rows.write.option("parquet.block.row.count.limit", 1_000).parquet(plain)
+
+    def read(folder, condition):
+        found = spark.read.parquet(folder).where(condition)
+        return len(found.collect()), scanned_rows(found)
+
+    ranges = ["day = '2021-01-01'", "day BETWEEN '2021-01-01' AND '2021-01-31'", "day >= '2021-01-01'"]
+    scans = []
+    for condition in ranges:
+        got, scanned = read(path, condition)
+        assert (got, 100_000) == read(plain, condition)
+        assert got <= scanned <= got + 2_000 + 1_000 * 8
+        scans.append(scanned)
+    assert scans == sorted(scans) and scans[0] <= 3_000
+    got, scanned = read(path, "day BETWEEN '2021-01-01' AND '2021-03-31' AND c = 'c1'")
+    assert scanned < 4 * got + 3_000
+
+
 def test_plan_text_shows_all_stages(spark):
     text = plan_text(spark.range(5).filter("id > 2"), "extended")
     for stage in ("Parsed", "Analyzed", "Optimized", "Physical"):

@@ -9,13 +9,13 @@ import sys
 from pathlib import Path
 
 
-def test_failed_tasks_change_nothing():
+def test_failed_tasks_change_nothing(tmp_path):
     job = Path(__file__).with_name("retry_job.py")
     own_jvm = {
         name: value for name, value in os.environ.items() if not name.startswith("PYSPARK_GATEWAY")
     }
     ran = subprocess.run(
-        [sys.executable, str(job)],
+        [sys.executable, str(job), str(tmp_path)],
         env=own_jvm,
         capture_output=True,
         text=True,
