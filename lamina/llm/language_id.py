@@ -54,12 +54,15 @@ def _numerals() -> str:
     )
 
 
+_NO_WORDS = re.compile(r"[\W\d_]+")
 _NO_LETTERS = re.compile(rf"[\W\d_{_numerals()}]+")
 
 
 def normalised(text: str) -> str:
     """Lower-case letters with single spaces between and around words; empty without any."""
-    words = _NO_LETTERS.sub(" ", text.lower()).strip()
+    words = _NO_WORDS.sub(" ", text.lower()).strip()
+    if words and not words.replace(" ", "").isalpha():
+        words = _NO_LETTERS.sub(" ", words).strip()
     return f" {words} " if words else ""
 
 
@@ -98,16 +101,27 @@ def count_ngrams(
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
+        waiting: dict[str, list[np.ndarray]] = {}
+        size = 0
+
+        def add_up() -> None:
+            for language, found in waiting.items():
+                own = np.bincount(np.concatenate(found), minlength=1 << bits)
+                totals[language] = totals.get(language, 0) + own
+            waiting.clear()
+
         for batch in batches:
-            for language, content in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                clean = normalised(content)
-                if not clean:
-                    continue
-                if language not in totals:
-                    totals[language] = np.zeros(1 << bits, np.int64)
-                for piece in _pieces(clean):
-                    for bins in ngram_bins(piece, max_n, bits):
-                        totals[language] += np.bincount(bins, minlength=1 << bits)
+            for start in range(0, batch.num_rows, ROWS):
+                part = batch.slice(start, ROWS)
+                for language, content in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                    clean = normalised(content)
+                    for piece in _pieces(clean) if clean else ():
+                        waiting.setdefault(language, []).extend(ngram_bins(piece, max_n, bits))
+                        size += max_n * len(piece)
+                        if size > CELLS:
+                            add_up()
+                            size = 0
+        add_up()
         for language, counts in totals.items():
             used = np.flatnonzero(counts)
             yield pa.RecordBatch.from_arrays(
@@ -224,7 +238,11 @@ def predict(docs: DataFrame, model: NaiveBayes, text: str = "text") -> DataFrame
 
     @F.pandas_udf("lang_pred string, score double")
     def scored(texts: pd.Series) -> pd.DataFrame:
-        names, scores = shared.value.score(texts.tolist())
+        names, scores = [], []
+        for start in range(0, len(texts), ROWS):
+            some = shared.value.score(texts.iloc[start : start + ROWS].tolist())
+            names += some[0]
+            scores += some[1]
         return pd.DataFrame({"lang_pred": names, "score": scores})
 
     added = docs.drop("lang_pred", "score", "_language").withColumn(
