@@ -18,7 +18,7 @@ from __future__ import annotations
 from math import ceil
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lamina.sources import stored
@@ -40,28 +40,27 @@ def _uniform(bits: Column, size: int) -> Column:
     return (bits.cast("double") + 1.0) / F.lit(float(size + 1))
 
 
-def _sampled(weighed: DataFrame, keys: list[str], logs: list[str], samples: int) -> DataFrame:
-    """`keys`, and for each column of `logs` its samples `s0`, `s1`, ... as an array of longs.
+def _in_groups(samples: int) -> Column:
+    """The numbers of the groups of `GROUP` samples, one a row."""
+    return F.sequence(F.lit(0), F.lit(ceil(samples / GROUP) - 1))
 
-    `weighed` has a row a key and `term`, with the logarithm of the term's weight in each
-    of `logs`, null without weight. With `r` and `c` from a gamma distribution of shape 2
-    and `b` uniform, all from the hash of term and sample, the step of a weight is
-    `t = floor(ln(w) / r + b)` and its arrival `c * exp(-r * (t - b + 1))`. The logarithm
-    of the arrival is in the upper bits of a number whose least value is the sample; the
-    lower bits are a hash of term and step.
 
-    A row is multiplied by groups of `GROUP` samples, and each step is a projection of its
-    own: so every logarithm is taken once and the generated methods stay small enough to
-    be compiled. The minima of a group combine in one pass.
+def _arrivals(rows: DataFrame, *keep: str) -> DataFrame:
+    """`keep`, and the arrivals `m0`, `m1`, ... of a term in the samples of a `group`.
+
+    `rows` has `term`, `group`, and `ln`, the logarithm of the term's weight. With `r` and
+    `c` from a gamma distribution of shape 2 and `b` uniform, all from the hash of term and
+    sample, the step of a weight is `t = floor(ln / r + b)` and its arrival
+    `c * exp(-r * (t - b + 1))`. The logarithm of the arrival is in the upper bits of a
+    number whose least value is the sample; the lower bits are a hash of term and step.
+
+    Each step is a projection of its own: so every logarithm is taken once and the
+    generated methods stay small enough to be compiled.
     """
-    groups, numbers = ceil(samples / GROUP), range(GROUP)
-    rows = weighed.select(
-        *keys, "term", *logs, F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group")
-    )
+    numbers = range(GROUP)
     hashed = rows.select(
-        *keys,
-        "group",
-        *logs,
+        *keep,
+        "ln",
         *[F.xxhash64("term", "group", F.lit(2 * n)).alias(f"x{n}") for n in numbers],
         *[F.xxhash64("term", "group", F.lit(2 * n + 1)).alias(f"y{n}") for n in numbers],
     )
@@ -72,9 +71,8 @@ def _sampled(weighed: DataFrame, keys: list[str], logs: list[str], samples: int)
         return F.lit(1e-12) - F.log(low * high)
 
     drawn = hashed.select(
-        *keys,
-        "group",
-        *logs,
+        *keep,
+        "ln",
         *[f"y{n}" for n in numbers],
         *[gamma(f"x{n}", FIELD, FIELD_BITS).alias(f"r{n}") for n in numbers],
         *[F.log(gamma(f"y{n}", WIDE, WIDE_BITS)).alias(f"c{n}") for n in numbers],
@@ -86,37 +84,25 @@ def _sampled(weighed: DataFrame, keys: list[str], logs: list[str], samples: int)
         ],
     )
     stepped = drawn.select(
-        *keys,
-        "group",
+        *keep,
         *[f"{kind}{n}" for kind in "yrcb" for n in numbers],
-        *[
-            F.floor(F.col(log) / F.col(f"r{n}") + F.col(f"b{n}")).alias(f"t{side}_{n}")
-            for side, log in enumerate(logs)
-            for n in numbers
-        ],
+        *[F.floor(F.col("ln") / F.col(f"r{n}") + F.col(f"b{n}")).alias(f"t{n}") for n in numbers],
     )
 
-    def arrival(side: int, n: int) -> Column:
-        t, y = F.col(f"t{side}_{n}"), F.col(f"y{n}")
+    def arrival(n: int) -> Column:
+        t, y = F.col(f"t{n}"), F.col(f"y{n}")
         late = F.col(f"c{n}") - F.col(f"r{n}") * (t.cast("double") - F.col(f"b{n}") + 1.0)
         scaled = ((late + 200.0) * float(2**30)).cast("bigint")
         return F.shiftleft(scaled, 24).bitwiseOR(F.shiftrightunsigned(F.xxhash64(y, t), 40))
 
-    sides = range(len(logs))
-    least = stepped.groupBy(*keys, "group").agg(
-        *[F.min(arrival(side, n)).alias(f"m{side}_{n}") for side in sides for n in numbers]
-    )
-    arrays = [F.array(*[f"m{side}_{n}" for n in numbers]).alias(f"g{side}") for side in sides]
-    gathered = least.select(*keys, F.struct("group", *arrays).alias("part")).groupBy(*keys).agg(
-        F.sort_array(F.collect_list("part")).alias("parts")
-    )
-    return gathered.select(
-        *keys,
-        *[
-            F.slice(F.flatten(F.col(f"parts.g{side}")), 1, samples).alias(f"s{side}")
-            for side in sides
-        ],
-    )
+    return stepped.select(*keep, *[arrival(n).alias(f"m{n}") for n in numbers])
+
+
+def _gathered(samples: int, parts: str, side: str) -> Column:
+    """The samples of all groups one after another; nulls where there is no term."""
+    found = F.slice(F.flatten(F.col(f"{parts}.{side}")), 1, samples)
+    none = F.array_repeat(F.lit(None).cast("bigint"), samples)
+    return F.when(F.size(parts) > 0, found).otherwise(none)
 
 
 def _of_texts(samples: str, whole: Column) -> Column:
@@ -162,8 +148,16 @@ def fingerprints(docs: DataFrame, text: str = "text", samples: int = SAMPLES) ->
         .agg(F.sum((F.col("word") != "").cast("int")).alias("n"))
         .withColumn("ln", F.log(F.col("n").cast("double")))
     )
-    found = _sampled(counted, ["row", "doc_id", "whole"], ["ln"], samples)
-    return found.select("doc_id", _of_texts("s0", F.col("whole")).alias("samples"))
+    keys = ["row", "doc_id", "whole"]
+    grouped = counted.select(*keys, "term", "ln", F.explode(_in_groups(samples)).alias("group"))
+    least = _arrivals(grouped, *keys, "group").groupBy(*keys, "group").agg(
+        F.array(*[F.min(f"m{n}") for n in range(GROUP)]).alias("least")
+    )
+    found = least.groupBy(*keys).agg(
+        F.sort_array(F.collect_list(F.struct("group", "least"))).alias("parts")
+    )
+    own = found.select("doc_id", "whole", _gathered(samples, "parts", "least").alias("own"))
+    return own.select("doc_id", _of_texts("own", F.col("whole")).alias("samples"))
 
 
 def _ranged(rows: DataFrame, per_range: int) -> DataFrame:
@@ -182,6 +176,19 @@ def _ranged(rows: DataFrame, per_range: int) -> DataFrame:
     return ranges.transform(placed).drop("_place").withColumn("range", F.col("range").cast("int"))
 
 
+def _placing_keys(spark: SparkSession, partitions: int) -> list[int]:
+    """A number for each partition that its hash places there, so no two ranges share one.
+
+    Of sixteen numbers a partition nearly always one fits; where none does, any will do.
+    """
+    tried = spark.range(16 * partitions).select(
+        "id", F.pmod(F.hash("id"), F.lit(partitions)).alias("partition")
+    )
+    found = tried.groupBy("partition").agg(F.min("id").alias("id")).collect()
+    keys = {row["partition"]: row["id"] for row in found}
+    return [keys.get(i, 16 * partitions + i) for i in range(partitions)]
+
+
 def _with_next(rows: DataFrame, per_range: int) -> DataFrame:
     """`rows` with the id, text hash and text of the row after each, the first after the last.
 
@@ -197,6 +204,11 @@ def _with_next(rows: DataFrame, per_range: int) -> DataFrame:
         for i, at in enumerate(order)
     ]
     spark = rows.sparkSession
+    partitions = max(len(order), 1)
+    keys = _placing_keys(spark, partitions)
+    slots = spark.createDataFrame(
+        [(at["range"], keys[i]) for i, at in enumerate(order)], "slot_range int, slot long"
+    )
     heads = spark.createDataFrame(previous, "head_range int, doc long, whole long")
     # A repeated first row would come more than once; any of them will do.
     ghosts = stored(
@@ -208,9 +220,12 @@ def _with_next(rows: DataFrame, per_range: int) -> DataFrame:
     every = ranged.select("doc", "doc_id", "whole", "text", "range", F.lit(0).alias("ghost")).unionAll(
         ghosts
     )
-    order_by = Window.partitionBy("range").orderBy("ghost", "doc", "whole")
+    order_by = Window.partitionBy("slot").orderBy("ghost", "doc", "whole")
     # As many partitions as ranges: merged ones would spill when their words are counted.
-    return every.repartition(max(len(order), 1), "range").withColumns(
+    placed = every.join(F.broadcast(slots), F.col("range") == F.col("slot_range")).drop(
+        "range", "slot_range"
+    )
+    return placed.repartition(partitions, "slot").withColumns(
         {
             "place": F.row_number().over(order_by),
             "next_doc": F.lead("doc").over(order_by),
@@ -220,6 +235,70 @@ def _with_next(rows: DataFrame, per_range: int) -> DataFrame:
     ).where("ghost = 0")
 
 
+def _sampled_in_ranges(counted: DataFrame, keys: list[str], samples: int) -> DataFrame:
+    """`keys` and the samples `own` and `other` of both texts of each document.
+
+    `counted` has a row a document and term with its counts `n0` and `n1` in the texts, and
+    a row a document without any count, which carries the document's keys to the end.
+    """
+    place, known = keys[:2], F.struct(*keys[2:])
+    n0, n1 = F.col("n0"), F.col("n1")
+
+    def entry(n: Column, texts: int, document: Column) -> Column:
+        return F.struct(n.alias("n"), F.lit(texts).alias("texts"), document.alias("document"))
+
+    none = F.lit(None).cast(counted.select(known).schema[0].dataType)
+    entries = (
+        F.when(n0 + n1 == 0, F.array(entry(n0, 0, known)))
+        .when(n0 == n1, F.array(entry(n0, 3, none)))
+        .otherwise(
+            F.filter(F.array(entry(n0, 1, none), entry(n1, 2, none)), lambda e: e["n"] > 0)
+        )
+    )
+    held = counted.select(*place, "term", F.explode(entries).alias("e")).select(
+        "slot", "term", "e.n", F.struct("place", "e.texts", "e.document").alias("holder")
+    )
+    # The documents of one range that hold a term as often are a short list.
+    once = held.groupBy("slot", "term", "n").agg(F.collect_list("holder").alias("holders"))
+    groups = F.when(F.col("n") > 0, _in_groups(samples)).otherwise(F.array(F.lit(-1)))
+    drawn = once.select(
+        "slot",
+        "term",
+        F.log(F.when(F.col("n") > 0, F.col("n").cast("double"))).alias("ln"),
+        "holders",
+        F.explode(groups).alias("group"),
+    )
+    numbers = range(GROUP)
+    arrived = _arrivals(drawn, "slot", "group", "holders").select(
+        "slot", "group", *[f"m{n}" for n in numbers], F.inline("holders")
+    )
+
+    def least(text: int) -> Column:
+        held_there = F.col("texts").bitwiseAND(F.lit(text)) > 0
+        return F.array(*[F.min(F.when(held_there, F.col(f"m{n}"))) for n in numbers])
+
+    mins = arrived.groupBy(*place, "document", "group").agg(
+        least(1).alias("g0"), least(2).alias("g1")
+    )
+    whole = mins.groupBy(*place).agg(
+        F.sort_array(F.collect_list(F.struct("group", "g0", "g1"))).alias("every"),
+        F.max("document").alias("document"),
+    )
+    parts = whole.select(
+        *place, "document.*", F.filter("every", lambda part: part["group"] >= 0).alias("parts")
+    )
+    sampled = parts.select(
+        *keys,
+        _gathered(samples, "parts", "g0").alias("s0"),
+        _gathered(samples, "parts", "g1").alias("s1"),
+    )
+    return sampled.select(
+        *keys,
+        _of_texts("s0", F.col("whole")).alias("own"),
+        _of_texts("s1", F.col("edited_whole")).alias("other"),
+    )
+
+
 def with_edits(docs: DataFrame, samples: int = SAMPLES, per_range: int = DOCS_PER_RANGE) -> DataFrame:
     """Each text's fingerprint beside those of its edited text and of the next document.
 
@@ -227,8 +306,9 @@ def with_edits(docs: DataFrame, samples: int = SAMPLES, per_range: int = DOCS_PE
     of the next document's beginning. `doc_id`, `n_chars`, `edited_sha256`, `fingerprint`,
     `edited_fingerprint`, and the likenesses `near_edited` and `near_next`.
 
-    A word is drawn for once, whether it stands in the text, the edited text or both.
-    Counting and sampling stay in the ranges the texts are in, without another shuffle.
+    In a range of documents a word of one count is drawn for once, however many texts and
+    edited texts hold it as often; they take its arrivals from there. Counting and sampling
+    stay in the ranges the texts are in, without another shuffle.
     """
     plain = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
@@ -251,34 +331,24 @@ def with_edits(docs: DataFrame, samples: int = SAMPLES, per_range: int = DOCS_PE
         F.conv(F.substring(sha, 16 * i + 1, 16), 16, -10).cast("bigint").alias(f"sha{i}")
         for i in range(4)
     ]
-    keys = ["range", "place", "doc", "whole", "next_doc", "next_whole", "n_chars", "edited_whole"]
-    keys += [f"sha{i}" for i in range(4)]
+    known = ["doc", "whole", "next_doc", "next_whole", "n_chars", "edited_whole"]
+    known += [f"sha{i}" for i in range(4)]
+    keys = ["slot", "place", *known]
+    # The last side has no words: its one row is there for every document.
     sides = F.array(
         F.struct(F.lit(0).alias("side"), F.col("text").alias("text")),
         F.struct(F.lit(1).alias("side"), F.col("edited").alias("text")),
+        F.struct(F.lit(2).alias("side"), F.lit("").alias("text")),
     )
     parts = edited.select(
         *keys[:7], F.xxhash64("edited").alias("edited_whole"), *digest, F.explode(sides).alias("part")
     ).select(*keys, "part.side", F.explode(words(F.col("part.text"))).alias("word"))
-    real = (F.col("word") != "").cast("int")
-    counted = parts.groupBy(*keys, F.xxhash64("word").alias("term")).agg(
-        F.sum(real * (1 - F.col("side"))).alias("n0"), F.sum(real * F.col("side")).alias("n1")
-    )
-    weighed = counted.select(
-        *keys,
-        "term",
-        F.log(F.col("n0").cast("double")).alias("ln0"),
-        F.log(F.col("n1").cast("double")).alias("ln1"),
-    )
-    sampled = _sampled(weighed, keys, ["ln0", "ln1"], samples)
-    found = stored(
-        sampled.select(
-            *keys,
-            _of_texts("s0", F.col("whole")).alias("own"),
-            _of_texts("s1", F.col("edited_whole")).alias("other"),
-        ),
-        "fingerprints",
+    counted = (
+        parts.where("word != '' or side = 2")
+        .groupBy(*keys, F.xxhash64("word").alias("term"))
+        .agg(F.count_if(F.col("side") == 0).alias("n0"), F.count_if(F.col("side") == 1).alias("n1"))
     )
+    found = stored(_sampled_in_ranges(counted, keys, samples), "fingerprints")
     following = found.select(
         F.col("doc").alias("next_doc"), F.col("whole").alias("next_whole"), F.col("own").alias("after")
     ).dropDuplicates(["next_doc", "next_whole"])
