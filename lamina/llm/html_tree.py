@@ -4,13 +4,22 @@ The pages of a host are merged into one tree of style nodes: elements with the s
 tags, classes and ids are one node. A node's importance has two parts, both entropies over
 the host's pages: how varied the styles below its parent are, and how varied its content
 is; a node whose text repeats from page to page, or that consists of links, says little.
-Branches of low importance are removed from each page. Elements that declare what they are
-(menus, footers, forms, adverts, reader comments and so on) are removed before, and where a
-page marks an article, only that is taken.
-
-Pages need `page_id`, `url` and `html`. A null or empty html has no text; a page of a host
-with few pages is judged by what it declares alone. A node that holds most of what is left
-of a page is never removed. Rows are kept as they are, also repeated ones and null ids.
+A host with few pages says little about its nodes, so the importance leans toward that of
+the same style on all hosts, the more the fewer pages have it; there is no least number.
+Branches of low importance are removed from each page.
+
+Two things are known without a tree. Elements that cannot hold an article (scripts, forms,
+menus, footers and so on), and those whose names say what they are, are removed before.
+Where a page marks an article, only that is taken, and of several the one that the page is
+about: the longest. Inside it a name counts only if it says nothing else and can mean no
+part of an article (`commentList` goes, `share-price` and the `menu` of a restaurant stay),
+and the tree removes only nodes that are mostly links: what repeats inside an article, such
+as its headings, stays.
+
+Pages need `page_id`, `url` and `html`. A null or empty html has no text. A node that holds
+most of what is left of a page is never removed. Equal importance is treated alike, and
+columns of other names are left out. Rows are kept as they are, also repeated ones and null
+ids; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -28,7 +37,8 @@ from pyspark.sql import functions as F
 
 from lamina.sources import stored
 
-LEAST_PAGES = 8
+#: Pages that the importance of a style on all hosts weighs as.
+PRIOR_PAGES = 8.0
 IMPORTANCE = 0.25
 DAMPING = 0.9
 #: A node with at least this share of a page's text is its main text.
@@ -62,6 +72,19 @@ NOISE_NAMES = frozenset(
     promotion recommended related replies reply share sharing sidebar signup social sponsor
     sponsored subscribe subscription toolbar widget""".split()
 )
+# Of these names those that can mean no part of an article, and words that say
+# nothing of their own beside them.
+NEVER_ARTICLE = frozenset(
+    """ad ads adsbygoogle advert advertisement adverts advertising breadcrumb breadcrumbs
+    comment comments consent cookie cookies disqus feedback gdpr newsletter pager pagination
+    popup promo promotion recommended related replies reply share sharing social sponsor
+    sponsored subscribe subscription""".split()
+)
+FILLERS = frozenset(
+    """area bar block box button buttons by container content count feed form google group
+    icon icons inner item items left link links list module outer panel reader readers right
+    row section slot space text thread top unit user widget wrap wrapper zone""".split()
+)
 # Elements whose end tag is left out: what starting one of the keys closes, and within what.
 CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir"}),
@@ -81,7 +104,7 @@ _TAG = re.compile(
 _ATTRIBUTE = re.compile(
     r"([^\s=/\"'>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|([^\s=/\"'>]+)"
 )
-_NAME = re.compile(r"[a-z0-9]+")
+_NAME = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 _HOST = re.compile(r"^(?:[a-z][a-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", re.I)
 
@@ -93,6 +116,7 @@ class Element:
     noise: bool
     style: str
     path: int
+    common: int
     block: bool
     children: list[str] = field(default_factory=list)
     has_main: bool = False
@@ -115,6 +139,8 @@ class Part:
     parent: int
     text: str
     link_chars: int
+    style: int
+    marked: bool = False
 
 
 def _hash(*parts: str | int) -> int:
@@ -133,31 +159,36 @@ def _attributes(source: str) -> dict[str, str]:
     return found
 
 
+def _names(attributes: dict[str, str]) -> Iterator[set[str]]:
+    """The words of each class and of the id; `AdSlot`, `ad-slot` and `ad_slot` are alike."""
+    for name in f"{attributes.get('class', '')} {attributes.get('id', '')}".split():
+        yield {word.lower() for word in _NAME.findall(name)}
+
+
 def _declared_noise(tag: str, attributes: dict[str, str], in_main: bool) -> bool:
     """Whether an element says that it is no part of an article."""
     if tag in MAIN:
-        own = set(_NAME.findall(f"{attributes.get('class', '')} {attributes.get('id', '')}".lower()))
-        return bool(own & {"comment", "comments", "reply"})
+        return any(words & {"comment", "comments", "reply", "teaser"} for words in _names(attributes))
     if tag in NOISE or (tag == "header" and not in_main):
         return True
-    if not attributes:
+    if not attributes or tag in ("html", "body"):
         return False
     if "hidden" in attributes or _HIDDEN.search(attributes.get("style", "").lower()):
         return True
     if attributes.get("role", "").lower() in NOISE_ROLES:
         return True
-    names = f"{attributes.get('class', '')} {attributes.get('id', '')}".lower()
-    own = set(_NAME.findall(names)) & NOISE_NAMES
     if in_main:
-        own -= {"header"}
-    return bool(own) and tag not in ("html", "body")
+        return any(
+            words & NEVER_ARTICLE and words <= NEVER_ARTICLE | FILLERS for words in _names(attributes)
+        )
+    return any(words & (NOISE_NAMES | NEVER_ARTICLE) for words in _names(attributes))
 
 
 class Page:
     """The elements and blocks of one page."""
 
     def __init__(self, html: str, host: str):
-        self.elements = [Element("", -1, False, "", _hash(host), True)]
+        self.elements = [Element("", -1, False, "", _hash(host), _hash(""), True)]
         self.blocks: list[Block] = []
         self._stack, self._open = [0], []
         self._count: Counter[str] = Counter()  # open elements by tag
@@ -216,13 +247,14 @@ class Page:
         )
         parent = self.elements[above]
         path = _hash(parent.path, style) if block else parent.path
+        common = _hash(parent.common, style) if block else parent.common
         if block and parent.children[-1:] != [style]:
             parent.children.append(style)
         noise = _declared_noise(tag, attributes, in_main)
         if attributes.get("role", "").lower() == "main":
             tag = "main"
         inside = in_main or tag in MAIN
-        self.elements.append(Element(tag, above, noise, style, path, block, in_main=inside))
+        self.elements.append(Element(tag, above, noise, style, path, common, block, in_main=inside))
         self._stack.append(len(self.elements) - 1)
         self._count[tag] += 1
         if tag in MAIN and not noise:
@@ -265,14 +297,18 @@ class Page:
         self._text(html[at:])
 
     def parts(self) -> list[Part]:
-        """The blocks that no element declares away; of a marked article only, if there is one."""
-        dropped, inside, linked = [False], [False], [False]
-        for element in self.elements[1:]:
+        """The blocks that no element declares away; of the page's own marked article only, if
+        it marks one."""
+        dropped, linked, roots = [False], [False], [0]
+        for number, element in enumerate(self.elements[1:], start=1):
             up = element.parent
             noise = element.noise and not element.has_main
             dropped.append(dropped[up] or noise)
-            inside.append(inside[up] or (element.tag in MAIN and not element.noise))
             linked.append(linked[up] or element.tag == "a")
+            # The outermost article that an element is in, or else the main element.
+            marks = element.tag in MAIN and not element.noise
+            above = self.elements[roots[up]].tag
+            roots.append(number if marks and (not above or above == "main") else roots[up])
         kept = []
         for block in self.blocks:
             real = [(at, text) for at, text in block.fragments if not dropped[at]]
@@ -281,10 +317,16 @@ class Page:
                 links = sum(len("".join(t.split())) for at, t in real if linked[at])
                 owner = self.elements[block.owner]
                 above = self.elements[max(owner.parent, 0)]
-                kept.append((inside[block.owner], Part(owner.path, above.path, text, links)))
-        if any(main for main, _ in kept):
-            return [part for main, part in kept if main]
-        return [part for _, part in kept]
+                root = roots[block.owner]
+                kept.append((root, Part(owner.path, above.path, text, links, owner.common, root > 0)))
+        sizes: Counter[int] = Counter()
+        for root, part in kept:
+            sizes[root] += len(part.text)
+        marked = [root for root in sizes if root]
+        if not marked:
+            return [part for _, part in kept]
+        own = max(marked, key=lambda root: (sizes[root], -root))
+        return [part for root, part in kept if root == own]
 
     def styles(self) -> list[tuple[int, int, int]]:
         """Each node's path, a hash of the styles below it, and how many these are."""
@@ -298,7 +340,8 @@ class Page:
 def _features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """`node`, `feature`, `kind` and sums for each page, each feature once a page.
 
-    Kinds: 0 the node is on the page, 1 the styles below it, 2 its text.
+    Kinds: 0 the node is on the page, below the feature; 1 the styles below it; 2 its text;
+    3 its style on all hosts.
     """
     for batch in batches:
         for start in range(0, batch.num_rows, ROWS):
@@ -311,11 +354,12 @@ def _features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 nodes: dict[int, list[int]] = {}
                 texts = set()
                 for part in page.parts():
-                    sums = nodes.setdefault(part.node, [0, 0, part.parent])
+                    sums = nodes.setdefault(part.node, [0, 0, part.parent, part.style])
                     sums[0] += len(part.text)
                     sums[1] += part.link_chars
                     texts.add((part.node, _hash(part.text)))
                 rows += [(node, s[2], 0, 0, s[0], s[1]) for node, s in nodes.items()]
+                rows += [(node, s[3], 3, 0, 0, 0) for node, s in nodes.items()]
                 rows += [(node, feature, 2, 0, 0, 0) for node, feature in texts]
             columns = list(zip(*rows, strict=True)) if rows else [[]] * 6
             yield pa.RecordBatch.from_arrays(
@@ -324,8 +368,10 @@ def _features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def node_importance(pages: DataFrame, damping: float = DAMPING) -> DataFrame:
-    """`node`, `pages` that have it, and its `importance` from 0 to 1.
+def node_importance(
+    pages: DataFrame, damping: float = DAMPING, prior_pages: float = PRIOR_PAGES
+) -> DataFrame:
+    """`node`, `pages` that have it, whether it is mostly `linked`, and its `importance`, 0 to 1.
 
     A node's key holds its host, so hosts are merged by grouping nodes; a host with a third
     of all pages has its nodes combined before the shuffle.
@@ -376,8 +422,30 @@ def node_importance(pages: DataFrame, damping: float = DAMPING) -> DataFrame:
     variety = F.coalesce(F.col("variety"), F.lit(1.0))
     plain = 1 - F.col("links") / F.greatest("chars", F.lit(1))
     whole = ((1 - weight) * variety + weight * content) * F.greatest(plain, F.lit(0.0))
-    return there.join(texts, "node").join(style, "parent", "left").select(
-        "node", "pages", whole.alias("importance")
+    shared = counted.where("kind = 3").groupBy("node").agg(F.min("feature").alias("common"))
+    known = stored(
+        there.join(texts, "node")
+        .join(style, "parent", "left")
+        .join(shared, "node")
+        .select(
+            "node",
+            "common",
+            "pages",
+            whole.alias("own"),
+            (F.col("links") * 2 >= F.col("chars")).alias("linked"),
+        ),
+        "style-nodes",
+    )
+    # One page says nothing of what repeats, so a node's evidence is its further pages. It
+    # leans toward the same style on all hosts, and that toward full importance.
+    evidence = F.col("pages") - 1
+    everywhere = known.groupBy("common").agg(
+        F.sum(evidence * F.col("own")).alias("sum"), F.sum(evidence).alias("weight")
+    )
+    expected = (F.col("sum") + prior_pages) / (F.col("weight") + prior_pages)
+    leaning = (evidence * F.col("own") + prior_pages * expected) / (evidence + prior_pages)
+    return known.join(everywhere, "common").select(
+        "node", "pages", "linked", leaning.alias("importance")
     )
 
 
@@ -396,7 +464,10 @@ def _page_nodes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def main_text(html: str, host: str, low: set[int], main_share: float = MAIN_SHARE) -> str:
-    """A page's main text without the nodes in `low`, unless one holds most of it."""
+    """A page's main text without the nodes in `low`, unless one holds most of it.
+
+    Inside a marked article only blocks that are mostly links go.
+    """
     parts = Page(html, host).parts()
     if low:
         total = sum(len(part.text) for part in parts)
@@ -404,7 +475,11 @@ def main_text(html: str, host: str, low: set[int], main_share: float = MAIN_SHAR
         for part in parts:
             sizes[part.node] = sizes.get(part.node, 0) + len(part.text)
         low = {node for node in low if sizes.get(node, 0) < main_share * total}
-        parts = [part for part in parts if part.node not in low]
+        parts = [
+            part
+            for part in parts
+            if part.node not in low or (part.marked and 2 * part.link_chars < len(part.text))
+        ]
     return " ".join(part.text for part in parts)
 
 
@@ -423,9 +498,7 @@ def _extracted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def extract(
-    pages: DataFrame, importance: float = IMPORTANCE, least_pages: int = LEAST_PAGES
-) -> DataFrame:
+def extract(pages: DataFrame, importance: float = IMPORTANCE) -> DataFrame:
     """`page_id`, `url`, `text` and `n_chars`, its code points.
 
     The pages with branches to remove are few numbers each; where these fit the broadcast
@@ -438,7 +511,7 @@ def extract(
     ).withColumn("row", F.xxhash64("page_id", "url", "html"))
     low = stored(
         node_importance(rows)
-        .where((F.col("importance") < importance) & (F.col("pages") >= least_pages))
+        .where(F.col("importance") < importance)
         .select("node"),
         "low-importance",
     )

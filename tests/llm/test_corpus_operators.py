@@ -314,6 +314,122 @@ def test_node_importance_is_between_its_bounds(spark):
     assert all(-1e-9 <= r.importance <= 1 + 1e-9 for r in rows)
 
 
+ARTICLE_CASES = [
+    ("<article><p>Text of it.<div class='share-price'>12.50</div></article>", "Text of it. 12.50"),
+    ("<article><p>Text.<section id=login>How to log in</section></article>", "Text. How to log in"),
+    ("<article><p>Eat.<table class=menu><tr><td>Soup</table></article>", "Eat. Soup"),
+    ("<article><p>Text.<div class=AdSlot>Buy</div><ins class=adsbygoogle>x</ins></article>", "Text."),
+    ("<article><p>Text.<ol class='commentList'><li>No!</ol><div id=readerFeedback>Yes</div></article>", "Text."),
+    ("<article><p>The long story.</article><article class=teaser><p>Other.</article>", "The long story."),
+    ("<article><p>The long story.</article><article><p>Other.</article>", "The long story."),
+    ("<main><p>Aside<article><p>The whole story</article></main>", "The whole story"),
+    ("<div class=NewsletterBox>Sign</div><p>Plain page", "Plain page"),
+]
+
+
+@pytest.mark.parametrize(("html", "text"), ARTICLE_CASES)
+def test_names_inside_an_article_count_only_if_they_say_nothing_else(html, text):
+    assert text_of(f"<body>{html}</body>") == text
+
+
+def recipes(spark, host, n, first=0):
+    """Pages with a marked article whose headings repeat, between unnamed repeated blocks."""
+    pages = [
+        (
+            first + i,
+            f"http://{host}/{i}",
+            "<div><a href=/>Home</a> <a href=/a>All recipes</a></div><article>"
+            f"<h1>Dish {first + i}</h1><h2>Ingredients</h2><p>{i} eggs and {i + 3} apples"
+            f"<h2>Method</h2><p>Stir {i} times.<ul><li><a href=/b>Print</a><li><a href=/c>Mail</a></ul>"
+            "</article><div>All rights reserved by us</div>",
+        )
+        for i in range(n)
+    ]
+    return spark.createDataFrame(pages, "page_id long, url string, html string")
+
+
+def test_repeated_headings_of_articles_stay_and_repeated_links_go(spark):
+    rows = html_tree.extract(recipes(spark, "food.example", 30)).collect()
+    for row in rows:
+        i = row.page_id
+        assert row.text == (
+            f"Dish {i} Ingredients {i} eggs and {i + 3} apples Method Stir {i} times."
+        )
+
+
+def plain_pages(spark, host, n, first=0):
+    """Pages without any article: blocks without names, some of which repeat."""
+    pages = [
+        (
+            first + i,
+            f"http://{host}/{i}",
+            f"<div class=a>Best shop in town</div><div class=b><p>Story {first + i} is a long "
+            f"one that goes on for {i} days.</div><div class=c>Call us any time you like</div>",
+        )
+        for i in range(n)
+    ]
+    return spark.createDataFrame(pages, "page_id long, url string, html string")
+
+
+def test_hosts_with_few_pages_lean_on_the_same_style_elsewhere(spark):
+    """From 1 to 20 pages of a host there is no number at which its blocks are judged at once."""
+    alone = html_tree.node_importance(plain_pages(spark, "one.example", 1)).collect()
+    assert {row.importance for row in alone} == {1.0}
+    large = plain_pages(spark, "large.example", 40)
+    importance = []
+    for n in (2, 4, 8, 16):
+        small = plain_pages(spark, "small.example", n, first=100)
+        nodes = html_tree.node_importance(small).collect()
+        importance.append(min(row.importance for row in nodes))
+        both = html_tree.extract(large.unionAll(small)).collect()
+        for row in both:
+            assert row.text.startswith(f"Story {row.page_id} is a long") and "shop" not in row.text
+    assert importance == sorted(importance, reverse=True) and importance[0] > 0.5
+
+
+def plain_importance(pages):
+    """The importance of each text on pages of one host, from entropies over dictionaries."""
+    found, below, kinds = {}, {}, {}
+    for _, _, html in pages:
+        page = html_tree.Page(html, "h")
+        for path, own, n in {path: (path, own, n) for path, own, n in page.styles()}.values():
+            below.setdefault(path, Counter())[own] += 1
+            kinds[path] = max(kinds.get(path, 1), n)
+        parts = page.parts()
+        for node in {part.node for part in parts}:
+            found.setdefault(node, {"pages": 0, "texts": Counter(), "chars": 0, "links": 0})["pages"] += 1
+        for node, text in {(part.node, part.text) for part in parts}:
+            found[node]["texts"][text] += 1
+        for part in parts:
+            found[part.node]["parent"] = part.parent
+            found[part.node]["chars"] += len(part.text)
+            found[part.node]["links"] += part.link_chars
+    for node in found.values():
+        m = node["pages"]
+        own = [np.log(c) for c in node["texts"].values()]
+        content = 1 - np.mean(own) / np.log(m)
+        styles = below.get(node["parent"], Counter())
+        total = sum(styles.values())
+        shares = [c / total for c in styles.values()]
+        variety = -sum(p * np.log(p) for p in shares) / np.log(total) if total > 1 else 1.0
+        weight = html_tree.DAMPING ** kinds.get(node["parent"], 1)
+        plain = max(0.0, 1 - node["links"] / max(node["chars"], 1))
+        own = ((1 - weight) * variety + weight * content) * plain
+        # With one host the style elsewhere is the node's own.
+        prior = html_tree.PRIOR_PAGES
+        expected = ((m - 1) * own + prior) / (m - 1 + prior)
+        yield m, ((m - 1) * own + prior * expected) / (m - 1 + prior)
+
+
+def test_importance_equals_entropies_by_loops(spark):
+    pages = plain_pages(spark, "h", 12).collect()
+    pages += [(100 + i, "http://h/x", "<div class=b><p>Again<p>and more</div>") for i in range(3)]
+    df = spark.createDataFrame([tuple(p) for p in pages], "page_id long, url string, html string")
+    got = sorted((row.pages, round(row.importance, 6)) for row in html_tree.node_importance(df).collect())
+    wanted = sorted((m, round(float(x), 6)) for m, x in plain_importance([tuple(p) for p in pages]))
+    assert got == wanted
+
+
 def test_deep_and_long_pages():
     assert text_of("<div>" * 5_000 + "deep") == "deep"
     assert len(text_of("<p>word " * 20_000)) == 5 * 20_000 - 1
