@@ -190,7 +190,10 @@ def test_exact_similarity_of_packed_multisets():
     assert found == pytest.approx(wanted)
 
 
-def test_components_of_a_chain_and_a_star(spark):
+@pytest.mark.parametrize("links_per_task", [250_000, 12])
+def test_components_of_a_chain_and_a_star(spark, monkeypatch, links_per_task):
+    """In one task, and by alternating stars over the links that several tasks contract."""
+    monkeypatch.setattr("lamina.llm.components.LINKS_PER_TASK", links_per_task)
     chain = [(i, i + 1) for i in range(100, 160)]
     star = [(i, 7) for i in range(8, 40)]
     links = spark.createDataFrame([*chain, *star, (3, 3)], "a long, b long")

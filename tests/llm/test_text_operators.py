@@ -369,8 +369,27 @@ def test_fingerprints_have_64_samples(spark):
 
 
 def test_fingerprints_run_no_python(spark):
-    plan = fingerprints.fingerprints(documents(spark, fingerprint_rows()))._jdf.queryExecution()
-    assert "Python" not in plan.toString() and "Arrow" not in plan.toString()
+    rows = documents(spark, fingerprint_rows())
+    keys = ["slot", "place", "whole", "edited_whole"]
+    counted = spark.range(50).selectExpr(
+        "id % 3 AS slot", "id % 7 AS place", "id % 7 AS whole", "id % 5 AS edited_whole",
+        "id AS term", "id % 3 AS n0", "id % 2 AS n1",
+    )
+    with_next = fingerprints._with_next(
+        rows.selectExpr("doc_id AS doc", "doc_id", "xxhash64(text) AS whole", "text"), 7
+    )
+    sampled = fingerprints._sampled_in_ranges(counted, keys, 8)
+    for df in (fingerprints.fingerprints(rows), with_next, sampled, fingerprints.with_edits(rows)):
+        plan = df._jdf.queryExecution().toString()
+        assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_no_two_ranges_share_a_partition(spark):
+    for partitions in (1, 7, 100):
+        keys = fingerprints._placing_keys(spark, partitions)
+        placed = spark.createDataFrame([(key,) for key in keys], "slot long").repartition(partitions, "slot")
+        sizes = placed.groupBy(F.spark_partition_id()).count().collect()
+        assert len(keys) == len(sizes) == partitions
 
 
 def plain_line_dedup(rows):
