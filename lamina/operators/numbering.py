@@ -24,9 +24,10 @@ def numbered(df: DataFrame, *keys: str, first: int = 0) -> DataFrame:
     range_of = F.shiftrightunsigned("_place", PARTITION_SHIFT)
     ranges = placed.groupBy(range_of.alias("_range")).agg(F.count(F.lit(1)).alias("_rows"))
     spans = ranges.agg(F.sort_array(F.collect_list(F.struct("_range", "_rows"))).alias("_spans"))
+    none = F.array().cast("array<struct<range:bigint,before:bigint>>")
     before = F.aggregate(
         "_spans",
-        F.struct(F.lit(first).cast("bigint").alias("total"), F.array().cast("array<struct<range:bigint,before:bigint>>").alias("found")),
+        F.struct(F.lit(first).cast("bigint").alias("total"), none.alias("found")),
         lambda done, span: F.struct(
             (done["total"] + span["_rows"]).alias("total"),
             F.concat(
