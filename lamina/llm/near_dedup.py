@@ -23,6 +23,7 @@ texts. Rows with a null id keep a null class. An empty table gives an empty one.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
 from itertools import count
 
 import numpy as np
@@ -263,17 +264,16 @@ def _labelled(buckets: DataFrame, roots: DataFrame) -> DataFrame:
     )
 
 
-def head_pairs(labelled: DataFrame, order: int) -> DataFrame:
-    """`a`, `b` and their components `ra`, `rb`: members of buckets and their head, if apart.
+def heads_of(labelled: DataFrame, order: int) -> DataFrame:
+    """`key`, `head` and `head_root` of the buckets whose members are in several components.
 
-    `labelled` has `key`, `doc`, `company` and `root`. A head is the member that comes first
-    in an order of all documents, so one document heads most buckets of a group, and
-    another order brings others. The first order is by company, the members of all buckets
-    of a document: the text that the others are copies of shares more buckets than they
-    share with each other.
+    A head is the member that comes first in an order of all documents, so one document
+    heads most buckets of a group, and another order brings others. The first order is by
+    company, the members of all buckets of a document: the text that the others are copies
+    of shares more buckets than they share with each other.
     """
     rank = F.xxhash64(F.lit(order), "doc") if order else -F.col("company")
-    heads = stored(
+    return stored(
         labelled.groupBy("key")
         .agg(
             F.min(F.struct(rank.alias("rank"), F.col("doc"), F.col("root"))).alias("head"),
@@ -284,6 +284,10 @@ def head_pairs(labelled: DataFrame, order: int) -> DataFrame:
         .select("key", F.col("head.doc").alias("head"), F.col("head.root").alias("head_root")),
         "bucket-heads",
     )
+
+
+def head_pairs(labelled: DataFrame, heads: DataFrame) -> DataFrame:
+    """`a`, `b` and their components `ra`, `rb`: members of buckets and their head, if apart."""
     apart = labelled.join(heads, "key").where("root != head_root")
     larger = F.col("doc") > F.col("head")
     return apart.select(
@@ -488,14 +492,22 @@ def classes(
     members = company.select("doc")
     sets = stored(multisets(real.join(members, "doc", "left_semi")), "multisets")
 
+    # A bucket whose members are in one component stays so: later rounds leave it out.
+    mixed_buckets = []
     for start, end in band_turns(bands):
-        own = _labelled(buckets.where(F.col("band").between(start, end)), roots)
-        roots, _ = _linked(head_pairs(own, 0), sets, similarity, roots)
+        own = buckets.where(F.col("band").between(start, end))
+        labelled = _labelled(own, roots)
+        heads = heads_of(labelled, 0)
+        roots, _ = _linked(head_pairs(labelled, heads), sets, similarity, roots)
+        mixed_buckets.append(own.join(heads.select("key"), "key", "left_semi"))
+    remaining = stored(reduce(DataFrame.unionAll, mixed_buckets), "mixed-buckets")
     for order in count(1):
-        labelled = _labelled(buckets, roots)
-        roots, found = _linked(head_pairs(labelled, order), sets, similarity, roots)
+        labelled = _labelled(remaining, roots)
+        heads = heads_of(labelled, order)
+        roots, found = _linked(head_pairs(labelled, heads), sets, similarity, roots)
         if not found:
             break
+        remaining = stored(remaining.join(heads.select("key"), "key", "left_semi"), "mixed-buckets")
     unmet = stored(_unmet(labelled), "unmet")
     if not unmet.isEmpty():
         residual = stored(sets.join(unmet, "doc"), "unmet-multisets")

@@ -124,8 +124,8 @@ def near_family(n):
 def test_head_pairs_of_a_family_follow_its_members(spark, monkeypatch):
     listed = []
 
-    def counting(labelled, order, real=near_dedup.head_pairs):
-        pairs = real(labelled, order)
+    def counting(labelled, heads, real=near_dedup.head_pairs):
+        pairs = real(labelled, heads)
         listed[-1] += pairs.count()
         return pairs
 
