@@ -11,9 +11,11 @@ band share a bucket, and each bucket compares its members with one of them, its
 take turns: after one band the components found so far are contracted, and the next bands
 compare only members that are not in their head's component yet. So a family of copies is
 compared about once a member, not once a member and band. Then other heads follow, over all
-bands, until a round finds no link. Members of a bucket that are still in different
-components meet exactly: a pair that is similar enough shares one of the rarest shingles of
-both, and only such pairs are listed. Every link is verified on the exact multisets.
+bands, as long as a round links many of the pairs it compares: each takes all members of the
+open buckets again. Members of a bucket that are still in different components meet exactly:
+a pair that is similar enough shares one of the rarest shingles of both, and only such pairs
+are listed. So no link depends on how many rounds there are. Every link is verified on the
+exact multisets.
 
 A document without words has the class of the documents with the same text; null and empty
 texts are alone. Rows with the same id are one document, whose links are those of all its
@@ -52,6 +54,8 @@ SIMILARITY = 0.8
 COUNTERS = 1 << 20
 #: Postings of a shingle that one task joins.
 POSTINGS = 2_000
+#: Another round of heads follows if the last one linked one in so many of its pairs.
+PAIRS_PER_LINK = 10
 #: Texts that are signed together.
 TEXTS = 128
 
@@ -311,14 +315,17 @@ def contracted(roots: DataFrame, links: DataFrame) -> DataFrame:
 def _linked(
     pairs: DataFrame, sets: DataFrame, similarity: float, roots: DataFrame
 ) -> tuple[DataFrame, bool]:
-    """`roots` after the pairs that are similar enough, and whether there are any."""
+    """`roots` after the pairs that are similar enough, and whether these are one in
+    `PAIRS_PER_LINK` or more."""
     pairs = stored(pairs, "pairs")
-    if pairs.isEmpty():
+    tried = pairs.count()
+    if not tried:
         return roots, False
     new = stored(verified(pairs, sets, similarity), "verified")
-    if new.isEmpty():
+    links = new.count()
+    if not links:
         return roots, False
-    return contracted(roots, new), True
+    return contracted(roots, new), links * PAIRS_PER_LINK >= tried
 
 
 def _occurrences(shingles: bytes, counts: bytes) -> np.ndarray:
@@ -493,21 +500,22 @@ def classes(
     sets = stored(multisets(real.join(members, "doc", "left_semi")), "multisets")
 
     # A bucket whose members are in one component stays so: later rounds leave it out.
-    mixed_buckets = []
+    mixed_buckets, many = [], False
     for start, end in band_turns(bands):
         own = buckets.where(F.col("band").between(start, end))
         labelled = _labelled(own, roots)
         heads = heads_of(labelled, 0)
-        roots, _ = _linked(head_pairs(labelled, heads), sets, similarity, roots)
+        roots, many = _linked(head_pairs(labelled, heads), sets, similarity, roots)
         mixed_buckets.append(own.join(heads.select("key"), "key", "left_semi"))
     remaining = stored(reduce(DataFrame.unionAll, mixed_buckets), "mixed-buckets")
+    labelled = _labelled(remaining, roots)
     for order in count(1):
-        labelled = _labelled(remaining, roots)
-        heads = heads_of(labelled, order)
-        roots, found = _linked(head_pairs(labelled, heads), sets, similarity, roots)
-        if not found:
+        if not many:
             break
+        heads = heads_of(labelled, order)
+        roots, many = _linked(head_pairs(labelled, heads), sets, similarity, roots)
         remaining = stored(remaining.join(heads.select("key"), "key", "left_semi"), "mixed-buckets")
+        labelled = _labelled(remaining, roots)
     unmet = stored(_unmet(labelled), "unmet")
     if not unmet.isEmpty():
         residual = stored(sets.join(unmet, "doc"), "unmet-multisets")

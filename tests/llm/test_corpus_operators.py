@@ -112,6 +112,26 @@ def test_pairs_in_a_family_just_below_the_similarity_are_found(spark):
     assert sorted(map(tuple, found)) == [(i, i - i % 2 if i < 80 else i) for i in range(500)]
 
 
+def test_rounds_that_link_little_are_left_to_the_exact_step(spark, monkeypatch):
+    template = [f"w{i}" for i in range(400)]
+
+    def text(i, suffix):
+        return " ".join([*template, *suffix, *[f"x{i}_{k}" for k in range(53 - len(suffix))]])
+
+    rounds = []
+
+    def counting(labelled, heads, real=near_dedup.head_pairs):
+        rounds.append(1)
+        return real(labelled, heads)
+
+    monkeypatch.setattr(near_dedup, "head_pairs", counting)
+    # 0.79 to all others and, of a few neighbours, 0.81 to each other: most pairs are no links.
+    rows = [(i, text(i, [f"p{i // 2}_{k}" for k in range(6)] if i < 8 else [])) for i in range(120)]
+    found = near_dedup.classes(documents(spark, rows)).collect()
+    assert sorted(map(tuple, found)) == [(i, i - i % 2 if i < 8 else i) for i in range(120)]
+    assert len(rounds) == len(near_dedup.band_turns(near_dedup.BANDS))
+
+
 def near_family(n):
     rng = np.random.default_rng(9)
     base = [f"w{i}" for i in rng.integers(0, 5_000, 120)]
