@@ -48,7 +48,7 @@ def piece_chunks(text: str) -> list[str]:
 
 
 class ChunkCache:
-    """Encoded chunks, kept while the worker lives, `size` of them at most.
+    """Encoded chunks, kept until `clear`, `size` of them at most.
 
     The size only bounds memory: a chunk that found no room is encoded again when it
     comes again. The frequent chunks come first and so stay.
@@ -67,6 +67,9 @@ class ChunkCache:
             return [[known[c] for c in chunks] for chunks in texts]
         return [[known[c] if c in known else new[c] for c in chunks] for chunks in texts]
 
+    def clear(self) -> None:
+        self.known = {}
+
 
 def id_bytes(ids: list[int]) -> bytes:
     return np.array(ids, "<u4").tobytes()

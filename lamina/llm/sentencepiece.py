@@ -17,6 +17,7 @@ import os
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -168,7 +169,7 @@ class Codec:
     """Encodes and decodes batches of texts with one model.
 
     Texts are cut at lone spaces where the model allows it, so that each distinct chunk
-    is encoded once a worker; `encode` then gives, for each text, its ids and whether
+    is encoded once a task; `encode` then gives, for each text, its ids and whether
     both libraries agree on every chunk of it.
     """
 
@@ -210,13 +211,24 @@ _codecs: dict[tuple, Codec] = {}
 
 
 def codec(path: str, threads: int = 1, verify: bool = True) -> Codec:
-    """The worker's codec of a model; it and its chunks are kept between tasks."""
+    """The worker's codec of a model, kept between tasks."""
     key = (path, threads, verify)
     if key not in _codecs:
         _codecs[key] = Codec(path, threads, verify)
     return _codecs[key]
 
 
+@contextmanager
+def encoder(path: str, threads: int, verify: bool) -> Iterator[Codec]:
+    """The worker's codec for one task. Its chunks go with the task: an idle worker would
+    keep them while other stages need the memory."""
+    own = codec(path, threads, verify)
+    try:
+        yield own
+    finally:
+        own.cache.clear()
+
+
 def _sliced(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for start in range(0, batch.num_rows, ROWS):
@@ -236,25 +248,25 @@ def encode(
     row_type = framed.schema["row"].dataType.simpleString()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(model_path, threads, verify)
-        for batch in _sliced(batches):
-            done = own.encode(batch.column(1).to_pylist())
-            flat = pa.Array.from_buffers(
-                pa.int32(),
-                sum(len(ids) for ids, _ in done) // 4,
-                [None, pa.py_buffer(b"".join([ids for ids, _ in done]))],
-            )
-            ends = [0]
-            for ids, _ in done:
-                ends.append(ends[-1] + len(ids) // 4)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat),
-                    pa.array([same for _, same in done], pa.bool_()),
-                ],
-                names=["row", "ids", "parity"],
-            )
+        with encoder(model_path, threads, verify) as own:
+            for batch in _sliced(batches):
+                done = own.encode(batch.column(1).to_pylist())
+                flat = pa.Array.from_buffers(
+                    pa.int32(),
+                    sum(len(ids) for ids, _ in done) // 4,
+                    [None, pa.py_buffer(b"".join([ids for ids, _ in done]))],
+                )
+                ends = [0]
+                for ids, _ in done:
+                    ends.append(ends[-1] + len(ids) // 4)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0),
+                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat),
+                        pa.array([same for _, same in done], pa.bool_()),
+                    ],
+                    names=["row", "ids", "parity"],
+                )
 
     return framed.mapInArrow(
         run, f"row {row_type}, ids array<int>, parity boolean"
@@ -295,22 +307,22 @@ def digest(docs: DataFrame, model_path: str, threads: int = 1) -> DataFrame:
     )
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(model_path, threads, True)
-        for batch in _sliced(batches):
-            texts = batch.column(1).to_pylist()
-            done = own.encode(texts)
-            decoded = own.decode([list(memoryview(ids).cast("I")) for ids, _ in done])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array([len(ids) // 4 for ids, _ in done], pa.int64()),
-                    pa.array([zlib.crc32(ids) for ids, _ in done], pa.int64()),
-                    pa.array(decoded, pa.string()),
-                    pa.array([a == b for a, b in zip(texts, decoded, strict=True)], pa.bool_()),
-                    pa.array([same for _, same in done], pa.bool_()),
-                ],
-                names=["doc_id", "n_tokens", "ids_crc32", "decoded", "round_trip", "parity"],
-            )
+        with encoder(model_path, threads, True) as own:
+            for batch in _sliced(batches):
+                texts = batch.column(1).to_pylist()
+                done = own.encode(texts)
+                decoded = own.decode([list(memoryview(ids).cast("I")) for ids, _ in done])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0),
+                        pa.array([len(ids) // 4 for ids, _ in done], pa.int64()),
+                        pa.array([zlib.crc32(ids) for ids, _ in done], pa.int64()),
+                        pa.array(decoded, pa.string()),
+                        pa.array([a == b for a, b in zip(texts, decoded, strict=True)], pa.bool_()),
+                        pa.array([same for _, same in done], pa.bool_()),
+                    ],
+                    names=["doc_id", "n_tokens", "ids_crc32", "decoded", "round_trip", "parity"],
+                )
 
     schema = (
         "doc_id long, n_tokens long, ids_crc32 long, decoded string,"

@@ -9,6 +9,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -167,6 +168,19 @@ def test_encode_replaces_clashing_columns_and_keeps_rows(spark):
     assert [r.ids_crc32 for r in digests] == [0] and digests[0].round_trip
 
 
+def test_workers_keep_no_chunks_after_a_task(spark):
+    def kept(batches):
+        for _ in batches:
+            known = sum(len(own.cache.known) for own in sentencepiece._codecs.values())
+            yield pa.RecordBatch.from_arrays([pa.array([known], pa.int64())], names=["known"])
+
+    docs = documents(spark, [(i, f"some words {i}") for i in range(64)]).repartition(8)
+    assert sentencepiece.encode(docs, PIECES).where("parity").count() == 64
+    assert sentencepiece.digest(docs, PIECES).where("parity").count() == 64
+    idle = spark.range(64, numPartitions=8).mapInArrow(kept, "known long")
+    assert {row.known for row in idle.collect()} == {0}
+
+
 def test_chunks_give_the_whole_text_back():
     for text in TEXTS:
         assert " ".join(word_chunks(text)) == text
