@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.observation import Observation
 
 from lamina.model import AMOUNT, DAILY_SALES, Layers
+from lamina.plans.settings import bounded_session
 from lamina.sources import read_table, stored, write_table
 
 
@@ -118,10 +119,9 @@ def sales_in_one_pass(joined: DataFrame, category: str) -> tuple[DataFrame, int,
 
 def build_daily_sales(spark: SparkSession, layers: Layers) -> int:
     """Compute the daily table from silver and store it; returns the number of rows."""
-    silver = {
-        name: read_table(spark, f"{layers.silver}/{name}", layers.table_format)
-        for name in ("orders", "order_items", "products")
-    }
+    paths = {name: f"{layers.silver}/{name}" for name in ("orders", "order_items", "products")}
+    session = bounded_session(spark, *paths.values())
+    silver = {name: read_table(session, path, layers.table_format) for name, path in paths.items()}
     daily = daily_sales(
         silver["orders"], silver["order_items"], silver["products"], orders_are_unique=True
     )

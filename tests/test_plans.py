@@ -7,10 +7,11 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from lamina.operators import bucketed, gold, layout, silver
+from lamina.model import Layers
+from lamina.operators import bronze, bucketed, gold, layout, silver
 from lamina.operators.dedupe import smallest_per_key
 from lamina.operators.reuse import kept
-from lamina.plans import joins
+from lamina.plans import joins, settings
 from lamina.plans.report import join_counts, plan_nodes, plan_summary, plan_text, scanned_rows
 from lamina.plans.settings import (
     ADAPTIVE,
@@ -22,6 +23,7 @@ from lamina.plans.settings import (
 )
 from lamina.plans.timing import compare, timed
 from lamina.plans.together import together
+from lamina.sources import read_table, write_csv
 from lamina.workload import feeds, queries
 
 FOLDER = "/root/testdata/sf0.001"
@@ -300,6 +302,49 @@ def test_bucketed_tables_join_without_a_shuffle(spark):
     assert not spark.catalog.tableExists(tables.items)
 
 
+def test_buckets_grow_with_the_rows(spark, monkeypatch):
+    orders, items, products = sales_with_hot_order(spark)
+    monkeypatch.setattr(bucketed, "BUCKET_ROWS", items.count() // 19)
+    tables = bucketed.store_bucketed(orders, items, 8)
+    assert tables.buckets == 20
+    largest = spark.table(tables.items).groupBy(F.input_file_name()).count().agg(F.max("count"))
+    assert largest.first()[0] < 2 * bucketed.BUCKET_ROWS
+    daily = bucketed.daily_sales(spark, tables, products)
+    expected = gold.daily_sales(orders, items, products, orders_are_unique=True)
+    assert set(map(tuple, daily.collect())) == {
+        tuple(row) for row in expected.select(*daily.columns).collect()
+    }
+    bucketed.drop_bucketed(spark, tables)
+
+
+def test_bounded_tasks_keep_what_is_smaller_already(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "rows")
+    spark.range(20_000, numPartitions=1).write.option("parquet.block.size", 4_096).parquet(path)
+    monkeypatch.setattr(settings, "TASK_BYTES", 8_192)
+    session = settings.bounded_session(spark, path)
+    assert session.read.parquet(path).rdd.getNumPartitions() >= 4
+    assert int(session.conf.get(settings.SHUFFLE_PARTITIONS)) >= 30
+    smaller = session_with(spark, {settings.SHUFFLED_BYTES: "1k"})
+    bounded = settings.bounded_session(smaller, path)
+    assert bounded.conf.get(settings.SHUFFLED_BYTES) == "1024b"
+    assert bounded.conf.get(settings.SCAN_BYTES) == "8192b"
+
+
+def test_layers_are_made_in_bounded_tasks(spark, tmp_path, monkeypatch):
+    layers = Layers.under(str(tmp_path))
+    sold = spark.range(8_000).selectExpr(
+        "id AS order_item_id", "id % 500 AS order_id", "id % 40 AS product_id", "1 AS quantity",
+        "2.5 AS unit_price", "2.5 AS line_total",
+    )
+    write_csv(sold, layers.raw_file("order_items"))
+    bronze.ingest_dataset(spark, "order_items", layers)
+    monkeypatch.setattr(settings, "TASK_BYTES", 8_192)
+    small = session_with(spark, {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k"})
+    assert silver.process_dataset(small, "order_items", layers) == 8_000
+    # A file a task; the given session has eight shuffle partitions.
+    assert len(read_table(spark, f"{layers.silver}/order_items").inputFiles()) > 8
+
+
 def test_a_filter_reads_few_rows_of_a_clustered_table(spark, tmp_path):
     rows = spark.range(100_000).selectExpr(
         "id", "date_add(date'2020-01-01', CAST(id * 7919 % 1000 AS INT)) AS day", "concat('c', id % 5) AS c"
