@@ -48,6 +48,7 @@ from lamina.plans.settings import (
     DEFAULT_BROADCAST_BYTES,
     NO_BROADCAST,
     SHUFFLE_PARTITIONS,
+    bounded_session,
     session_with,
 )
 from lamina.plans.together import together
@@ -172,7 +173,8 @@ def executed_plan_report(spark: SparkSession, folder: str) -> DataFrame:
 
 def sales_in_one_pass(spark: SparkSession, folder: str) -> DataFrame:
     """Sums by day and category, by category and in all, and two counts, from one scan."""
-    needed = joined_sales(spark, folder).select(
+    session = _bounded(spark, folder, "orders", "lineitem", "part")
+    needed = joined_sales(session, folder).select(
         "order_date", "category", "order_id", "line_total", "quantity"
     )
     levels, rows, of_category = gold.sales_in_one_pass(needed, COUNTED_CATEGORY)
@@ -201,6 +203,10 @@ def bucketed_daily_sales(spark: SparkSession, folder: str) -> DataFrame:
     return bucketed.daily_sales(spark, tables, feeds.products(spark, folder))
 
 
+def _bounded(spark: SparkSession, folder: str, *tables: str) -> SparkSession:
+    return bounded_session(spark, *[f"{folder}/{name}.parquet" for name in tables])
+
+
 # Joins, counts, sorts
 
 
