@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
+from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,8 @@ from lamina.sources import fresh_path
 
 #: An order is kept apart if its items exceed this part of a bucket.
 PART_OF_BUCKET = 4
+#: Rows of a bucket on average. A task sorts a bucket, to write it and to join it.
+BUCKET_ROWS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -35,9 +38,13 @@ class BucketedSales:
 
 
 def store_bucketed(orders: DataFrame, items: DataFrame, buckets: int) -> BucketedSales:
-    """Write both tables, each sorted in its buckets. Rows without an order are left out."""
+    """Write both tables, each sorted in its buckets. Rows without an order are left out.
+
+    There are `buckets`, or more if the larger table has more than `BUCKET_ROWS` for each.
+    """
     spark = items.sparkSession
     placed = items.where("order_id is not null")
+    buckets = max(buckets, ceil(max(placed.count(), orders.count()) / BUCKET_ROWS))
     hot = heavy_keys(placed, "order_id", buckets * PART_OF_BUCKET)
     few = broadcast_within(hot.select(F.col("order_id").alias("hot_order")))
     is_hot = F.col("order_id") == F.col("hot_order")

@@ -197,10 +197,11 @@ def orders_by_level(spark: SparkSession, folder: str) -> DataFrame:
 
 def bucketed_daily_sales(spark: SparkSession, folder: str) -> DataFrame:
     """Daily sales from bucketed tables, with an order that holds a third of all items."""
+    session = _bounded(spark, folder, "orders", "lineitem", "part")
     tables = bucketed.store_bucketed(
-        feeds.orders(spark, folder), feeds.items_with_hot_order(spark, folder), PARTITIONS
+        feeds.orders(session, folder), feeds.items_with_hot_order(session, folder), PARTITIONS
     )
-    return bucketed.daily_sales(spark, tables, feeds.products(spark, folder))
+    return bucketed.daily_sales(session, tables, feeds.products(session, folder))
 
 
 def _bounded(spark: SparkSession, folder: str, *tables: str) -> SparkSession:
