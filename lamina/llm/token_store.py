@@ -21,6 +21,7 @@ import zlib
 from array import array
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +38,6 @@ BITS = 8
 BLOCK_BYTES = 64
 
 END_ID = 0
-#: Marks that stand behind words.
-MARKS = {".", ",", ";", ":", "!", "?"}
 FILE_TOKENS = 8_000_000
 ROWS = 256
 #: Encoded chunks that a worker keeps, about 150 bytes each.
@@ -200,41 +199,49 @@ class TextEncoder:
     """A byte-level vocabulary of the tokenizers library, each distinct chunk encoded once.
 
     A chunk of letters only, with or without the space before it, is one word of the
-    vocabulary's own splitting, so the library's model takes it directly. Marks behind a
-    word and lone line breaks between words are encoded apart. All other chunks go through
-    the whole library, with its defaults: the string of an added token is that token.
+    vocabulary's own splitting, so the library's model takes it directly. ASCII marks behind
+    a word and lone line breaks between words are encoded apart; the word is known from then
+    on, whatever stands behind it. All other chunks go through the whole library, with its
+    defaults: the string of an added token is that token.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
+        self.tokenize = self.tokenizer.model.tokenize
         self.letters = byte_letters()
-        self.after_space = KnownChunks(lambda chunk: self._encode(" ", chunk))
-        self.first = KnownChunks(lambda chunk: self._encode("", chunk))
-        self.marks = {mark: self._whole(mark) for mark in (*MARKS, "\n")}
+        self.after_space = KnownChunks(self._after_space)
+        self.first = KnownChunks(self._first)
+        self.marks = KnownChunks(self._whole)
 
-    def _encode(self, before: str, chunk: str) -> bytes:
+    def _after_space(self, chunk: str) -> bytes:
         if chunk.isalpha():
-            return self._word(before, chunk)
-        word, mark = chunk[:-1], chunk[-1:]
-        if mark in MARKS and word.isalpha():
-            known = (self.after_space if before else self.first).get(word)
-            return (known or self._word(before, word)) + self.marks[mark]
+            if chunk.isascii():
+                return self._word(self.letters[0x20] + chunk)
+            return self._word((" " + chunk).encode().decode("latin-1").translate(self.letters))
+        return self._parts(self.after_space, " ", chunk)
+
+    def _first(self, chunk: str) -> bytes:
+        if chunk.isalpha():
+            if chunk.isascii():
+                return self._word(chunk)
+            return self._word(chunk.encode().decode("latin-1").translate(self.letters))
+        return self._parts(self.first, "", chunk)
+
+    def _parts(self, known: KnownChunks, before: str, chunk: str) -> bytes:
+        word = chunk.rstrip(punctuation)
+        if word.isalpha():
+            return known[word] + self.marks[chunk[len(word) :]]
         if "\n" in chunk:
             lines = chunk.split("\n")
             if all(lines) and not any(line[0].isspace() or line[-1].isspace() for line in lines):
-                begun = (self.after_space if before else self.first)[lines[0]]
+                begun = known[lines[0]]
                 return self.marks["\n"].join([begun, *map(self.first.__getitem__, lines[1:])])
         return self._whole(before + chunk)
 
-    def _word(self, before: str, word: str) -> bytes:
-        if word.isascii():
-            spelled = self.letters[0x20] + word if before else word
-        else:
-            spelled = (before + word).encode().decode("latin-1").translate(self.letters)
-        return array("I", [token.id for token in self.model.tokenize(spelled)]).tobytes()
+    def _word(self, spelled: str) -> bytes:
+        return array("I", [token.id for token in self.tokenize(spelled)]).tobytes()
 
     def _whole(self, text: str) -> bytes:
         return id_bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)

@@ -213,6 +213,20 @@ def test_chunked_byte_tokens_equal_the_whole_text():
         assert len(encoder.after_space) <= size
 
 
+def test_a_word_is_encoded_once_whatever_marks_stand_behind_it():
+    from tokenizers import Tokenizer
+
+    encoder, asked = token_store.TextEncoder(BYTE_BPE), []
+    whole, tokenize = encoder._whole, encoder.tokenizer.model.tokenize
+    encoder._whole = lambda text: asked.append(text) or whole(text)
+    encoder.tokenize = lambda word: asked.append(word) or tokenize(word)
+    text = "so pinanth, pinanth. pinanth### pinanth pinanth;\npinanth, pinanth!?\npinanth'_"
+    (ids,) = encoder([text])
+    plain = Tokenizer.from_file(BYTE_BPE)
+    assert np.frombuffer(ids, "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+    assert [word for word in asked if "pinanth" in word] == ["\u0120pinanth", "pinanth"]
+
+
 @pytest.mark.parametrize("n", [1, 8, 511, 512, 513, 5_000])
 def test_every_token_is_found_by_its_place(tmp_path, n):
     rng = np.random.default_rng(n)
