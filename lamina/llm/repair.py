@@ -13,7 +13,8 @@ has found by more than a constant runs again from there, until its vectors diffe
 earlier ones by a constant only; all vectors before that one then differ by the same
 constant, which changes no choice. Passes go on until no piece is left to run. The costs of
 each piece, stitched in this way, drive the trace of the least edits through it for each
-state it may be entered in, and the pieces are joined as maps of states.
+state it may be entered in, and the pieces are joined as maps of states. A conversation of
+one piece has no others to wait for: it is repaired where its rows are, and nothing is joined.
 
 Null roles and texts are one space. Rows are in the order of turn, role and text, nulls
 first; rows that are equal in all of these are repeats of the first. A role without an
@@ -51,6 +52,8 @@ _NEXT = (2, 2, 3, 2)
 #: What the rest costs after the last row.
 _FINAL = np.array([0, 4, 2, 0], np.int64)
 _FAR = 1 << 40
+#: Conversations of one piece that are repaired together.
+ALONE = 512
 
 
 def damage(convs: DataFrame) -> DataFrame:
@@ -98,10 +101,39 @@ def repair(
         F.coalesce(F.col(text).cast("string"), F.lit(" ")).alias("text"),
     )
     cut = pieces(given, piece)
+    kind = cut.schema["conv"].dataType.simpleString()
+    short, long = cut.where("total = 1"), cut.where("total > 1")
+    repaired = _repaired_alone(short, kind)
+    if not long.select("conv").isEmpty():
+        repaired = repaired.unionAll(_repaired_together(long, kind))
+    return stored(repaired.withColumnRenamed("conv", "conv_id"), "repaired")
+
+
+_COUNTS = "blank bigint, duplicate bigint, truncated bigint, illegal bigint"
+_TURNS = "turns array<struct<role:string,text:string>>"
+
+
+def _repaired_alone(cut: DataFrame, kind: str) -> DataFrame:
+    """Conversations of one piece, each from its own rows alone: nothing is joined."""
+    marks = cut.select("conv", "number", "total", F.transform("turns", _mark).alias("marks"), "turns")
+    coded = marks.select(
+        "conv",
+        "number",
+        "total",
+        F.transform("marks", lambda m, i: _code(m, i, F.lit(False))).alias("codes"),
+        F.lit(None).cast("tinyint").alias("follow"),
+        F.col("turns.role").alias("roles"),
+        F.col("turns.text").alias("texts"),
+    )
+    return coded.mapInArrow(
+        _alone_batches, f"conv {kind}, number int, {_COUNTS}, cost bigint, audit string, {_TURNS}"
+    )
+
+
+def _repaired_together(cut: DataFrame, kind: str) -> DataFrame:
+    """Conversations of several pieces, whose costs and states go over from piece to piece."""
     costs = _converged(_guessed(_coded(cut)))
-    kind = costs.schema["conv"].dataType.simpleString()
-    counts = "blank bigint, duplicate bigint, truncated bigint, illegal bigint"
-    shape = f"conv {kind}, number int, {counts}"
+    shape = f"conv {kind}, number int, {_COUNTS}"
     traced = stored(
         costs.mapInArrow(
             _trace_batches,
@@ -126,11 +158,7 @@ def repair(
     edited = chosen.join(texts, _same_piece("texts")).select(
         *kept, "state", F.col("turns.role").alias("roles"), F.col("turns.text").alias("texts")
     )
-    made = edited.mapInArrow(
-        _edit_batches,
-        f"{shape}, cost bigint, audit string, turns array<struct<role:string,text:string>>",
-    )
-    return stored(made.withColumnRenamed("conv", "conv_id"), "repaired")
+    return edited.mapInArrow(_edit_batches, f"{shape}, cost bigint, audit string, {_TURNS}")
 
 
 def digest(original: DataFrame, damaged: DataFrame, piece: int = PIECE) -> DataFrame:
@@ -187,25 +215,39 @@ def _same_piece(prefix: str) -> Column:
     )
 
 
-def _coded(cut: DataFrame) -> DataFrame:
-    """`conv`, `number`, `total`, `codes` (initial and first fault a row) and `follow`, the code
-    of the next piece's first row. Built-in functions alone; texts go no further."""
+def _mark(turn: Column) -> Column:
+    """What decides the code of a row: its initial, how its text ends, and a key of its rest."""
     bare = F.lit(WHITE)
+    initial = F.substring(turn["role"], 1, 1)
+    place = F.array_position(F.array(*map(F.lit, "sua")), initial)
+    end = F.right(F.rtrim(turn["text"], bare), F.lit(1))
+    whole = F.concat(F.length(turn["role"]), F.lit(":"), turn["role"], turn["text"])
+    return F.struct(
+        place.cast("int").alias("initial"),
+        (end == "").alias("blank"),
+        (~F.array_contains(F.array(*map(F.lit, ENDS)), end)).alias("short"),
+        F.unhex(F.md5(whole)).alias("key"),
+    )
 
-    def mark(turn: Column) -> Column:
-        initial = F.substring(turn["role"], 1, 1)
-        place = F.array_position(F.array(*map(F.lit, "sua")), initial)
-        end = F.right(F.rtrim(turn["text"], bare), F.lit(1))
-        whole = F.concat(F.length(turn["role"]), F.lit(":"), turn["role"], turn["text"])
-        return F.struct(
-            place.cast("int").alias("initial"),
-            (end == "").alias("blank"),
-            (~F.array_contains(F.array(*map(F.lit, ENDS)), end)).alias("short"),
-            F.unhex(F.md5(whole)).alias("key"),
-        )
 
+def _code(m: Column, i: Column, elsewhere: Column) -> Column:
+    """Initial and first fault of the row at place `i` of `marks`; `elsewhere` tells whether an
+    earlier piece has it too."""
+    here = F.array_position(F.transform("marks", lambda x: x["key"]), m["key"]) <= i
+    fault = (
+        F.when(m["blank"], BLANK)
+        .when(here | elsewhere, DUPLICATE)
+        .when(m["short"], SHORT)
+        .otherwise(0)
+    )
+    return (m["initial"] * _FAULTS + fault).cast("tinyint")
+
+
+def _coded(cut: DataFrame) -> DataFrame:
+    """`conv`, `number`, `total`, `codes` (initial and first fault a row) and `follow`, the code
+    of the next piece's first row. Built-in functions alone; texts go no further."""
     marked = stored(
-        cut.select("conv", "number", "total", F.transform("turns", mark).alias("marks")), "marks"
+        cut.select("conv", "number", "total", F.transform("turns", _mark).alias("marks")), "marks"
     )
     # A key that stands in several pieces is a duplicate in all but the first of them. A
     # piece has one row a key, and the earliest piece combines before it is shuffled.
@@ -227,14 +269,7 @@ def _coded(cut: DataFrame) -> DataFrame:
     )
 
     def code(m: Column, i: Column) -> Column:
-        here = F.array_position(F.transform("marks", lambda x: x["key"]), m["key"]) <= i
-        fault = (
-            F.when(m["blank"], BLANK)
-            .when(here | F.coalesce(F.array_contains("again", m["key"]), F.lit(False)), DUPLICATE)
-            .when(m["short"], SHORT)
-            .otherwise(0)
-        )
-        return (m["initial"] * _FAULTS + fault).cast("tinyint")
+        return _code(m, i, F.coalesce(F.array_contains("again", m["key"]), F.lit(False)))
 
     coded = stored(
         marked.join(_placed(again, "again"), _same_piece("again"), "left").select(
@@ -247,7 +282,7 @@ def _coded(cut: DataFrame) -> DataFrame:
         "next",
     )
     return coded.join(following, _same_piece("next"), "left").select(
-        "conv", "number", "total", "codes", "follow"
+        *_CODED
     )
 
 
@@ -355,6 +390,7 @@ def _guess_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         )
 
 
+_CODED = "conv number total codes follow".split()
 _COSTS = (
     "conv number total codes blank duplicate truncated illegal right left base vectors moved"
 ).split()
@@ -506,3 +542,27 @@ def _edit_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays(
             [columns[name] for name in names] + [pa.array(repaired, kind)], names=[*names, "turns"]
         )
+
+
+def _alone_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Whole conversations: their costs, the trace from the first state, and the edited turns."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, ALONE):
+            piece = batch.slice(start, ALONE)
+            (costs,) = _guess_batches([piece.select(_CODED)])
+            (traced,) = _trace_batches([costs])
+            base, left, audits = (
+                traced.column(name).to_pylist() for name in ("base", "left", "audits")
+            )
+            chosen = pa.RecordBatch.from_arrays(
+                [
+                    *traced.columns[:6],
+                    pa.array([a + b[0] for a, b in zip(base, left, strict=True)], pa.int64()),
+                    pa.array([found[0] for found in audits], pa.string()),
+                    pa.array([0] * piece.num_rows, pa.int32()),
+                    piece.column("roles"),
+                    piece.column("texts"),
+                ],
+                names=[*_KEPT[:6], "cost", "audit", "state", "roles", "texts"],
+            )
+            yield from _edit_batches([chosen])

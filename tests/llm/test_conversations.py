@@ -258,6 +258,18 @@ def test_repair_equals_brute_force(spark, piece):
         assert row == least_edits(in_order([r for r in damaged if r[0] == conv])), conv
 
 
+def test_conversations_of_one_piece_are_repaired_without_a_join(spark, monkeypatch):
+    """Only those of several pieces make tables of keys, costs and states."""
+    made, stored = [], repair.stored
+    monkeypatch.setattr(repair, "stored", lambda df, label: made.append(label) or stored(df, label))
+    rows = [(n, t, ("user", "assistant")[t % 2], f"text {t % 3}.") for n in range(40) for t in range(6)]
+    df = table(spark, rows)
+    alone = repair.digest(df, df).collect()
+    assert made == ["repaired"]
+    together = repair.digest(df, df, piece=4).collect()
+    assert "costs" in made and sorted(map(tuple, alone)) == sorted(map(tuple, together))
+
+
 def test_conversation_without_rows_after_damage(spark):
     gone = next(n for n in range(1_000) if zlib.crc32(f"{n}:0".encode()) % 20 == 0)
     df = table(spark, [(gone, 0, "user", "Hi.")])
