@@ -2,9 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """What runs in the block hands Python at most so many rows at once.
+
+    A batch is held whole on both sides, so its rows times their size must stay small where
+    they carry texts. The session has its own setting again at the end of the block.
+    """
+    before = spark.conf.get(BATCH_ROWS)
+    spark.conf.set(BATCH_ROWS, str(min(int(before), rows) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_ROWS, before)
+
 
 def fresh_name(df: DataFrame, name: str) -> str:
     """A column name that `df` does not have, whatever the case."""

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from lamina.llm.components import components
-from lamina.llm.frames import without
+from lamina.llm.frames import small_batches, without
 from lamina.llm.shingles import (
     counted,
     generalised_jaccard,
@@ -58,6 +58,8 @@ POSTINGS = 2_000
 PAIRS_PER_LINK = 10
 #: Texts that are signed together.
 TEXTS = 128
+#: Texts, or pairs of multisets, that a Python worker gets at once.
+BATCH = 256
 
 _CELL, _STEP, _DART = (np.uint64(x) for x in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB))
 _UNIT = 2.0**-53
@@ -473,6 +475,16 @@ def classes(
 ) -> DataFrame:
     """`doc_id` and `class_id`, the smallest id among the documents linked to it."""
     given = docs.select(F.col("doc_id").cast("bigint").alias("doc"), F.col(text).cast("string").alias("text"))
+    with small_batches(docs.sparkSession, BATCH):
+        roots = _roots(given, similarity, bands, rows)
+    named = given.select(F.col("doc").alias("doc_id"))
+    return named.join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
+        "doc_id", F.coalesce("root", "doc_id").alias("class_id")
+    )
+
+
+def _roots(given: DataFrame, similarity: float, bands: int, rows: int) -> DataFrame:
+    """`node` and `root`, a stored table, of the documents that are not their class's first."""
     real = given.where("doc is not null and text is not null and text != ''")
     signed = stored(signatures(real, bands, rows), "signatures")
 
@@ -520,10 +532,7 @@ def classes(
     if not unmet.isEmpty():
         residual = stored(sets.join(unmet, "doc"), "unmet-multisets")
         roots, _ = _linked(_unmet_pairs(residual, similarity), sets, similarity, roots)
-    named = given.select(F.col("doc").alias("doc_id"))
-    return named.join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
-        "doc_id", F.coalesce("root", "doc_id").alias("class_id")
-    )
+    return roots
 
 
 def keep_first(docs: DataFrame, **settings) -> DataFrame:

@@ -32,6 +32,8 @@ UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
 ROWS = 256
+#: Chunks that the libraries encode at once.
+CHUNKS = 4_096
 
 
 @dataclass
@@ -189,13 +191,15 @@ class Codec:
         self.odd: set[str] = set()  # chunks on which the libraries differ
         self.cache = ChunkCache(self._encode)
 
-    def _encode(self, chunks: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
-        ids = [encoding.ids for encoding in found]
-        if self.verify:
-            wanted = self.original.encode(chunks, num_threads=self.threads)
-            self.odd.update(c for c, a, b in zip(chunks, ids, wanted, strict=True) if a != b)
-        return [id_bytes(a) for a in ids]
+    def _encode(self, chunks: list[str]) -> Iterator[bytes]:
+        for start in range(0, len(chunks), CHUNKS):
+            some = chunks[start : start + CHUNKS]
+            found = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
+            ids = [encoding.ids for encoding in found]
+            if self.verify:
+                wanted = self.original.encode(some, num_threads=self.threads)
+                self.odd.update(c for c, a, b in zip(some, ids, wanted, strict=True) if a != b)
+            yield from map(id_bytes, ids)
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, bool]]:
         """Ids as little-endian unsigned 32-bit integers, and parity."""

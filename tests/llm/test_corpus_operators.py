@@ -483,3 +483,29 @@ def test_pipeline_stages_in_order(spark, tmp_path):
     final = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {r.doc_id for r in final} == kept[3]
     assert all(r.parity and r.round_trip and r.n_tokens == len(r.ids) for r in final)
+
+
+def test_near_dedup_hands_python_few_rows_at_once(spark, monkeypatch):
+    """A batch is held whole on both sides. The session has its own setting again afterwards."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, seen, stored = spark.conf.get(name), {}, near_dedup.stored
+
+    def noted(df, label):
+        seen[label] = int(spark.conf.get(name))
+        return stored(df, label)
+
+    monkeypatch.setattr(near_dedup, "stored", noted)
+    rows = [(n, f"one two three four five six seven eight nine ten {n % 2}") for n in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.class_id for r in near_dedup.classes(docs).collect()}
+    assert found == {n: n % 2 for n in range(6)}
+    assert {seen[label] for label in ("signatures", "multisets", "verified")} <= {near_dedup.BATCH}
+    assert spark.conf.get(name) == before
+
+
+def test_words_are_hashed_without_a_table_that_stays():
+    from lamina.llm import shingles
+
+    kept = {n: len(v) for n, v in vars(shingles).items() if isinstance(v, dict)}
+    word_hashes([f"word{n}" for n in range(1_000)])
+    assert kept == {n: len(v) for n, v in vars(shingles).items() if isinstance(v, dict)}
