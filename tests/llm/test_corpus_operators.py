@@ -485,6 +485,30 @@ def test_pipeline_stages_in_order(spark, tmp_path):
     assert all(r.parity and r.round_trip and r.n_tokens == len(r.ids) for r in final)
 
 
+def test_stages_make_their_python_rows_in_small_batches(spark, tmp_path, monkeypatch):
+    """The frame of a stage is run by its caller, under the caller's setting: what is left of
+    Python in its plan would get whole batches. The session has its own setting afterwards."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, seen, stored = spark.conf.get(name), {}, corpus_pipeline.stored
+
+    def noted(df, label):
+        seen[label] = int(spark.conf.get(name))
+        return stored(df, label)
+
+    monkeypatch.setattr(corpus_pipeline, "stored", noted)
+    rows = [(i, f"the words of text {i} and of no other one there") for i in range(8)]
+    docs = documents(spark, rows).drop("dropped")
+    spark.createDataFrame([(1, "an item of some words")], "item_id long, text string").write.parquet(
+        str(tmp_path / "benchmark.parquet")
+    )
+    for number in (0, 3, 4):
+        kept = corpus_pipeline.STAGES[number][1](spark, docs, str(tmp_path))
+        plan = kept._jdf.queryExecution().toString()
+        assert "Python" not in plan and "MapInArrow" not in plan and kept.count() == 8
+    assert seen == {"identified": 256, "clean": 256, "pieces": 256}
+    assert spark.conf.get(name) == before
+
+
 def test_near_dedup_hands_python_few_rows_at_once(spark, monkeypatch):
     """A batch is held whole on both sides. The session has its own setting again afterwards."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
