@@ -21,6 +21,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lamina.llm.frames import hashed_lists
 from lamina.sources import stored
 
 SAMPLES = 64
@@ -28,6 +29,8 @@ GROUP = 4
 DOCS_PER_RANGE = 500
 #: Ranges only part the work; beyond this many they grow instead.
 MOST_RANGES = 100_000
+#: Words and counts whose holders a task collects by hashing, without sorting them first.
+HASHED_WORDS = 100_000
 
 # What stands in for a null id, and the fields of the hashes.
 LAST_ID = 2**63 - 1
@@ -348,7 +351,8 @@ def with_edits(docs: DataFrame, samples: int = SAMPLES, per_range: int = DOCS_PE
         .groupBy(*keys, F.xxhash64("word").alias("term"))
         .agg(F.count_if(F.col("side") == 0).alias("n0"), F.count_if(F.col("side") == 1).alias("n1"))
     )
-    found = stored(_sampled_in_ranges(counted, keys, samples), "fingerprints")
+    with hashed_lists(docs.sparkSession, HASHED_WORDS):
+        found = stored(_sampled_in_ranges(counted, keys, samples), "fingerprints")
     following = found.select(
         F.col("doc").alias("next_doc"), F.col("whole").alias("next_whole"), F.col("own").alias("after")
     ).dropDuplicates(["next_doc", "next_whole"])

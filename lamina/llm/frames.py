@@ -9,6 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+HASHED_LISTS = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
+
+
+@contextmanager
+def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """The session has `value` in the block, and its own setting again at the end of it."""
+    before = spark.conf.get(name)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 @contextmanager
@@ -16,14 +28,23 @@ def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
     """What runs in the block hands Python at most so many rows at once.
 
     A batch is held whole on both sides, so its rows times their size must stay small where
-    they carry texts. The session has its own setting again at the end of the block.
+    they carry texts.
     """
-    before = spark.conf.get(BATCH_ROWS)
-    spark.conf.set(BATCH_ROWS, str(min(int(before), rows) if int(before) > 0 else rows))
-    try:
+    before = int(spark.conf.get(BATCH_ROWS))
+    with _setting(spark, BATCH_ROWS, str(min(before, rows) if before > 0 else rows)):
+        yield
+
+
+@contextmanager
+def hashed_lists(spark: SparkSession, keys: int) -> Iterator[None]:
+    """What runs in the block collects lists of up to so many keys a task by hashing.
+
+    Beyond them, and beyond the 128 of the default, a task sorts its rows by their keys
+    first. The lists are in memory either way while they are made, one by one then.
+    """
+    before = int(spark.conf.get(HASHED_LISTS))
+    with _setting(spark, HASHED_LISTS, str(max(before, keys))):
         yield
-    finally:
-        spark.conf.set(BATCH_ROWS, before)
 
 
 def fresh_name(df: DataFrame, name: str) -> str:

@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lamina.llm import fingerprints, language_id, line_dedup, pii
+from lamina.llm.frames import HASHED_LISTS
 
 SCHEMA = "doc_id long, text string, lang string, lang_pred string, n_lines long, _doc string"
 
@@ -384,6 +385,32 @@ def test_fingerprints_run_no_python(spark):
         assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_words_are_collected_without_sorting_them(spark, monkeypatch):
+    sorting, stored = [], fingerprints.stored
+
+    def sorting_tasks(node):
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            return sorting_tasks(node.executedPlan())
+        if name.endswith("QueryStageExec"):
+            return sorting_tasks(node.plan())
+        counted = node.metrics().get("numTasksFallBacked")
+        own = counted.get().value() if counted.isDefined() else 0
+        children = node.children()
+        return own + sum(sorting_tasks(children.apply(i)) for i in range(children.size()))
+
+    def noted(df, label):
+        if label == "fingerprints":
+            assert len(df.collect()) == 60
+            sorting.append(sorting_tasks(df._jdf.queryExecution().executedPlan()))
+        return stored(df, label)
+
+    monkeypatch.setattr(fingerprints, "stored", noted)
+    before = spark.conf.get(HASHED_LISTS)
+    fingerprints.with_edits(documents(spark, fingerprint_rows()))
+    assert sorting == [0] and spark.conf.get(HASHED_LISTS) == before
+
+
 def test_no_two_ranges_share_a_partition(spark):
     for partitions in (1, 7, 100):
         keys = fingerprints._placing_keys(spark, partitions)
