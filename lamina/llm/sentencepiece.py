@@ -224,13 +224,14 @@ def codec(path: str, threads: int = 1, verify: bool = True) -> Codec:
 
 @contextmanager
 def encoder(path: str, threads: int, verify: bool) -> Iterator[Codec]:
-    """The worker's codec for one task. Its chunks go with the task: an idle worker would
-    keep them while other stages need the memory."""
+    """The worker's codec for one task. Its chunks go with the task, and so does what Arrow
+    holds in reserve: an idle worker would keep them while other stages need the memory."""
     own = codec(path, threads, verify)
     try:
         yield own
     finally:
         own.cache.clear()
+        pa.default_memory_pool().release_unused()
 
 
 def _sliced(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,16 +240,14 @@ def _sliced(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(start, ROWS)
 
 
-def encode(
-    docs: DataFrame, model_path: str, text: str = "text", threads: int = 1, verify: bool = True
+def _encoded(
+    docs: DataFrame, model_path: str, text: str, threads: int, verify: bool, back: bool
 ) -> DataFrame:
-    """`docs` with the ids of each text, `ids array<int>`, and `parity boolean`.
-
-    The columns replace ones of the same names. `model_path` is a file on every machine.
-    """
-    kept = docs.drop("ids", "parity")
+    """`docs` with `ids` and `parity`, and if `back` with `decoded`, the text of the ids."""
+    added = ["ids", "parity", "decoded"] if back else ["ids", "parity"]
+    kept = docs.drop(*added)
     plain = F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_text")
-    framed = kept.select(F.struct(*[F.col(f"`{c}`") for c in kept.columns]).alias("row"), plain)
+    framed = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept.columns]).alias("row"), plain)
     row_type = framed.schema["row"].dataType.simpleString()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -263,18 +262,39 @@ def encode(
                 ends = [0]
                 for ids, _ in done:
                     ends.append(ends[-1] + len(ids) // 4)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0),
-                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat),
-                        pa.array([same for _, same in done], pa.bool_()),
-                    ],
-                    names=["row", "ids", "parity"],
-                )
+                columns = [
+                    batch.column(0),
+                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat),
+                    pa.array([same for _, same in done], pa.bool_()),
+                ]
+                if back:
+                    texts = own.decode([list(memoryview(ids).cast("I")) for ids, _ in done])
+                    columns.append(pa.array(texts, pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, names=["row", *added])
+
+    schema = f"row {row_type}, ids array<int>, parity boolean" + ", decoded string" * back
+    return framed.mapInArrow(run, schema).select("row.*", *added)
+
 
-    return framed.mapInArrow(
-        run, f"row {row_type}, ids array<int>, parity boolean"
-    ).select("row.*", "ids", "parity")
+def encode(
+    docs: DataFrame, model_path: str, text: str = "text", threads: int = 1, verify: bool = True
+) -> DataFrame:
+    """`docs` with the ids of each text, `ids array<int>`, and `parity boolean`.
+
+    The columns replace ones of the same names. `model_path` is a file on every machine.
+    """
+    return _encoded(docs, model_path, text, threads, verify, back=False)
+
+
+def encode_and_decode(
+    docs: DataFrame, model_path: str, text: str = "text", threads: int = 1, verify: bool = True
+) -> DataFrame:
+    """The rows of `decode(encode(docs))`: each text is encoded, and its ids are decoded.
+
+    Both are done where the row is. As two operators in one task they are two workers at
+    once, each with a model of its own, and the rows go to Python twice.
+    """
+    return _encoded(docs, model_path, text, threads, verify, back=True)
 
 
 def decode(encoded: DataFrame, model_path: str, ids: str = "ids", threads: int = 1) -> DataFrame:

@@ -509,6 +509,21 @@ def test_stages_make_their_python_rows_in_small_batches(spark, tmp_path, monkeyp
     assert spark.conf.get(name) == before
 
 
+def test_encoding_and_decoding_need_one_worker_a_task(spark, monkeypatch):
+    """Each Python operator of a task is a worker of its own, and idle ones stay."""
+    plans, stored = [], corpus_pipeline.stored
+
+    def noted(df, label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df, label)
+
+    monkeypatch.setattr(corpus_pipeline, "stored", noted)
+    docs = documents(spark, [(1, "some words"), (2, None)]).drop("dropped")
+    found = corpus_pipeline.encode_pieces(spark, docs, "").collect()
+    assert len(found) == 2 and all(r.parity and r.round_trip for r in found)
+    assert [plan.count("MapInArrow") for plan in plans] == [1]
+
+
 def test_near_dedup_hands_python_few_rows_at_once(spark, monkeypatch):
     """A batch is held whole on both sides. The session has its own setting again afterwards."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"

@@ -168,6 +168,18 @@ def test_encode_replaces_clashing_columns_and_keeps_rows(spark):
     assert [r.ids_crc32 for r in digests] == [0] and digests[0].round_trip
 
 
+def test_decoding_where_a_row_is_encoded_gives_the_same_rows(spark):
+    rows = [*EDGE_ROWS, *enumerate(TEXTS, start=20)]
+    docs = documents(spark, rows).withColumn("decoded", F.lit("x")).withColumn("parity", F.lit(1))
+    two = sentencepiece.decode(sentencepiece.encode(docs, PIECES), PIECES)
+    one = sentencepiece.encode_and_decode(docs, PIECES)
+    assert one.schema == two.schema
+    assert sorted(map(repr, one.collect())) == sorted(map(repr, two.collect()))
+    assert sentencepiece.encode_and_decode(docs.where("false"), PIECES).count() == 0
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+
+
 def test_workers_keep_no_chunks_after_a_task(spark):
     def kept(batches):
         for _ in batches:
